@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysis is a yearly batch over warehouse tables: there is no stream
+source, watermark, event-time window or incremental state anywhere in the
+behaviour being rebuilt, so no Structured Streaming query is defined.  The
+batch run (:mod:`stagewise.plans`) is the whole surface.
+"""
