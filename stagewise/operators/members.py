@@ -50,7 +50,7 @@ def member_rollup(enroll: DataFrame, lab_flags: DataFrame, cond_current: DataFra
         F.col("_ckd").alias("ckd_ccw_flag"),
         F.col("_esrd").alias("esrd_flag"),
         F.col("_aki").alias(cfg.aki_current),
-        F.col("_paki").alias(cfg.aki_previous),
+        F.coalesce(F.col("_paki"), F.lit(0)).alias(cfg.aki_previous),
         F.col("_age").alias("age"))
 
 
