@@ -43,8 +43,8 @@ def claim_cost(claims: DataFrame, category: DataFrame, ip_header: DataFrame,
     ip = (ip_header.groupBy(F.col("claim_id").alias("_iid"))
                    .agg(F.max("allowed_amount").alias("_ip_amt"),
                         F.count(F.lit(1)).alias("_n_ip")))
-    j = (lines.join(cat, lines.claim_id == cat._cid, "inner")
-              .join(ip, lines.claim_id == ip._iid, "left"))
+    j = (lines.join(cat, F.col("claim_id") == F.col("_cid"), "inner")
+              .join(ip, F.col("claim_id") == F.col("_iid"), "left"))
     lower = F.lower(F.col("fasc_cat"))
     mult = (F.col("_n_cat") * F.coalesce(F.col("_n_ip"), F.lit(1))).cast("decimal(20,0)")
     amount = (F.when(lower == C.CAT_INPATIENT, F.col("_ip_amt"))
@@ -65,7 +65,7 @@ def _month(c: Column) -> Column:
 def _eligible_months(enroll: DataFrame, member: DataFrame) -> DataFrame:
     """Adult enrolment months (member table joined row-for-row, as the source does)."""
     m = member.select(F.col("member_id").alias("_mid"), "age")
-    return (enroll.join(m, enroll.member_id == m._mid, "inner")
+    return (enroll.join(m, F.col("member_id") == F.col("_mid"), "inner")
                   .where(adults(F.col("age")))
                   .select("member_id", _month(F.col("begin_date")).alias("month"),
                           "medical_flag", "dual_flag"))
@@ -91,13 +91,13 @@ def member_cost(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
                     .groupBy(F.col("member_id").alias("_cid"),
                              _month(F.col("from_date")).alias("_cmonth"))
                     .agg(F.sum("allowed_amt").alias("_cost")))
-    per_member = (e.join(cm, (e.member_id == cm._cid) & (e.month == cm._cmonth), "left")
+    per_member = (e.join(cm, (F.col("member_id") == F.col("_cid")) & (F.col("month") == F.col("_cmonth")), "left")
                    .groupBy("member_id")
                    .agg(F.sum("_cost").cast(MONEY_SUM).alias("cost_sum"),
                         F.count(F.lit(1)).alias("n_month")))
     f = final_flags.select(F.col("member_id").alias("_fid"), "ckd_no_esrd_flag",
                            *C.COST_STAGE_VARS)
-    return (per_member.join(f, per_member.member_id == f._fid, "left")
+    return (per_member.join(f, F.col("member_id") == F.col("_fid"), "left")
             .select("member_id", *C.COST_STAGE_VARS, "ckd_no_esrd_flag", "cost_sum",
                     _years(F.col("n_month")).alias("n_year")))
 
@@ -180,7 +180,7 @@ def cost_battery(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
         any_pop = cond if any_pop is None else (any_pop | cond)
     e = e.where(any_pop).select("member_id", "month",
                                 *[cond.alias(name) for name, cond in in_pop.items()])
-    em = e.join(cm, (e.member_id == cm._cid) & (e.month == cm._cmonth), "left")
+    em = e.join(cm, (F.col("member_id") == F.col("_cid")) & (F.col("month") == F.col("_cmonth")), "left")
     aggs = []
     for name in in_pop:
         aggs.append(F.count_if(F.col(name)).alias(f"{name}__months"))
@@ -190,7 +190,7 @@ def cost_battery(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
     per_member = em.groupBy("member_id").agg(*aggs)
 
     f = final_flags.select(F.col("member_id").alias("_fid"), "ckd_no_esrd_flag", *C.COST_STAGE_VARS)
-    pm = per_member.join(f, per_member.member_id == f._fid, "left")
+    pm = per_member.join(f, F.col("member_id") == F.col("_fid"), "left")
     measures = []
     for name in in_pop:
         months = F.col(f"{name}__months")

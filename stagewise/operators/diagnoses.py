@@ -25,7 +25,7 @@ def parse_dx(dx_current: DataFrame, dx_previous: DataFrame, headers: DataFrame,
         both = both.distinct()
     dx = both.where(F.col("dx_code").isin(*CKD_DX_CODES))
     h = headers.select(F.col("claim_id").alias("_hid"), "from_date")
-    return (dx.join(h, dx.claim_id == h._hid, "left")
+    return (dx.join(h, F.col("claim_id") == F.col("_hid"), "left")
               .select("member_id", "claim_id", "dx_code", "from_date",
                       dx_number(F.col("dx_code")).alias("dx_num")))
 
@@ -40,7 +40,8 @@ def refine_all(dx: DataFrame) -> DataFrame:
     unspecified stage 3, the most recent specific stage 3 (value *and* date).
 
     Output: member_id, dx_num, from_date, unspecified (latest was unspecified 3),
-    refined (a specific stage 3 replaced it).
+    refined (a specific stage 3 replaced it), latest_num, latest_date (before
+    refinement).
     """
     key_ok = F.col("member_id").isNotNull() & F.col("from_date").isNotNull()
     order = ["from_date", "dx_num"]
@@ -54,7 +55,9 @@ def refine_all(dx: DataFrame) -> DataFrame:
         F.when(use_spec, F.col("s.dx_num")).otherwise(F.col("l.dx_num")).alias("dx_num"),
         F.when(use_spec, F.col("s.from_date")).otherwise(F.col("l.from_date")).alias("from_date"),
         unspec.alias("unspecified"),
-        use_spec.alias("refined"))
+        use_spec.alias("refined"),
+        F.col("l.dx_num").alias("latest_num"),
+        F.col("l.from_date").alias("latest_date"))
 
 
 def refine_unspecified(dx: DataFrame) -> DataFrame:

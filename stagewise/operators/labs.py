@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import LAB_FLAG_LIMIT, NULL_SENTINEL, PERSISTENCE_DAYS, RunConfig
 from ..functions.parsing import is_threshold_text, threshold_value, to_whole_number
 from ..functions.rules import first_match
-from .latest import latest_by
+from .latest import latest_struct
 
 
 def normalise_labs(labs: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -38,30 +38,50 @@ def normalise_labs(labs: DataFrame, cfg: RunConfig) -> DataFrame:
                         "date_servicebegin"))
 
 
-def lab_persistence_flags(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
+def lab_summary(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
+    """One pass over the target-test rows giving, per member, everything the
+    persistence flag and the latest-day value need.
+
+    (member, day) -> any numeric value below the limit, lowest value, distinct
+    values; then member -> first/last low day and the latest day with a value
+    (``latest_struct``).  Both levels are partial aggregates, so no task holds
+    a whole member, and the lab table is scanned once for both uses.
+    """
+    d, v = F.col("date_servicebegin"), F.col("all_results")
+    per_day = (jvhl.where(F.col("requestcpt") == cfg.target_test)
+                   .groupBy("member_id", "date_servicebegin")
+                   .agg(F.max(F.col("numericresult") < LAB_FLAG_LIMIT).alias("_low"),
+                        F.min(v).alias("all_results"),
+                        F.count_distinct(v).alias("n_labs")))
+    return (per_day.groupBy("member_id")
+                   .agg(F.max("_low").alias("_any_low"),
+                        F.min(F.when(F.col("_low"), d)).alias("_low_first"),
+                        F.max(F.when(F.col("_low"), d)).alias("_low_last"),
+                        latest_struct([d], [v, F.col("n_labs")], where=v.isNotNull() & d.isNotNull())
+                        .alias("_latest")))
+
+
+def persistence_from_summary(summary: DataFrame) -> DataFrame:
     """Members with a target test below the limit (numeric value only); the flag
     is 1 when first and last such result are at least 90 days apart."""
-    d = F.col("date_servicebegin")
-    return (jvhl.where((F.col("requestcpt") == cfg.target_test)
-                       & (F.col("numericresult") < LAB_FLAG_LIMIT))
-                .groupBy("member_id")
-                .agg(F.when(F.datediff(F.max(d), F.min(d)) >= PERSISTENCE_DAYS, 1)
-                      .otherwise(0).alias("ckd_jvhl_flag_2labs")))
+    span = F.datediff(F.col("_low_last"), F.col("_low_first"))
+    return (summary.where(F.col("_any_low"))
+                   .select("member_id",
+                           F.when(span >= PERSISTENCE_DAYS, 1).otherwise(0).alias("ckd_jvhl_flag_2labs")))
 
 
-def latest_lab(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Per member, the latest day with a target-test value: the lowest value that
-    day (highest stage) and how many distinct values it had.
+def latest_from_summary(summary: DataFrame) -> DataFrame:
+    """Per member, the latest day with a value: the lowest value that day (highest
+    stage) and how many distinct values it had."""
+    return (summary.where(F.col("member_id").isNotNull() & F.col("_latest").isNotNull())
+                   .select("member_id", F.col("_latest.date_servicebegin").alias("date_servicebegin"),
+                           F.col("_latest.all_results").alias("all_results"),
+                           F.col("_latest.n_labs").alias("n_labs")))
 
-    Two partial aggregates: (member, day) -> (min, distinct count), then member ->
-    latest day via ``latest_by``.  Rows without a value are dropped first; min and
-    count(distinct) ignore NULLs anyway.
-    """
-    v = F.col("all_results")
-    per_day = (jvhl.where((F.col("requestcpt") == cfg.target_test) & v.isNotNull()
-                          & F.col("member_id").isNotNull()
-                          & F.col("date_servicebegin").isNotNull())
-                   .groupBy("member_id", "date_servicebegin")
-                   .agg(F.min(v).alias("all_results"),
-                        F.count_distinct(v).alias("n_labs")))
-    return latest_by(per_day, "member_id", ["date_servicebegin"], ["all_results", "n_labs"])
+
+def lab_persistence_flags(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
+    return persistence_from_summary(lab_summary(jvhl, cfg))
+
+
+def latest_lab(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
+    return latest_from_summary(lab_summary(jvhl, cfg))

@@ -35,10 +35,10 @@ def member_rollup(enroll: DataFrame, lab_flags: DataFrame, cond_current: DataFra
                       .agg(F.max(F.coalesce(F.col("aki"), F.lit(0))).alias("_paki")))
     m = member.groupBy(F.col("member_id").alias("_mid")).agg(F.max("age").alias("_age"))
 
-    j = (e.join(lab, e.member_id == lab._lid, "left")
-          .join(f, e.member_id == f._fid, "left")
-          .join(p, e.member_id == p._pid, "left")
-          .join(m, e.member_id == m._mid, "left"))
+    j = (e.join(lab, F.col("member_id") == F.col("_lid"), "left")
+          .join(f, F.col("member_id") == F.col("_fid"), "left")
+          .join(p, F.col("member_id") == F.col("_pid"), "left")
+          .join(m, F.col("member_id") == F.col("_mid"), "left"))
     lab_flag = F.when(F.col("_lid").isNotNull(), 1).otherwise(0)
     esrd = F.col("_esrd") == 1
     return j.select(

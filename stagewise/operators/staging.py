@@ -28,8 +28,9 @@ def member_stage(member_jvhl: DataFrame, lab: DataFrame, dx: DataFrame) -> DataF
                    F.col("date_servicebegin").alias("_ldate"))
     d = dx.select(F.col("member_id").alias("_did"), F.col("dx_num").alias("_dx"),
                   F.col("from_date").alias("_ddate"))
-    j = (member_jvhl.join(l, member_jvhl.member_id == l._lid, "left")
-                    .join(d, member_jvhl.member_id == d._did, "left"))
+    m = member_jvhl.alias("m")
+    j = (m.join(l, F.col("m.member_id") == l._lid, "left")
+          .join(d, F.col("m.member_id") == d._did, "left"))
     v, lab_date, claim_date = F.col("_v"), F.col("_ldate"), F.col("_ddate")
     coarse = R.lab_stage_coarse(v)
     detailed = R.lab_stage_detailed(v)
@@ -37,7 +38,7 @@ def member_stage(member_jvhl: DataFrame, lab: DataFrame, dx: DataFrame) -> DataF
     source = R.recent_source(lab_date, claim_date, claims, detailed)
     stage = R.chosen_stage(source, detailed, claims)
     either = R.either_source_flag(F.col("ckd_ccw_flag"), F.col("ckd_jvhl_flag"))
-    return j.select(*[F.col(c) for c in member_jvhl.columns],
+    return j.select(F.col("m.*"),
                     coarse.alias("ckd_stage_jvhl"),
                     detailed.alias("ckd_stage_jvhl_detailed"),
                     claims.alias("ckd_stage_claims"),

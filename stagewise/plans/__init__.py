@@ -1,5 +1,6 @@
 """Whole-run plans: the lazy staging graph and the report writer."""
 
+from .report import render_text, report_sections, write_report
 from .staging_run import StagingRun
 
-__all__ = ["StagingRun"]
+__all__ = ["StagingRun", "report_sections", "write_report", "render_text"]

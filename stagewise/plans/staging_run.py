@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..operators import costs, diagnoses, labs, members, staging
@@ -29,18 +30,27 @@ class StagingRun:
     def _t(self, name: str, year: int | None = None) -> DataFrame:
         return self.inputs.table(name, year)
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Member-grain intermediates re-read by several sections: cached (lost
+        blocks are recomputed from lineage) when the run materialises."""
+        return df if self.mode == "none" else materialize(df, "persist")
+
     # -- labs ----------------------------------------------------------------
     @cached_property
     def labs_normalised(self) -> DataFrame:
         return labs.normalise_labs(self._t("labs"), self.cfg)
 
+    @cached_property
+    def lab_summary(self) -> DataFrame:
+        return self._keep(labs.lab_summary(self.labs_normalised, self.cfg))
+
     @cached_property
     def lab_flags(self) -> DataFrame:
-        return labs.lab_persistence_flags(self.labs_normalised, self.cfg)
+        return labs.persistence_from_summary(self.lab_summary)
 
     @cached_property
     def latest_lab(self) -> DataFrame:
-        return labs.latest_lab(self.labs_normalised, self.cfg)
+        return labs.latest_from_summary(self.lab_summary)
 
     # -- members -------------------------------------------------------------
     @cached_property
@@ -63,11 +73,13 @@ class StagingRun:
 
     @cached_property
     def latest_dx(self) -> DataFrame:
-        return diagnoses.latest_dx(self.dx_bag)
+        """Latest diagnosis before refinement (same aggregate as the refinement)."""
+        return self.dx_refined.select("member_id", F.col("latest_date").alias("from_date"),
+                                      F.col("latest_num").alias("dx_num"))
 
     @cached_property
     def dx_refined(self) -> DataFrame:
-        return diagnoses.refine_all(self.dx_bag)
+        return self._keep(diagnoses.refine_all(self.dx_bag))
 
     @cached_property
     def dx_final(self) -> DataFrame:

@@ -25,12 +25,8 @@ from .schemas import LOGICAL
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Project ``df`` onto the declared schema of ``name`` (missing column = error)."""
     schema, _ = LOGICAL[name]
-    cols = {c.lower(): c for c in df.columns}
-    missing = [f.name for f in schema.fields if f.name not in cols]
-    if missing:
-        raise ValueError(f"{name}: missing columns {missing}")
-    return df.select(*[F.col(cols[f.name]).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    # resolved lazily (case-insensitively) at analysis; a missing column fails there
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 class Inputs:

@@ -40,9 +40,13 @@ class DriverFixtures(Inputs):
 
     def __init__(self, spark: SparkSession, sf_dir: str, analysis_year: int = FIXTURE_YEAR):
         self.spark, self.sf_dir, self.analysis_year = spark, sf_dir.rstrip("/"), analysis_year
+        self._scans: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # one relation per driver table (file listing and footer read happen once)
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     def _orders(self, year: int | None = None) -> DataFrame:
         o = self._read("orders")
@@ -85,7 +89,7 @@ class DriverFixtures(Inputs):
         li = self._read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                             "l_tax", "l_returnflag", "l_shipdate")
         o = self._orders().select("o_orderkey", "o_custkey").where(F.col("o_custkey") % 4 != 3)
-        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         line = F.col("l_linenumber")
         value_text = F.concat((F.col("l_quantity").cast("int") * 2).cast("string"), F.lit("."),
                               F.round(F.col("l_tax") * 100).cast("int").cast("string"))
@@ -119,7 +123,7 @@ class DriverFixtures(Inputs):
     def _claims(self, year):
         li = self._read("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
         o = self._orders(year).select("o_orderkey", "o_custkey", "o_orderdate")
-        return (li.join(o, li.l_orderkey == o.o_orderkey)
+        return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
                   .select(F.col("l_orderkey").alias("claim_id"),
                           F.col("o_custkey").alias("member_id"),
                           F.col("o_orderdate").cast("date").alias("from_date"),
