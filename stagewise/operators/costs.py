@@ -7,8 +7,9 @@ Shapes chosen for scale:
   multiplicity a row-level join would have produced is applied arithmetically
   (duplicate category or header rows multiply summed line amounts, as the
   row-level join does);
-* claim cost is summed to (member, month) before it meets enrolment months, so
-  the member-month join is 1:1 on that side;
+* exposure never joins at row level: enrolment rows and claim rows are unioned
+  and partially aggregated per (member, month), then per member; the adult
+  filter becomes a member-grain multiplicity joined 1:1;
 * the whole battery (3 populations x category filters x 6 stage schemes) is one
   member aggregate with conditional sums, one small stage cuboid, and one
   unpivot - instead of one rebuild plus six group-bys per report table.
@@ -62,20 +63,70 @@ def _month(c: Column) -> Column:
     return F.date_format(c, "yyyyMM")
 
 
-def _eligible_months(enroll: DataFrame, member: DataFrame) -> DataFrame:
-    """Adult enrolment months (member table joined row-for-row, as the source does)."""
-    m = member.select(F.col("member_id").alias("_mid"), "age")
-    return (enroll.join(m, F.col("member_id") == F.col("_mid"), "inner")
-                  .where(adults(F.col("age")))
-                  .select("member_id", _month(F.col("begin_date")).alias("month"),
-                          "medical_flag", "dual_flag"))
-
-
 def _years(n_month: Column) -> Column:
     """months / 12 as a fixed-point number with six decimals (5/12 -> 0.416667)."""
     return (n_month.cast(YEARS) / F.lit(12)).cast(YEARS)
 
 
+def _category_key(category: str) -> str:
+    return "c_" + category.replace(" ", "_")
+
+
+def member_measures(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
+                    populations: dict[str, tuple[str, str]],
+                    costs_needed: set[tuple[str, str]]) -> DataFrame:
+    """Per member: ``<pop>__months`` and ``<pop>__<c_category>`` over adult
+    enrolment months, for several populations (medical, dual flag filters) and
+    claim categories at once.
+
+    Semantics are those of joining enrolment months to the member table (adults
+    only) and then to the claims of the same member and month, summing claim
+    cost and counting months.  Evaluated without any row-level join:
+
+    1. enrolment rows and claim rows (NULL months excluded: they never match)
+       are unioned and partially aggregated per (member, month): enrolment rows
+       per population, claim cost per category;
+    2. a member aggregate multiplies each month's cost by its enrolment rows
+       (duplicate months count twice, as the join does) and sums;
+    3. the member-grain adult multiplicity (adult rows in the member table) is
+       joined 1:1 and scales both months and cost.
+
+    Every shuffle carries partial aggregates, so a member (or member-month)
+    holding a third of all rows never lands whole in one task.
+    """
+    pop_names = list(populations)
+    cats = sorted({cat for _, cat in costs_needed})
+    money_null = F.lit(None).cast(MONEY_SUM)
+    e = enroll.select(
+        "member_id", _month(F.col("begin_date")).alias("month"),
+        *[(flag_where(F.col("medical_flag"), med) & flag_where(F.col("dual_flag"), dual))
+          .alias(name) for name, (med, dual) in populations.items()],
+        money_null.alias("_amt"), F.lit(None).cast("string").alias("_cat"))
+    c = claim_prep.where(F.col("from_date").isNotNull()).select(
+        "member_id", _month(F.col("from_date")).alias("month"),
+        *[F.lit(False).alias(name) for name in pop_names],
+        F.col("allowed_amt").cast(MONEY_SUM).alias("_amt"), F.col("fasc_cat_adj").alias("_cat"))
+    per_month = (e.unionByName(c).groupBy("member_id", "month")
+                 .agg(*[F.count_if(F.col(name)).alias(f"_{name}_n") for name in pop_names],
+                      *[F.sum(F.when(category_where(F.col("_cat"), cat), F.col("_amt")))
+                        .alias(f"_{_category_key(cat)}") for cat in cats]))
+    aggs = [F.sum(f"_{name}_n").alias(f"_{name}_months") for name in pop_names]
+    for name, cat in sorted(costs_needed):
+        n = F.col(f"_{name}_n")
+        aggs.append(F.sum(F.when(n > 0, F.col(f"_{_category_key(cat)}") * n.cast("decimal(10,0)")))
+                    .cast(MONEY_SUM).alias(f"_{name}__{_category_key(cat)}"))
+    per_member = per_month.groupBy("member_id").agg(*aggs)
+    adult = (member.groupBy(F.col("member_id").alias("_mid"))
+                   .agg(F.count_if(adults(F.col("age"))).alias("_mult"))
+                   .where(F.col("_mult") > 0))
+    mult = F.col("_mult")
+    out = [(F.col(f"_{name}_months") * mult).alias(f"{name}__months") for name in pop_names]
+    out += [(F.col(f"_{name}__{_category_key(cat)}") * mult.cast("decimal(10,0)")).cast(MONEY_SUM)
+            .alias(f"{name}__{_category_key(cat)}") for name, cat in sorted(costs_needed)]
+    return (per_member.join(adult, F.col("member_id") == F.col("_mid"), "inner")
+                      .select("member_id", *out))
+
+
 def member_cost(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
                 final_flags: DataFrame, category: str = "all", medical: str = "both",
                 dual: str = "both") -> DataFrame:
@@ -84,22 +135,14 @@ def member_cost(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
     Cost counts only claims whose service month is an enrolled month; members
     with no such claim keep NULL cost but still add their years.
     """
-    e = (_eligible_months(enroll, member)
-         .where(flag_where(F.col("medical_flag"), medical) & flag_where(F.col("dual_flag"), dual))
-         .select("member_id", "month"))
-    cm = (claim_prep.where(category_where(F.col("fasc_cat_adj"), category))
-                    .groupBy(F.col("member_id").alias("_cid"),
-                             _month(F.col("from_date")).alias("_cmonth"))
-                    .agg(F.sum("allowed_amt").alias("_cost")))
-    per_member = (e.join(cm, (F.col("member_id") == F.col("_cid")) & (F.col("month") == F.col("_cmonth")), "left")
-                   .groupBy("member_id")
-                   .agg(F.sum("_cost").cast(MONEY_SUM).alias("cost_sum"),
-                        F.count(F.lit(1)).alias("n_month")))
+    pm = (member_measures(enroll, member, claim_prep, {"p": (medical, dual)}, {("p", category)})
+          .where(F.col("p__months") > 0))
     f = final_flags.select(F.col("member_id").alias("_fid"), "ckd_no_esrd_flag",
                            *C.COST_STAGE_VARS)
-    return (per_member.join(f, F.col("member_id") == F.col("_fid"), "left")
-            .select("member_id", *C.COST_STAGE_VARS, "ckd_no_esrd_flag", "cost_sum",
-                    _years(F.col("n_month")).alias("n_year")))
+    return (pm.join(f, F.col("member_id") == F.col("_fid"), "left")
+            .select("member_id", *C.COST_STAGE_VARS, "ckd_no_esrd_flag",
+                    F.col(f"p__{_category_key(category)}").alias("cost_sum"),
+                    _years(F.col("p__months")).alias("n_year")))
 
 
 def _ratio(total: Column, years: Column) -> Column:
@@ -128,10 +171,6 @@ def cost_by_stage(member_cost_df: DataFrame) -> DataFrame:
 _POPULATIONS = {("both", "both"): "p_all", ("Y", "N"): "p_med_nodual", ("both", "Y"): "p_dual"}
 
 
-def _category_key(category: str) -> str:
-    return "c_" + category.replace(" ", "_")
-
-
 def battery_titles(cfg: C.RunConfig) -> list[str]:
     base = "Cost per bene year by stage"
     out = []
@@ -152,47 +191,26 @@ def cost_battery(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
                  battery: tuple = C.COST_BATTERY) -> DataFrame:
     """All cost-by-stage tables of the battery in one pass.
 
-    1. claim cost per (member, month) with one conditional sum per category filter;
-    2. eligible adult months left-joined 1:1 to it, then one member aggregate with
-       per-population month counts and conditional cost sums;
-    3. joined to the stage variables and reduced to a cuboid over the six stage
-       schemes (bounded by label combinations, not by members);
-    4. one unpivot over (table x scheme) and one aggregate.
+    1. :func:`member_measures` for the three populations and every category
+       filter the battery needs (one union, two partial aggregates, one
+       member-grain join);
+    2. joined 1:1 to the stage variables and reduced to a cuboid over the six
+       stage schemes (bounded by label combinations, not by members);
+    3. one unpivot over (table x scheme) and one aggregate.
 
     Output: table_id, title, fasc_cat, med_flag, dual_flag, stage_var, stage,
     total_cost, n_year, cost_per_bene_yr.
     """
-    cats = sorted({cat for cat, _, _ in battery})
     pops = sorted({(med, dual) for _, med, dual in battery})
     pop_name = {p: _POPULATIONS.get(p, f"p_{p[0]}_{p[1]}") for p in pops}
     needed = {(pop_name[(med, dual)], cat) for cat, med, dual in battery}
-
-    lower = F.lower(F.col("fasc_cat_adj"))
-    cm = (claim_prep.groupBy(F.col("member_id").alias("_cid"),
-                             _month(F.col("from_date")).alias("_cmonth"))
-                    .agg(*[F.sum(F.when(category_where(F.col("fasc_cat_adj"), c), F.col("allowed_amt")))
-                           .alias(_category_key(c)) for c in cats]))
-    e = _eligible_months(enroll, member)
-    in_pop = {pop_name[p]: flag_where(F.col("medical_flag"), p[0]) & flag_where(F.col("dual_flag"), p[1])
-              for p in pops}
-    any_pop = None
-    for cond in in_pop.values():
-        any_pop = cond if any_pop is None else (any_pop | cond)
-    e = e.where(any_pop).select("member_id", "month",
-                                *[cond.alias(name) for name, cond in in_pop.items()])
-    em = e.join(cm, (F.col("member_id") == F.col("_cid")) & (F.col("month") == F.col("_cmonth")), "left")
-    aggs = []
-    for name in in_pop:
-        aggs.append(F.count_if(F.col(name)).alias(f"{name}__months"))
-    for name, cat in sorted(needed):
-        aggs.append(F.sum(F.when(F.col(name), F.col(_category_key(cat))))
-                    .cast(MONEY_SUM).alias(f"{name}__{_category_key(cat)}"))
-    per_member = em.groupBy("member_id").agg(*aggs)
+    per_member = member_measures(enroll, member, claim_prep,
+                                 {pop_name[p]: p for p in pops}, needed)
 
     f = final_flags.select(F.col("member_id").alias("_fid"), "ckd_no_esrd_flag", *C.COST_STAGE_VARS)
     pm = per_member.join(f, F.col("member_id") == F.col("_fid"), "left")
     measures = []
-    for name in in_pop:
+    for name in pop_name.values():
         months = F.col(f"{name}__months")
         measures.append(F.sum(F.when(months > 0, 1)).alias(f"{name}__members"))
         measures.append(F.sum(F.when(months > 0, _years(months))).cast(YEARS_SUM).alias(f"{name}__years"))

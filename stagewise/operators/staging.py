@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..functions import rules as R
+from .members import member_columns
 
 STAGE_COLUMNS = ("ckd_stage_jvhl", "ckd_stage_jvhl_detailed", "ckd_stage_claims",
                  "ckd_stage_claims_date", "ckd_stage_jvhl_date", "recent_stage",
@@ -16,29 +17,26 @@ CATEGORY_COLUMNS = ("ckd_stage_comb_all", "ckd_stage_comb_w3unsp",
                     "ckd_stage_comb_5andesrd", "ckd_stage_comb_5cat")
 
 
-def member_stage(member_jvhl: DataFrame, lab: DataFrame, dx: DataFrame) -> DataFrame:
-    """Attach latest lab and latest claim stage to every member and choose one.
+def member_stage(member_wide: DataFrame, dx: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Attach the latest claim stage to every member and choose one stage.
 
-    ``lab``: member_id, date_servicebegin, all_results (latest_lab);
-    ``dx``:  member_id, dx_num, from_date (dx_stage_final).
-    Both are one row per member, so the two left joins keep the member grain;
-    all three inputs are keyed (and shuffled) by member_id only.
+    ``member_wide``: :func:`~stagewise.operators.members.member_rollup_wide`
+    (member flags plus ``_lab_date`` / ``_lab_value`` of the latest lab day);
+    ``dx``: member_id, dx_num, from_date (dx_stage_final).  One row per member
+    on both sides, so the left join keeps the member grain and both inputs are
+    keyed (and shuffled) by member_id only.
     """
-    l = lab.select(F.col("member_id").alias("_lid"), F.col("all_results").alias("_v"),
-                   F.col("date_servicebegin").alias("_ldate"))
     d = dx.select(F.col("member_id").alias("_did"), F.col("dx_num").alias("_dx"),
                   F.col("from_date").alias("_ddate"))
-    m = member_jvhl.alias("m")
-    j = (m.join(l, F.col("m.member_id") == l._lid, "left")
-          .join(d, F.col("m.member_id") == d._did, "left"))
-    v, lab_date, claim_date = F.col("_v"), F.col("_ldate"), F.col("_ddate")
+    j = member_wide.join(d, F.col("member_id") == F.col("_did"), "left")
+    v, lab_date, claim_date = F.col("_lab_value"), F.col("_lab_date"), F.col("_ddate")
     coarse = R.lab_stage_coarse(v)
     detailed = R.lab_stage_detailed(v)
     claims = R.claim_stage_label(F.col("_dx"), F.col("ckd_ccw_flag"))
     source = R.recent_source(lab_date, claim_date, claims, detailed)
     stage = R.chosen_stage(source, detailed, claims)
     either = R.either_source_flag(F.col("ckd_ccw_flag"), F.col("ckd_jvhl_flag"))
-    return j.select(F.col("m.*"),
+    return j.select(*member_columns(cfg),
                     coarse.alias("ckd_stage_jvhl"),
                     detailed.alias("ckd_stage_jvhl_detailed"),
                     claims.alias("ckd_stage_claims"),

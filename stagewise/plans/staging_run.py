@@ -54,11 +54,15 @@ class StagingRun:
 
     # -- members -------------------------------------------------------------
     @cached_property
-    def member_jvhl(self) -> DataFrame:
+    def member_wide(self) -> DataFrame:
         y, p = self.cfg.year, self.cfg.prev_year
-        return members.member_rollup(self._t("enroll", y), self.lab_flags,
-                                     self._t("condition_flags", y), self._t("condition_flags", p),
-                                     self._t("member", y), self.cfg)
+        return members.member_rollup_wide(self._t("enroll", y), self.lab_summary,
+                                          self._t("condition_flags", y), self._t("condition_flags", p),
+                                          self._t("member", y), self.cfg)
+
+    @cached_property
+    def member_jvhl(self) -> DataFrame:
+        return self.member_wide.select(*members.member_columns(self.cfg))
 
     # -- diagnoses -----------------------------------------------------------
     def dx_parsed(self, distinct: bool = True) -> DataFrame:
@@ -88,7 +92,7 @@ class StagingRun:
     # -- stage -------------------------------------------------------------
     @cached_property
     def member_stage(self) -> DataFrame:
-        return staging.member_stage(self.member_jvhl, self.latest_lab, self.dx_final)
+        return staging.member_stage(self.member_wide, self.dx_final, self.cfg)
 
     @cached_property
     def final_flags(self) -> DataFrame:
