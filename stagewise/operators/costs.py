@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import sqltext as Q
 from ..functions.predicates import adults, category_where, flag_where
 
 MONEY_SUM = "decimal(38,2)"
@@ -153,12 +154,9 @@ def cost_by_stage(member_cost_df: DataFrame) -> DataFrame:
     """Six stage schemes stacked long: stage_var, stage, total_cost, n_year,
     cost_per_bene_yr.  The claim-stage scheme counts only members flagged by
     claims without end-stage.  One unpivot + one aggregate."""
-    rows = [F.when(F.col("ckd_no_esrd_flag") == 1 if v == "ckd_stage_claims" else F.lit(True),
-                   F.struct(F.lit(v).alias("stage_var"), F.col(v).alias("stage")))
-            for v in C.COST_STAGE_VARS]
-    stacked = (member_cost_df
-               .select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())),
-                       "cost_sum", "n_year"))
+    rows = [("ckd_no_esrd_flag = 1" if v == "ckd_stage_claims" else None,
+             [("stage_var", Q.lit(v)), ("stage", Q.ident(v))]) for v in C.COST_STAGE_VARS]
+    stacked = member_cost_df.select(Q.unpivot_rows(rows), "cost_sum", "n_year")
     return (stacked.groupBy("stage_var", "stage")
                    .agg(F.sum("cost_sum").cast(MONEY_SUM).alias("total_cost"),
                         F.sum("n_year").cast(YEARS_SUM).alias("n_year"))
@@ -224,17 +222,15 @@ def cost_battery(enroll: DataFrame, member: DataFrame, claim_prep: DataFrame,
     for tid, ((cat, med, dual), title) in enumerate(zip(battery, titles), start=1):
         name = pop_name[(med, dual)]
         for v in C.COST_STAGE_VARS:
-            cond = F.col(f"{name}__members") > 0
+            cond = f"{Q.ident(name + '__members')} > 0"
             if v == "ckd_stage_claims":
-                cond = cond & (F.col("ckd_no_esrd_flag") == 1)
-            rows.append(F.when(cond, F.struct(
-                F.lit(tid).alias("table_id"), F.lit(title).alias("title"),
-                F.lit(cat).alias("fasc_cat"), F.lit(med).alias("med_flag"),
-                F.lit(dual).alias("dual_flag"), F.lit(v).alias("stage_var"),
-                F.col(v).alias("stage"),
-                F.col(f"{name}__{_category_key(cat)}").alias("cost"),
-                F.col(f"{name}__years").alias("years"))))
-    stacked = cuboid.select(F.inline(F.filter(F.array(*rows), lambda x: x.isNotNull())))
+                cond += " AND ckd_no_esrd_flag = 1"
+            rows.append((cond, [
+                ("table_id", Q.lit(tid)), ("title", Q.lit(title)), ("fasc_cat", Q.lit(cat)),
+                ("med_flag", Q.lit(med)), ("dual_flag", Q.lit(dual)), ("stage_var", Q.lit(v)),
+                ("stage", Q.ident(v)), ("cost", Q.ident(f"{name}__{_category_key(cat)}")),
+                ("years", Q.ident(f"{name}__years"))]))
+    stacked = cuboid.select(Q.unpivot_rows(rows))
     return (stacked.groupBy("table_id", "title", "fasc_cat", "med_flag", "dual_flag",
                             "stage_var", "stage")
                    .agg(F.sum("cost").cast(MONEY_SUM).alias("total_cost"),

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import sqltext as Q
 from ..functions.predicates import apply_where
 
 
@@ -83,10 +84,12 @@ def distribution(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 @dataclass(frozen=True)
 class Table:
+    """One report table: its id, title, dimension columns and an optional
+    filter written as a SQL boolean expression over the input columns."""
     table_id: int
     title: str
     dims: tuple[str, ...]
-    where: Column | None = None
+    where: str | None = None
 
 
 def stacked_frequencies(df: DataFrame, tables: Sequence[Table], width: int | None = None,
@@ -94,24 +97,25 @@ def stacked_frequencies(df: DataFrame, tables: Sequence[Table], width: int | Non
     """Many frequency tables in one pass, long form:
     table_id, title, var1, val1, ..., varW, valW, n  (values as strings).
 
+    Each input row emits one record per table whose filter holds (a single
+    ``inline`` generator declared as SQL text), and one aggregate counts them.
     ``weight``: sum this column instead of counting rows (for a pre-aggregated
     cuboid).  Output ordered by table then values, NULLs last.
     """
     width = width or max(len(t.dims) for t in tables)
-    recs = []
+    w = f"CAST({Q.ident(weight)} AS BIGINT)" if weight else "CAST(1 AS BIGINT)"
+    rows = []
     for t in tables:
-        fields = [F.lit(t.table_id).alias("table_id"), F.lit(t.title).alias("title")]
+        fields = [("table_id", Q.lit(t.table_id)), ("title", Q.lit(t.title))]
         for i in range(width):
             if i < len(t.dims):
-                fields += [F.lit(t.dims[i]).alias(f"var{i + 1}"),
-                           F.col(t.dims[i]).cast("string").alias(f"val{i + 1}")]
+                fields += [(f"var{i + 1}", Q.lit(t.dims[i])),
+                           (f"val{i + 1}", f"CAST({Q.ident(t.dims[i])} AS STRING)")]
             else:
-                fields += [F.lit(None).cast("string").alias(f"var{i + 1}"),
-                           F.lit(None).cast("string").alias(f"val{i + 1}")]
-        fields.append((F.col(weight) if weight else F.lit(1)).cast("long").alias("_w"))
-        s = F.struct(*fields)
-        recs.append(F.when(t.where, s) if t.where is not None else s)
-    stacked = df.select(F.inline(F.filter(F.array(*recs), lambda r: r.isNotNull())))
+                fields += [(f"var{i + 1}", "CAST(NULL AS STRING)"), (f"val{i + 1}", "CAST(NULL AS STRING)")]
+        fields.append(("_w", w))
+        rows.append((t.where, fields))
+    stacked = df.select(Q.unpivot_rows(rows))
     keys = ["table_id", "title"] + [c for i in range(width) for c in (f"var{i + 1}", f"val{i + 1}")]
     out = stacked.groupBy(*keys).agg(F.sum("_w").alias("n"))
     return out.orderBy(*_order(keys)) if ordered else out
@@ -151,12 +155,16 @@ def stage_frequency_tables(cfg: C.RunConfig) -> list[Table]:
     return [Table(i, f"{v} for {cfg.year}", (v,)) for i, v in enumerate(STAGE_REPORT_VARS, start=1)]
 
 
-def crosstab_tables(cfg: C.RunConfig, adult: Column, denom: Column) -> list[Table]:
-    """The 2 cohorts x (9 one-way + 6 multi-way) tables, in report order."""
+def crosstab_tables(cfg: C.RunConfig, adult: str, denom: str) -> list[Table]:
+    """The 2 cohorts x (9 one-way + 6 multi-way) tables, in report order.
+
+    ``adult`` / ``denom``: SQL conditions for "adult" and "in the lab-plan
+    denominator" over the frame the battery reads.
+    """
     partners = crosstab_partners(cfg)
     tables, tid = [], 0
     for cohort in COHORTS:
-        where = adult if cohort == "adults" else (adult & denom)
+        where = adult if cohort == "adults" else f"({adult}) AND ({denom})"
         for v in CROSSTAB_VARS:
             tid += 1
             tables.append(Table(tid, f"{v} for {cohort} in {cfg.year}", (v,), where))
@@ -191,7 +199,7 @@ def crosstab_battery(final_flags: DataFrame, cfg: C.RunConfig) -> DataFrame:
     adult = F.coalesce(F.col("age") >= C.ADULT_AGE, F.lit(False)).alias("_adult")
     dims = crosstab_dims(cfg)
     base = cuboid(final_flags, dims, extra=[adult, F.col("jvhl_denom_flag")])
-    tables = crosstab_tables(cfg, F.col("_adult"), F.col("jvhl_denom_flag") == 1)
+    tables = crosstab_tables(cfg, "_adult", "jvhl_denom_flag = 1")
     return stacked_frequencies(base, tables, weight="n")
 
 
@@ -215,13 +223,13 @@ def monthly_counts(final_flags: DataFrame) -> DataFrame:
 # -- QA frequencies ----------------------------------------------------------
 
 def qa_lab_tables(cfg: C.RunConfig) -> list[Table]:
-    target = F.col("requestcpt") == cfg.target_test
+    target = f"requestcpt = {Q.lit(cfg.target_test)}"
     return [Table(1, "numericresult by all_results (target test)", ("numericresult", "all_results"), target),
             Table(2, "textresult by all_results (target test)", ("textresult", "all_results"), target)]
 
 
 def qa_member_tables(cfg: C.RunConfig) -> list[Table]:
-    differ = F.col("ckd_stage_jvhl_detailed") != F.col("ckd_stage_claims")
+    differ = "ckd_stage_jvhl_detailed <> ckd_stage_claims"
     specs = [
         ("jvhl_denom_flag", "ckd_jvhl_flag", "ckd_jvhl_flag_2labs", "ckd_no_esrd_jvhl_flag"),
         ("ckd_jvhl_flag", "ckd_no_esrd_jvhl_flag"),
@@ -251,7 +259,7 @@ def qa_frequencies(labs_normalised: DataFrame, latest_lab: DataFrame, final_flag
     member_dims = sorted({d for t in mt for d in t.dims})
     differ = (F.col("ckd_stage_jvhl_detailed") != F.col("ckd_stage_claims")).alias("_differ")
     base = cuboid(final_flags, member_dims, extra=[differ])
-    mt = [Table(t.table_id, t.title, t.dims, F.col("_differ") if t.where is not None else None)
+    mt = [Table(t.table_id, t.title, t.dims, "_differ" if t.where is not None else None)
           for t in mt]
     members_part = stacked_frequencies(base, mt, width, weight="n", ordered=False)
     keys = ["table_id", "title"] + [c for i in range(width) for c in (f"var{i + 1}", f"val{i + 1}")]

@@ -66,7 +66,7 @@ def test_one_way_tables_sum_to_population(final_flags):
 
 def test_crosstab_marginals_equal_one_way(final_flags):
     rows = Q.crosstab_battery(final_flags, CFG).collect()
-    tables = Q.crosstab_tables(CFG, F.lit(True), F.lit(True))
+    tables = Q.crosstab_tables(CFG, "TRUE", "TRUE")
     by_id = {t.table_id: t for t in tables}
     adults = final_flags.where("age >= 18").count()
     denom = final_flags.where("age >= 18 and jvhl_denom_flag = 1").count()
