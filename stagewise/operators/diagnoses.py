@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import CKD_DX_CODES, DX_SPECIFIC_3, DX_UNSPECIFIED_3
 from ..functions.parsing import dx_number
-from .latest import latest_by, latest_struct
+from .latest import date_code_key, key_code, key_date
 
 
 def parse_dx(dx_current: DataFrame, dx_previous: DataFrame, headers: DataFrame,
@@ -32,32 +32,42 @@ def parse_dx(dx_current: DataFrame, dx_previous: DataFrame, headers: DataFrame,
 
 def latest_dx(dx: DataFrame) -> DataFrame:
     """Per member, the latest service date and the highest number that day."""
-    return latest_by(dx, "member_id", ["from_date", "dx_num"])
+    return (refine_all(dx).select("member_id", F.col("latest_date").alias("from_date"),
+                                  F.col("latest_num").alias("dx_num")))
 
 
 def refine_all(dx: DataFrame) -> DataFrame:
     """One aggregation per member giving the latest diagnosis and, when that is
     unspecified stage 3, the most recent specific stage 3 (value *and* date).
 
+    "Latest date, greatest number that day" is the maximum of an
+    order-preserving (date, number) key, so both selections are plain BIGINT
+    maxima of one hash aggregate (map-side combined; a hot member never lands
+    whole in one task).  Rows without member or date are dropped first, as an
+    equi-join to the per-member maximum date would drop them.
+
     Output: member_id, dx_num, from_date, unspecified (latest was unspecified 3),
     refined (a specific stage 3 replaced it), latest_num, latest_date (before
     refinement).
     """
     key_ok = F.col("member_id").isNotNull() & F.col("from_date").isNotNull()
-    order = ["from_date", "dx_num"]
+    k = date_code_key(F.col("from_date"), F.col("dx_num"))
     agg = (dx.where(key_ok).groupBy("member_id")
-             .agg(latest_struct(order).alias("l"),
-                  latest_struct(order, where=F.col("dx_num").isin(*DX_SPECIFIC_3)).alias("s")))
-    unspec = F.col("l.dx_num") == DX_UNSPECIFIED_3
-    use_spec = unspec & F.col("s").isNotNull()
+             .agg(F.max(k).alias("_l"),
+                  F.max(F.when(F.col("dx_num").isin(*DX_SPECIFIC_3), k)).alias("_s")))
+    num_type = "decimal(38,0)"
+    l_num, l_date = key_code(F.col("_l")).cast(num_type), key_date(F.col("_l"))
+    s_num, s_date = key_code(F.col("_s")).cast(num_type), key_date(F.col("_s"))
+    unspec = l_num == DX_UNSPECIFIED_3
+    use_spec = unspec & F.col("_s").isNotNull()
     return agg.select(
         "member_id",
-        F.when(use_spec, F.col("s.dx_num")).otherwise(F.col("l.dx_num")).alias("dx_num"),
-        F.when(use_spec, F.col("s.from_date")).otherwise(F.col("l.from_date")).alias("from_date"),
+        F.when(use_spec, s_num).otherwise(l_num).alias("dx_num"),
+        F.when(use_spec, s_date).otherwise(l_date).alias("from_date"),
         unspec.alias("unspecified"),
         use_spec.alias("refined"),
-        F.col("l.dx_num").alias("latest_num"),
-        F.col("l.from_date").alias("latest_date"))
+        l_num.alias("latest_num"),
+        l_date.alias("latest_date"))
 
 
 def refine_unspecified(dx: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..config import LAB_FLAG_LIMIT, NULL_SENTINEL, PERSISTENCE_DAYS, RunConfig
 from ..functions.parsing import is_threshold_text, threshold_value, to_whole_number
 from ..functions.rules import first_match
-from .latest import latest_struct
 
 
 def normalise_labs(labs: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -44,8 +43,8 @@ def lab_summary(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
 
     (member, day) -> any numeric value below the limit, lowest value, distinct
     values; then member -> first/last low day and the latest day with a value
-    (``latest_struct``).  Both levels are partial aggregates, so no task holds
-    a whole member, and the lab table is scanned once for both uses.
+    (``max_by`` over days).  Both levels are partial hash aggregates, so no task
+    holds a whole member, and the lab table is scanned once for both uses.
     """
     d, v = F.col("date_servicebegin"), F.col("all_results")
     per_day = (jvhl.where(F.col("requestcpt") == cfg.target_test)
@@ -53,12 +52,16 @@ def lab_summary(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
                    .agg(F.max(F.col("numericresult") < LAB_FLAG_LIMIT).alias("_low"),
                         F.min(v).alias("all_results"),
                         F.count_distinct(v).alias("n_labs")))
+    # per_day is unique per (member, day), so max_by over the day is exact; its
+    # buffers are plain values, so the member aggregate stays hash-based
+    valued_day = F.when(v.isNotNull(), d)
     return (per_day.groupBy("member_id")
                    .agg(F.max("_low").alias("_any_low"),
                         F.min(F.when(F.col("_low"), d)).alias("_low_first"),
                         F.max(F.when(F.col("_low"), d)).alias("_low_last"),
-                        latest_struct([d], [v, F.col("n_labs")], where=v.isNotNull() & d.isNotNull())
-                        .alias("_latest")))
+                        F.max(valued_day).alias("_lab_date"),
+                        F.max_by(v, valued_day).alias("_lab_value"),
+                        F.max_by(F.col("n_labs"), valued_day).alias("_lab_n")))
 
 
 def persistence_from_summary(summary: DataFrame) -> DataFrame:
@@ -73,10 +76,10 @@ def persistence_from_summary(summary: DataFrame) -> DataFrame:
 def latest_from_summary(summary: DataFrame) -> DataFrame:
     """Per member, the latest day with a value: the lowest value that day (highest
     stage) and how many distinct values it had."""
-    return (summary.where(F.col("member_id").isNotNull() & F.col("_latest").isNotNull())
-                   .select("member_id", F.col("_latest.date_servicebegin").alias("date_servicebegin"),
-                           F.col("_latest.all_results").alias("all_results"),
-                           F.col("_latest.n_labs").alias("n_labs")))
+    return (summary.where(F.col("member_id").isNotNull() & F.col("_lab_date").isNotNull())
+                   .select("member_id", F.col("_lab_date").alias("date_servicebegin"),
+                           F.col("_lab_value").alias("all_results"),
+                           F.col("_lab_n").alias("n_labs")))
 
 
 def lab_persistence_flags(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:

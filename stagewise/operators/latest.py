@@ -39,3 +39,29 @@ def latest_by(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     agg = (df.where(cond).groupBy(*keys)
              .agg(latest_struct(order, values).alias("_latest")))
     return agg.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in [*order, *values]])
+
+
+# -- hash-aggregatable form for (date, small integer code) ---------------------
+
+CODE_WIDTH = 100_000
+
+
+def date_code_key(d: Column, code: Column, width: int = CODE_WIDTH) -> Column:
+    """Order-preserving BIGINT for (date, code), 0 <= code < width - 1.
+
+    ``max`` of the key is the latest date and, on that date, the greatest code
+    (a NULL code sorts lowest, as in struct ordering).  Unlike ``max(struct)``,
+    whose struct buffer forces a sort-based aggregate, a BIGINT ``max`` runs as
+    a hash aggregate with map-side combine.  NULL dates give a NULL key.
+    """
+    slot = F.coalesce(code.cast("bigint") + F.lit(1), F.lit(0))
+    return F.unix_date(d).cast("bigint") * F.lit(width) + slot
+
+
+def key_date(k: Column, width: int = CODE_WIDTH) -> Column:
+    return F.date_from_unix_date(((k - F.pmod(k, F.lit(width))) / F.lit(width)).cast("int"))
+
+
+def key_code(k: Column, width: int = CODE_WIDTH) -> Column:
+    slot = F.pmod(k, F.lit(width))
+    return F.when(slot > 0, slot - F.lit(1))
