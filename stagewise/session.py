@@ -35,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    _local_checkpoint_dir(spark)
     return spark
 
 
@@ -48,16 +48,28 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; create a scratch one only when unset."""
+    """Use the checkpoint folder named by the session (``spark.checkpoint.dir``).
+
+    Library code never invents one: on a cluster it must be a shared folder, so
+    a missing setting is an error.  Only :func:`local_session` (tests, bench)
+    fills in a scratch folder, and only when the setting is unset.
+    """
     d = checkpoint_dir(spark)
     if not d:
-        d = tempfile.mkdtemp(prefix="stagewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
+                           "(or use materialize_mode='persist')")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _local_checkpoint_dir(spark: SparkSession) -> None:
+    """Local sessions only: scratch checkpoint folder when none is configured."""
+    if not checkpoint_dir(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stagewise-ckpt-"))
+    ensure_checkpoint_dir(spark)
+
+
 def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """Cut lineage of a frame that several reports re-read.
 
