@@ -184,21 +184,47 @@ def crosstab_dims(cfg: C.RunConfig) -> list[str]:
     return dims
 
 
-def stage_frequencies(final_flags: DataFrame, cfg: C.RunConfig) -> DataFrame:
-    """The four one-way stage tables over all members (long form)."""
-    base = cuboid(final_flags, STAGE_REPORT_VARS)
+def _adult() -> Column:
+    return F.coalesce(F.col("age") >= C.ADULT_AGE, F.lit(False)).alias("_adult")
+
+
+def _differ() -> Column:
+    return (F.col("ckd_stage_jvhl_detailed") != F.col("ckd_stage_claims")).alias("_differ")
+
+
+def report_dims(cfg: C.RunConfig) -> list[str]:
+    """Every member-level dimension any report table groups by."""
+    dims = set(crosstab_dims(cfg)) | set(STAGE_REPORT_VARS) | {"jvhl_denom_flag"}
+    dims |= {d for t in qa_member_tables(cfg) for d in t.dims}
+    return sorted(dims)
+
+
+def report_cuboid(final_flags: DataFrame, cfg: C.RunConfig) -> DataFrame:
+    """Member counts over every combination of the report dimensions plus the
+    adult and lab-vs-claim-differ markers.  One pass over the member flags
+    answers the 4 stage tables, the 30 cohort tables and the 9 member QA
+    tables; its size is bounded by label combinations, not by members."""
+    return cuboid(final_flags, report_dims(cfg), extra=[_adult(), _differ()])
+
+
+def stage_frequencies(final_flags: DataFrame, cfg: C.RunConfig,
+                      base: DataFrame | None = None) -> DataFrame:
+    """The four one-way stage tables over all members (long form).
+    ``base``: a :func:`report_cuboid` to read instead of the member flags."""
+    if base is None:
+        base = cuboid(final_flags, STAGE_REPORT_VARS)
     return stacked_frequencies(base, stage_frequency_tables(cfg), weight="n")
 
 
-def crosstab_battery(final_flags: DataFrame, cfg: C.RunConfig) -> DataFrame:
+def crosstab_battery(final_flags: DataFrame, cfg: C.RunConfig,
+                     base: DataFrame | None = None) -> DataFrame:
     """All 30 cohort frequency/crosstab tables from one cuboid of the member flags.
 
     The cuboid carries every report dimension, the adult flag (NULL age -> not
     adult) and the plan-denominator flag; each table then sums cuboid counts.
     """
-    adult = F.coalesce(F.col("age") >= C.ADULT_AGE, F.lit(False)).alias("_adult")
-    dims = crosstab_dims(cfg)
-    base = cuboid(final_flags, dims, extra=[adult, F.col("jvhl_denom_flag")])
+    if base is None:
+        base = cuboid(final_flags, crosstab_dims(cfg), extra=[_adult(), F.col("jvhl_denom_flag")])
     tables = crosstab_tables(cfg, "_adult", "jvhl_denom_flag = 1")
     return stacked_frequencies(base, tables, weight="n")
 
@@ -250,15 +276,15 @@ def qa_member_tables(cfg: C.RunConfig) -> list[Table]:
 
 
 def qa_frequencies(labs_normalised: DataFrame, latest_lab: DataFrame, final_flags: DataFrame,
-                   cfg: C.RunConfig, width: int = 4) -> DataFrame:
-    """The QA frequency prints as one long frame (12 tables, three sources)."""
+                   cfg: C.RunConfig, width: int = 4, base: DataFrame | None = None) -> DataFrame:
+    """The QA frequency prints as one long frame (12 tables, three sources).
+    ``base``: a :func:`report_cuboid` for the member tables."""
     labs_part = stacked_frequencies(labs_normalised, qa_lab_tables(cfg), width, ordered=False)
     n_labs = stacked_frequencies(latest_lab, [Table(3, "n_labs on the latest lab day", ("n_labs",))],
                                  width, ordered=False)
     mt = qa_member_tables(cfg)
-    member_dims = sorted({d for t in mt for d in t.dims})
-    differ = (F.col("ckd_stage_jvhl_detailed") != F.col("ckd_stage_claims")).alias("_differ")
-    base = cuboid(final_flags, member_dims, extra=[differ])
+    if base is None:
+        base = cuboid(final_flags, sorted({d for t in mt for d in t.dims}), extra=[_differ()])
     mt = [Table(t.table_id, t.title, t.dims, "_differ" if t.where is not None else None)
           for t in mt]
     members_part = stacked_frequencies(base, mt, width, weight="n", ordered=False)

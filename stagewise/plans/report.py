@@ -19,24 +19,37 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..operators import frequency, members, quality
 from ..sources.catalog import Inputs
+from ..session import materialize
 from .staging_run import StagingRun
 
 
 def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
-    """Section name -> lazily built frame, in report order."""
+    """Section name -> lazily built frame, in report order.
+
+    All member-level frequency sections read one shared report cuboid, so the
+    member flags are aggregated once for 43 tables.
+    """
     cfg = run.cfg
+    shared: dict[str, DataFrame] = {}
+
+    def cube() -> DataFrame:
+        if "cube" not in shared:
+            c = frequency.report_cuboid(run.final_flags, cfg)
+            shared["cube"] = c if run.mode == "none" else materialize(c, "persist")
+        return shared["cube"]
+
     sections: dict[str, Callable[[], DataFrame]] = {
         "flag_minus_esrd_count": lambda: members.flag_minus_esrd_count(run.final_flags).select(
             F.lit("Beneficiaries flagged as CKD from JVHL data and ESRD").alias("title"), "n"),
-        "stage_frequencies": lambda: frequency.stage_frequencies(run.final_flags, cfg),
+        "stage_frequencies": lambda: frequency.stage_frequencies(run.final_flags, cfg, base=cube()),
         "qa_frequencies": lambda: frequency.qa_frequencies(run.labs_normalised, run.latest_lab,
-                                                           run.final_flags, cfg),
+                                                           run.final_flags, cfg, base=cube()),
         "qa_both_sources_sample": lambda: quality.qa_both_sources_sample(run.final_flags),
         "dx_parity": lambda: quality.dx_parity(run.latest_dx, run.dx_final),
     }
     if cfg.diagnostics:
         sections.update({
-            "crosstab_battery": lambda: frequency.crosstab_battery(run.final_flags, cfg),
+            "crosstab_battery": lambda: frequency.crosstab_battery(run.final_flags, cfg, base=cube()),
             "monthly_counts": lambda: frequency.monthly_counts(run.final_flags),
             "cost_battery": lambda: run.cost_battery,
         })

@@ -89,3 +89,13 @@ def test_crosstab_keeps_null_values_distinct_from_missing_dims(final_flags):
     rows = Q.crosstab_battery(final_flags, CFG).collect()
     assert any(r["var2"] == "ckd_ccw_flag" and r["val2"] is None for r in rows)   # NULL flag kept
     assert all(r["var2"] is None for r in rows if r["title"].startswith("ckd_stage_jvhl for"))
+
+
+def test_shared_report_cuboid_gives_same_tables(final_flags):
+    base = Q.report_cuboid(final_flags, CFG)
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+    assert rows(Q.stage_frequencies(final_flags, CFG)) == rows(Q.stage_frequencies(final_flags, CFG, base=base))
+    assert rows(Q.crosstab_battery(final_flags, CFG)) == rows(Q.crosstab_battery(final_flags, CFG, base=base))
+    assert base.count() < final_flags.count()

@@ -67,6 +67,18 @@ def test_write_report_layout_and_text(spark):
         assert os.path.isdir(p)
     freq = spark.read.parquet(paths["stage_frequencies"])
     assert freq.count() > 0
+    # the report (shared cuboid, checkpointed inputs) equals the standalone queries
+    from stagewise.operators import frequency as Q
+    run = StagingRun(DriverFixtures(spark, SF_SMALL), CFG)
+    expected = {
+        "stage_frequencies": Q.stage_frequencies(run.final_flags, CFG),
+        "crosstab_battery": Q.crosstab_battery(run.final_flags, CFG),
+        "qa_frequencies": Q.qa_frequencies(run.labs_normalised, run.latest_lab, run.final_flags, CFG),
+        "monthly_counts": Q.monthly_counts(run.final_flags),
+        "cost_battery": run.cost_battery,
+    }
+    for name, df in expected.items():
+        assert _rows(spark.read.parquet(paths[name]).select(*df.columns)) == _rows(df), name
     text = render_text({"stage_frequencies": freq.orderBy("table_id", "val1")})
     assert text.startswith("stage_frequencies\n") and "ckd_stage_comb_all" in text
 
