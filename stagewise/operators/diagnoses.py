@@ -25,9 +25,15 @@ def parse_dx(dx_current: DataFrame, dx_previous: DataFrame, headers: DataFrame,
         both = both.distinct()
     dx = both.where(F.col("dx_code").isin(*CKD_DX_CODES))
     h = headers.select(F.col("claim_id").alias("_hid"), "from_date")
-    return (dx.join(h, F.col("claim_id") == F.col("_hid"), "left")
-              .select("member_id", "claim_id", "dx_code", "from_date",
-                      dx_number(F.col("dx_code")).alias("dx_num")))
+    cols = ["member_id", "claim_id", "dx_code", "from_date"]
+    # rows without a claim id can never match a header; keeping them out of the
+    # join keeps them off the single reducer a NULL key would hash to
+    keyed = (dx.where(F.col("claim_id").isNotNull())
+               .join(h, F.col("claim_id") == F.col("_hid"), "left").select(*cols))
+    unkeyed = dx.where(F.col("claim_id").isNull()).select(
+        "member_id", "claim_id", "dx_code", F.lit(None).cast("date").alias("from_date"))
+    return (keyed.unionByName(unkeyed)
+                 .select(*cols, dx_number(F.col("dx_code")).alias("dx_num")))
 
 
 def latest_dx(dx: DataFrame) -> DataFrame:

@@ -57,7 +57,8 @@ def generate(seed: int) -> dict[str, list[tuple]]:
                   None if rnd.random() < 0.03 else _date(rnd, (1995, 1996, 1997, 1998)).replace(day=1))
                  for _ in range(700)]
     claims_ids = list(range(1000, 1300))
-    dx = [(mid(), rnd.choice(claims_ids), rnd.choice(CODES)) for _ in range(500)]
+    dx = [(mid(), None if rnd.random() < 0.05 else rnd.choice(claims_ids), rnd.choice(CODES))
+          for _ in range(500)]
     t["dx_cur"] = dx[:300]
     t["dx_prev"] = dx[250:]                                                          # overlap -> union dedupe
     t["headers"] = [(c, None if rnd.random() < 0.05 else _date(rnd)) for c in claims_ids if rnd.random() < 0.9]
