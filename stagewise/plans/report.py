@@ -4,14 +4,15 @@ Layout (``S9``): ``<root>/year=<Y>/run_date=<D>/<section>/`` with ``test_``
 prefixed sections for sampled runs.  Report tables are small (bounded by label
 combinations), but they are still written by Spark tasks, never collected.
 
-``final_flags`` and ``claim_prep`` are checkpointed once (lineage cut into the
-cluster's shared checkpoint folder) because every section re-reads them.
+``final_flags`` is checkpointed once (lineage cut into the cluster's shared
+checkpoint folder) because most sections re-read it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,20 +64,37 @@ def report_path(root: str, cfg: RunConfig, run_date: dt.date | None = None) -> s
 
 
 def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date | None = None,
-                 materialize_mode: str = "checkpoint", fmt: str = "parquet") -> dict[str, str]:
+                 materialize_mode: str = "checkpoint", fmt: str = "parquet",
+                 concurrency: int = 4) -> dict[str, str]:
     """Build the run, write every section, return section -> path.
 
-    The refinement parity check is enforced before anything is written.
+    The refinement parity check is enforced and the shared member-level frames
+    are materialised first; the sections are independent outputs, so up to
+    ``concurrency`` of them are submitted as concurrent Spark jobs (the
+    scheduler interleaves their tasks).  Writes use overwrite mode, so a re-run
+    after a failure replaces partial output.
     """
     run = StagingRun(inputs, cfg, materialize_mode=materialize_mode)
-    quality.assert_dx_parity(run.latest_dx, run.dx_final)
+    run.member_stage, run.latest_dx, run.dx_final      # build the lazy graph on this thread
+    with ThreadPoolExecutor(max_workers=2) as pool:    # parity check || final_flags lineage cut
+        checks = [pool.submit(quality.assert_dx_parity, run.latest_dx, run.dx_final),
+                  pool.submit(lambda: run.final_flags)]
+        for f in checks:
+            f.result()
     base = report_path(root, cfg, run_date)
-    out = {}
-    for name, build in report_sections(run).items():
+    sections = report_sections(run)
+    frames = {name: build() for name, build in sections.items()}
+
+    def write(name: str) -> tuple[str, str]:
         path = f"{base}/{name}"
-        build().write.mode("overwrite").format(fmt).save(path)
-        out[name] = path
-    return out
+        frames[name].write.mode("overwrite").format(fmt).save(path)
+        return name, path
+
+    if concurrency <= 1:
+        return dict(write(n) for n in frames)
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        done = dict(pool.map(write, frames))
+    return {n: done[n] for n in frames}
 
 
 def render_text(tables: dict[str, DataFrame], max_rows: int = 1000) -> str:

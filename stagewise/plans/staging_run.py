@@ -2,10 +2,11 @@
 
 :class:`StagingRun` names every intermediate of the run as a lazily built
 frame.  Nothing executes until a report is written or collected.  Frames that
-several reports re-read (the member-level ``final_flags`` and the claim-level
-``claim_prep``) are cut from their lineage once via :func:`materialize` when the
-run is built with ``materialize="checkpoint"`` (the default for full runs);
-query-by-query use keeps everything lazy (``"none"``).
+several reports re-read (the member-level ``final_flags``) are cut from their
+lineage once via :func:`materialize` when the run is built with
+``materialize="checkpoint"`` (the default for full runs); member-grain
+intermediates read by more than one section are persisted.  Query-by-query use
+keeps everything lazy (``"none"``).
 """
 
 from __future__ import annotations
@@ -102,9 +103,9 @@ class StagingRun:
     @cached_property
     def claim_prep(self) -> DataFrame:
         y = self.cfg.year
-        prep = costs.claim_cost(self._t("claims", y), self._t("claim_category", y),
+        # read once (by the single-pass cost battery), so no lineage cut is needed
+        return costs.claim_cost(self._t("claims", y), self._t("claim_category", y),
                                 self._t("inpatient_header", y), self.cfg)
-        return materialize(prep, self.mode)
 
     def member_cost(self, category: str = "all", medical: str = "both", dual: str = "both") -> DataFrame:
         y = self.cfg.year
