@@ -97,11 +97,15 @@ def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date |
     return {n: done[n] for n in frames}
 
 
-def render_text(tables: dict[str, DataFrame], max_rows: int = 1000) -> str:
-    """Titled fixed-width text of small report frames (for reading, not at scale)."""
+def render_text(tables: dict[str, DataFrame]) -> str:
+    """Titled fixed-width text of report frames.
+
+    Report frames are bounded by label combinations (a few hundred rows), so
+    they are collected whole; do not pass member- or claim-level frames.
+    """
     parts = []
     for name, df in tables.items():
-        rows = df.limit(max_rows).collect()
+        rows = df.collect()
         cols = df.columns
         cells = [[("" if r[c] is None else str(r[c])) for c in cols] for r in rows]
         width = [max([len(c)] + [len(x[i]) for x in cells]) for i, c in enumerate(cols)]
