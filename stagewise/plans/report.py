@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..operators import frequency, members, quality
 from ..sources.catalog import Inputs
-from ..session import materialize
 from .staging_run import StagingRun
 
 
@@ -35,8 +34,7 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
 
     def cube() -> DataFrame:
         if "cube" not in shared:
-            c = frequency.report_cuboid(run.final_flags, cfg)
-            shared["cube"] = c if run.mode == "none" else materialize(c, "persist")
+            shared["cube"] = run._keep(frequency.report_cuboid(run.final_flags, cfg))
         return shared["cube"]
 
     sections: dict[str, Callable[[], DataFrame]] = {
@@ -90,11 +88,14 @@ def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date |
         frames[name].write.mode("overwrite").format(fmt).save(path)
         return name, path
 
-    if concurrency <= 1:
-        return dict(write(n) for n in frames)
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        done = dict(pool.map(write, frames))
-    return {n: done[n] for n in frames}
+    try:
+        if concurrency <= 1:
+            return dict(write(n) for n in frames)
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            done = dict(pool.map(write, frames))
+        return {n: done[n] for n in frames}
+    finally:
+        run.release()
 
 
 def render_text(tables: dict[str, DataFrame]) -> str:

@@ -27,6 +27,7 @@ class StagingRun:
         self.inputs = inputs
         self.cfg = cfg or RunConfig()
         self.mode = materialize_mode
+        self._cached: list[DataFrame] = []
 
     def _t(self, name: str, year: int | None = None) -> DataFrame:
         return self.inputs.table(name, year)
@@ -34,7 +35,17 @@ class StagingRun:
     def _keep(self, df: DataFrame) -> DataFrame:
         """Member-grain intermediates re-read by several sections: cached (lost
         blocks are recomputed from lineage) when the run materialises."""
-        return df if self.mode == "none" else materialize(df, "persist")
+        if self.mode == "none":
+            return df
+        kept = materialize(df, "persist")
+        self._cached.append(kept)
+        return kept
+
+    def release(self) -> None:
+        """Drop the cached member-grain intermediates (after the report is written)."""
+        for df in self._cached:
+            df.unpersist()
+        self._cached.clear()
 
     # -- labs ----------------------------------------------------------------
     @cached_property
