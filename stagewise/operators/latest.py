@@ -1,10 +1,17 @@
 """Latest-per-key as an aggregation.
 
-``latest_by`` keeps, per key, the row whose ordering tuple is greatest.  It is a
-``max(struct(order..., values...))`` aggregate rather than a self-join to the
-per-key maximum or a window: the aggregate is partial (map-side combined), so a
-key holding a third of all rows is reduced to one row per map task before the
-shuffle, and no task ever holds a whole group.
+"Row with the greatest ordering per key" is written as an aggregate rather than
+a self-join to the per-key maximum or a window: the aggregate is partial
+(map-side combined), so a key holding a third of all rows is reduced to one
+row per map task before the shuffle, and no task ever holds a whole group.
+
+* :func:`latest_by` - generic: ``max(struct(order..., values...))`` for any
+  ordering and payload.  A struct buffer makes Spark use a sort-based
+  aggregate, so the staging hot paths use the two forms below instead.
+* ``max_by(value, order)`` - when the ordering is unique per key (e.g. rows
+  already grouped per (key, day)); plain buffers, hash aggregate.
+* :func:`date_code_key` - "latest date, greatest small integer code that day"
+  as the ``max`` of one order-preserving BIGINT; hash aggregate.
 """
 
 from __future__ import annotations
