@@ -61,6 +61,11 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
         return False, f"columns differ: spark={sc} oracle={dc}"
     si = [spark_cols.index(c) for c in sc]
     di = [duck_cols.index(c) for c in dc]
+    for c, i, j in zip(sc, si, di):     # same Python value types per column (None aside)
+        ts = {type(r[i]).__name__ for r in spark_rows if r[i] is not None}
+        td = {type(r[j]).__name__ for r in duck_rows if r[j] is not None}
+        if ts and td and ts != td:
+            return False, f"column {c}: spark types {ts} oracle types {td}"
     a = sorted((tuple(_norm(r[i]) for i in si) for r in spark_rows), key=_key)
     b = sorted((tuple(_norm(r[i]) for i in di) for r in duck_rows), key=_key)
     if len(a) != len(b):
