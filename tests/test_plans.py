@@ -131,3 +131,20 @@ def test_staging_plan_has_no_window_cross_or_nested_loop(spark):
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window ", "collect_list", "collect_set",
                     "SortAggregate"):
             assert bad not in plan, bad
+
+
+def test_filters_reach_the_parquet_scans(spark, warehouse):
+    """On a real warehouse layout the year window and test code reach the lab
+    scan, the CKD code list reaches both diagnosis scans, and the per-year
+    tables are partition-pruned."""
+    run = StagingRun(TableInputs(spark, warehouse), CFG)
+    lab_plan = _plan(run.lab_summary)
+    pushed = lab_plan.split("PushedFilters:")[1][:400]
+    assert "date_servicebegin" in pushed and "requestcpt" in pushed, pushed
+    dx_plan = _plan(run.dx_final)
+    scans = [seg[:600] for seg in dx_plan.split("FileScan")[1:] if "dx_code" in seg[:600]]
+    assert len(scans) == 2
+    for seg in scans:
+        assert "In(dx_code" in seg and "PartitionFilters: [isnotnull(year" in seg, seg
+    claims_plan = _plan(run.claim_prep)
+    assert "Not(EqualTo(claim_status,1))" in claims_plan
