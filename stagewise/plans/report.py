@@ -106,8 +106,8 @@ def render_text(tables: dict[str, DataFrame]) -> str:
     """
     parts = []
     for name, df in tables.items():
-        rows = df.collect()
         cols = df.columns
+        rows = df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).collect()
         cells = [[("" if r[c] is None else str(r[c])) for c in cols] for r in rows]
         width = [max([len(c)] + [len(x[i]) for x in cells]) for i, c in enumerate(cols)]
         lines = [" ".join(c.rjust(w) for c, w in zip(cols, width))]
