@@ -2,11 +2,10 @@
 
 Shapes chosen for scale:
 
-* claim lines are reduced to the claim before any join; the category and
-  inpatient-header sides are reduced to their join keys too, and the
-  multiplicity a row-level join would have produced is applied arithmetically
-  (duplicate category or header rows multiply summed line amounts, as the
-  row-level join does);
+* claim lines are reduced to the claim and header rows to the claim before
+  the joins; the final (claim, member, category) aggregate runs on the join's
+  claim partitioning.  Duplicate category or header rows multiply summed line
+  amounts exactly as the row-level join does;
 * exposure never joins at row level: enrolment rows and claim rows are unioned
   and partially aggregated per (member, month), then per member; the adult
   filter becomes a member-grain multiplicity joined 1:1;
@@ -40,20 +39,26 @@ def claim_cost(claims: DataFrame, category: DataFrame, ip_header: DataFrame,
                    .groupBy("claim_id", "member_id")
                    .agg(F.max("from_date").alias("from_date"),
                         F.sum("allowed_amt").alias("_line_amt")))
-    cat = (category.groupBy(F.col("claim_id").alias("_cid"), "fasc_cat")
-                   .agg(F.count(F.lit(1)).alias("_n_cat")))
     ip = (ip_header.groupBy(F.col("claim_id").alias("_iid"))
                    .agg(F.max("allowed_amount").alias("_ip_amt"),
                         F.count(F.lit(1)).alias("_n_ip")))
+    cat = category.select(F.col("claim_id").alias("_cid"), "fasc_cat")   # raw rows, duplicates kept
     j = (lines.join(cat, F.col("claim_id") == F.col("_cid"), "inner")
               .join(ip, F.col("claim_id") == F.col("_iid"), "left"))
+    # j is partitioned by claim_id, so this aggregate needs no further shuffle;
+    # summing over the category rows applies their multiplicity, and each line
+    # total counts once per header row, as in the row-level join
+    header_rows = F.coalesce(F.col("_n_ip"), F.lit(1)).cast("decimal(20,0)")
+    per = (j.groupBy("claim_id", "member_id", "fasc_cat")
+            .agg(F.max("from_date").alias("from_date"),
+                 F.sum(F.col("_line_amt") * header_rows).alias("_sum_amt"),
+                 F.max("_ip_amt").alias("_ip_amt")))
     lower = F.lower(F.col("fasc_cat"))
-    mult = (F.col("_n_cat") * F.coalesce(F.col("_n_ip"), F.lit(1))).cast("decimal(20,0)")
     amount = (F.when(lower == C.CAT_INPATIENT, F.col("_ip_amt"))
-               .otherwise(F.col("_line_amt") * mult)).cast(MONEY_SUM)
+               .otherwise(F.col("_sum_amt"))).cast(MONEY_SUM)
     adj = F.when(lower.isin(*C.NAMED_CATEGORIES), F.col("fasc_cat")).otherwise(F.lit(C.CAT_OTHER))
-    out = j.select("claim_id", "member_id", "from_date", amount.alias("allowed_amt"),
-                   adj.alias("fasc_cat_adj"))
+    out = per.select("claim_id", "member_id", "from_date", amount.alias("allowed_amt"),
+                     adj.alias("fasc_cat_adj"))
     if cfg.sample is not None:
         # test runs: a deterministic first-N of the prepared claims
         out = out.orderBy("claim_id", "member_id", "fasc_cat_adj").limit(cfg.sample)
