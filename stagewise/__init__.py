@@ -2,6 +2,6 @@
 
 from .config import RunConfig
 from .plans.staging_run import StagingRun
-from .sources import DriverFixtures, FrameInputs, TableInputs
+from .sources import CatalogInputs, DriverFixtures, FrameInputs, TableInputs
 
-__all__ = ["RunConfig", "StagingRun", "DriverFixtures", "FrameInputs", "TableInputs"]
+__all__ = ["RunConfig", "StagingRun", "CatalogInputs", "DriverFixtures", "FrameInputs", "TableInputs"]

@@ -1,9 +1,9 @@
 """Input resolution: schemas, the (name, year) resolver, fixtures, inline values."""
 
-from .catalog import FrameInputs, Inputs, TableInputs, conform
+from .catalog import CatalogInputs, FrameInputs, Inputs, TableInputs, conform
 from .fixtures import DriverFixtures
 from .schemas import LOGICAL
 from .values import values_table
 
-__all__ = ["Inputs", "TableInputs", "FrameInputs", "DriverFixtures", "conform",
+__all__ = ["Inputs", "TableInputs", "CatalogInputs", "FrameInputs", "DriverFixtures", "conform",
            "LOGICAL", "values_table"]

@@ -1,10 +1,13 @@
 """Resolve logical inputs ``(name, year) -> DataFrame``.
 
-Two layouts are supported:
+Three layouts are supported:
 
 * :class:`TableInputs` - one parquet dataset per logical table, partitioned by
   ``year`` for the year-specific ones (``<root>/<name>/year=1997/...``).  A year
   is a partition filter, so Spark prunes the other years at planning time.
+* :class:`CatalogInputs` - catalog tables by name pattern, e.g.
+  ``{"enroll": "common.enroll_{year}", "labs": "lab.results"}``: fixed-name
+  tables and year-suffixed table families, read with ``spark.table``.
 * :class:`FrameInputs` - any mapping of already-built frames, e.g. the fixture
   derivation in :mod:`stagewise.sources.fixtures` or a test's inline tables.
 
@@ -72,3 +75,17 @@ class FrameInputs(Inputs):
         if isinstance(entry, Mapping):
             return entry[year]
         return entry
+
+
+class CatalogInputs(Inputs):
+    """Catalog tables by name pattern; ``{year}`` in a pattern selects the
+    year-suffixed member of a table family (``enroll_{year}``)."""
+
+    def __init__(self, spark: SparkSession, names: Mapping[str, str]):
+        self.spark, self.names = spark, dict(names)
+
+    def _load(self, name, year):
+        pattern = self.names[name]
+        if year is None and "{year}" in pattern:
+            raise ValueError(f"{name}: pattern {pattern!r} needs a year")
+        return self.spark.table(pattern.format(year=year))

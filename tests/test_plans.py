@@ -148,3 +148,23 @@ def test_filters_reach_the_parquet_scans(spark, warehouse):
         assert "In(dx_code" in seg and "PartitionFilters: [isnotnull(year" in seg, seg
     claims_plan = _plan(run.claim_prep)
     assert "Not(EqualTo(claim_status,1))" in claims_plan
+
+
+def test_catalog_inputs_with_year_suffixed_names(spark):
+    """Fixed-name and year-suffixed catalog tables resolve like the fixtures."""
+    from stagewise import CatalogInputs
+    fx = DriverFixtures(spark, SF_SMALL)
+    names = {}
+    for name, (_, per_year) in LOGICAL.items():
+        if per_year:
+            for y in (CFG.year, CFG.prev_year):
+                fx.table(name, y).createOrReplaceTempView(f"sw_{name}_{y}")
+            names[name] = f"sw_{name}_{{year}}"
+        else:
+            fx.table(name).createOrReplaceTempView(f"sw_{name}")
+            names[name] = f"sw_{name}"
+    a = StagingRun(CatalogInputs(spark, names), CFG).final_flags
+    b = StagingRun(fx, CFG).final_flags
+    assert _rows(a) == _rows(b)
+    with pytest.raises(ValueError):      # a year-suffixed pattern for a table read without a year
+        CatalogInputs(spark, {"claim_headers": "x_{year}"}).table("claim_headers")
