@@ -23,6 +23,15 @@ from ..sources.catalog import Inputs
 
 
 class StagingRun:
+    """The run's named frames, built lazily on first access.
+
+    labs_normalised, lab_summary, lab_flags, latest_lab      lab side
+    member_wide, member_jvhl                                 member roll-up
+    dx_parsed(distinct), dx_bag, dx_refined, latest_dx, dx_final   diagnosis side
+    member_stage, final_flags                                one row per member
+    claim_prep, member_cost(...), cost_by_stage(...), cost_battery   cost side
+    """
+
     def __init__(self, inputs: Inputs, cfg: RunConfig | None = None, materialize_mode: str = "none"):
         self.inputs = inputs
         self.cfg = cfg or RunConfig()
