@@ -168,3 +168,15 @@ def test_catalog_inputs_with_year_suffixed_names(spark):
     assert _rows(a) == _rows(b)
     with pytest.raises(ValueError):      # a year-suffixed pattern for a table read without a year
         CatalogInputs(spark, {"claim_headers": "x_{year}"}).table("claim_headers")
+
+
+def test_member_grain_properties(spark):
+    """final_flags has exactly one row per enrolled member; the diagnosis stage
+    has one row per member with a dated CKD diagnosis; refinement keeps counts."""
+    run = StagingRun(DriverFixtures(spark, "/root/testdata/sf0.01"), CFG)
+    ff = run.final_flags
+    enrolled = run.inputs.table("enroll", CFG.year).select("member_id").distinct().count()
+    assert ff.count() == ff.select("member_id").distinct().count() == enrolled
+    dx = run.dx_final
+    assert dx.count() == dx.select("member_id").distinct().count() == run.latest_dx.count()
+    assert run.member_jvhl.count() == enrolled
