@@ -180,3 +180,13 @@ def test_member_grain_properties(spark):
     dx = run.dx_final
     assert dx.count() == dx.select("member_id").distinct().count() == run.latest_dx.count()
     assert run.member_jvhl.count() == enrolled
+
+
+def test_cli_writes_report_and_text(spark, tmp_path):
+    from stagewise.__main__ import main
+    out, text = tmp_path / "rep", tmp_path / "report.txt"
+    assert main(["--year", "1997", "--fixtures", SF_SMALL, "--out", str(out),
+                 "--no-diagnostics", "--text", str(text)]) == 0
+    body = text.read_text()
+    assert "stage_frequencies" in body and "crosstab_battery" not in body
+    assert any(p.name.startswith("run_date=") for p in (out / "year=1997").iterdir())
