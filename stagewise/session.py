@@ -7,7 +7,6 @@ session and only filled in when it is unset (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark import StorageLevel
@@ -86,7 +85,3 @@ def materialize(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     raise ValueError(f"unknown materialize mode {mode!r}")
-
-
-def bench_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")

@@ -116,3 +116,18 @@ def test_latest_by_is_one_aggregate_without_window(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortMergeJoin" not in plan
     assert {r["k"]: r["t"] for r in out.collect()} == {k: max(i for i in range(100) if i % 7 == k) for k in range(7)}
+
+
+def test_persistence_flag_equals_naive(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, 1, 2, 3, 4]), rnd.choice(["33914-3", "other"]),
+             rnd.choice([None, 30, 59, 60, 80]), None,
+             None if rnd.random() < 0.1 else _d(rnd.randrange(0, 200))) for _ in range(300)]
+    jvhl = spark.createDataFrame(rows, "member_id long, requestcpt string, numericresult int, "
+                                       "all_results int, date_servicebegin date")
+    got = labs.lab_persistence_flags(jvhl, RunConfig())
+    low = jvhl.where((F.col("requestcpt") == "33914-3") & (F.col("numericresult") < 60))
+    naive = low.groupBy("member_id").agg(
+        F.when(F.datediff(F.max("date_servicebegin"), F.min("date_servicebegin")) >= 90, 1)
+         .otherwise(0).alias("ckd_jvhl_flag_2labs"))
+    _rows_equal(got.select("member_id", "ckd_jvhl_flag_2labs"), naive)
