@@ -3,8 +3,9 @@
 Three layouts are supported:
 
 * :class:`TableInputs` - one parquet dataset per logical table, partitioned by
-  ``year`` for the year-specific ones (``<root>/<name>/year=1997/...``).  A year
-  is a partition filter, so Spark prunes the other years at planning time.
+  ``year`` for the year-specific ones (``<root>/<name>/year=1997/...``; a year
+  is a partition filter, so Spark prunes the other years at planning time), or
+  one folder per year (``<root>/<name>_1997/``).
 * :class:`CatalogInputs` - catalog tables by name pattern, e.g.
   ``{"enroll": "common.enroll_{year}", "labs": "lab.results"}``: fixed-name
   tables and year-suffixed table families, read with ``spark.table``.
@@ -49,13 +50,24 @@ class Inputs:
 
 
 class TableInputs(Inputs):
-    """Parquet datasets under ``root``; year-specific ones partitioned by ``year``."""
+    """Datasets under ``root``, one folder per logical table.
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+    ``layout="partitioned"``: year-specific tables are one dataset partitioned
+    by ``year`` (``<root>/enroll/year=1997/``), so a year is a partition filter.
+    ``layout="suffixed"``: one folder per year (``<root>/enroll_1997/``).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet",
+                 layout: str = "partitioned"):
+        if layout not in ("partitioned", "suffixed"):
+            raise ValueError(f"unknown layout {layout!r}")
+        self.spark, self.root, self.fmt, self.layout = spark, root.rstrip("/"), fmt, layout
 
     def _load(self, name, year):
-        df = self.spark.read.format(self.fmt).load(f"{self.root}/{name}")
+        reader = self.spark.read.format(self.fmt)
+        if year is not None and self.layout == "suffixed":
+            return reader.load(f"{self.root}/{name}_{year}")
+        df = reader.load(f"{self.root}/{name}")
         if year is not None:
             df = df.where(F.col("year") == F.lit(year))
         return df

@@ -190,3 +190,16 @@ def test_cli_writes_report_and_text(spark, tmp_path):
     body = text.read_text()
     assert "stage_frequencies" in body and "crosstab_battery" not in body
     assert any(p.name.startswith("run_date=") for p in (out / "year=1997").iterdir())
+
+
+def test_table_inputs_year_suffixed_folders(spark):
+    root = tempfile.mkdtemp(prefix="stagewise-sfx-")
+    fx = DriverFixtures(spark, SF_SMALL)
+    for name, (_, per_year) in LOGICAL.items():
+        if per_year:
+            for y in (CFG.year, CFG.prev_year):
+                fx.table(name, y).write.parquet(f"{root}/{name}_{y}")
+        else:
+            fx.table(name).write.parquet(f"{root}/{name}")
+    a = StagingRun(TableInputs(spark, root, layout="suffixed"), CFG).final_flags
+    assert _rows(a) == _rows(StagingRun(fx, CFG).final_flags)
