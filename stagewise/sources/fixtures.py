@@ -63,57 +63,47 @@ class DriverFixtures(Inputs):
                          (F.col("c_custkey") % 90).cast("int").alias("age")))
 
     def _enroll(self, year):
-        c = self._read("customer").select("c_custkey", "c_mktsegment")
-        last_month = (F.lit(1) + F.col("c_custkey") % 12).cast("int")
-        plan = F.lit(PLAN_OTHER)
-        for seg, code in reversed(PLAN_BY_SEGMENT):
-            plan = F.when(F.col("c_mktsegment") == seg, code).otherwise(plan)
-        m = F.col("m")
-        return (c.select("*", F.explode(F.sequence(F.lit(1), last_month)).alias("m"))
-                 .select(F.col("c_custkey").alias("member_id"),
-                         F.make_date(F.lit(year), m, F.lit(1)).alias("begin_date"),
-                         plan.alias("mhp"),
-                         F.when((F.col("c_custkey") + m) % 4 == 0, "N").otherwise("Y").alias("medical_flag"),
-                         F.when(F.col("c_custkey") % 6 == 0, "Y").otherwise("N").alias("dual_flag")))
+        plan = " ".join(f"WHEN '{seg}' THEN '{code}'" for seg, code in PLAN_BY_SEGMENT)
+        months = (self._read("customer")
+                  .selectExpr("c_custkey", "c_mktsegment",
+                              "explode(sequence(1, CAST(1 + c_custkey % 12 AS INT))) AS m"))
+        return months.selectExpr(
+            "c_custkey AS member_id",
+            f"make_date({year}, m, 1) AS begin_date",
+            f"CASE c_mktsegment {plan} ELSE '{PLAN_OTHER}' END AS mhp",
+            "CASE WHEN (c_custkey + m) % 4 = 0 THEN 'N' ELSE 'Y' END AS medical_flag",
+            "CASE WHEN c_custkey % 6 = 0 THEN 'Y' ELSE 'N' END AS dual_flag")
 
     def _condition_flags(self, year):
-        x = F.col("c_custkey") + F.lit(self.analysis_year - year)
-        return (self._read("customer").where(x % 10 != 9)
-                .select(F.col("c_custkey").alias("member_id"),
-                        F.when(x % 3 == 0, 1).otherwise(0).alias("ckd"),
-                        F.when(x % 17 == 0, 1).otherwise(0).alias("esrd"),
-                        F.when(x % 5 == 0, 1).otherwise(0).alias("aki")))
+        x = f"(c_custkey + {self.analysis_year - year})"
+        return (self._read("customer").where(f"{x} % 10 <> 9")
+                .selectExpr("c_custkey AS member_id",
+                            f"CASE WHEN {x} % 3 = 0 THEN 1 ELSE 0 END AS ckd",
+                            f"CASE WHEN {x} % 17 = 0 THEN 1 ELSE 0 END AS esrd",
+                            f"CASE WHEN {x} % 5 = 0 THEN 1 ELSE 0 END AS aki"))
 
     # -- labs ----------------------------------------------------------------
     def _labs(self, year):
         li = self._read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                             "l_tax", "l_returnflag", "l_shipdate")
-        o = self._orders().select("o_orderkey", "o_custkey").where(F.col("o_custkey") % 4 != 3)
+        o = self._orders().select("o_orderkey", "o_custkey").where("o_custkey % 4 <> 3")
         j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        line = F.col("l_linenumber")
-        value_text = F.concat((F.col("l_quantity").cast("int") * 2).cast("string"), F.lit("."),
-                              F.round(F.col("l_tax") * 100).cast("int").cast("string"))
-        numeric = (F.when(line == 2, F.lit("NULL"))
-                    .when(F.col("l_quantity") == 50, F.lit(None).cast("string"))
-                    .otherwise(value_text))
-        text = F.when(line == 2,
-                      F.when(F.col("l_returnflag") == "A", ">60")
-                       .when(F.col("l_returnflag") == "N", ">/=90")
-                       .when(F.col("l_returnflag") == "R", FREE_TEXT_RESULT))
-        return j.select(F.col("o_custkey").alias("member_id"),
-                        F.when(line <= 2, TARGET_TEST_CODE).otherwise(OTHER_TEST_CODE).alias("requestcpt"),
-                        numeric.alias("numericresult"),
-                        text.alias("textresult"),
-                        F.trunc(F.col("l_shipdate").cast("date"), "month").alias("date_servicebegin"))
+        return j.selectExpr(
+            "o_custkey AS member_id",
+            f"CASE WHEN l_linenumber <= 2 THEN '{TARGET_TEST_CODE}' ELSE '{OTHER_TEST_CODE}' END AS requestcpt",
+            "CASE WHEN l_linenumber = 2 THEN 'NULL' WHEN l_quantity = 50 THEN CAST(NULL AS STRING) "
+            "ELSE concat(CAST(CAST(l_quantity AS INT) * 2 AS STRING), '.', "
+            "CAST(CAST(round(l_tax * 100) AS INT) AS STRING)) END AS numericresult",
+            "CASE WHEN l_linenumber = 2 THEN CASE l_returnflag WHEN 'A' THEN '>60' "
+            f"WHEN 'N' THEN '>/=90' WHEN 'R' THEN '{FREE_TEXT_RESULT}' END END AS textresult",
+            "trunc(CAST(l_shipdate AS DATE), 'month') AS date_servicebegin")
 
     # -- diagnoses and claims -------------------------------------------------
     def _dx_long(self, year):
-        key = F.col("o_orderkey")
-        code = F.lit(DX_OTHER)
-        for i in reversed(range(len(DX_BY_ORDERKEY_MOD16))):
-            code = F.when(key % 16 == i, DX_BY_ORDERKEY_MOD16[i]).otherwise(code)
-        return self._orders(year).select(F.col("o_custkey").alias("member_id"),
-                                         key.alias("claim_id"), code.alias("dx_code"))
+        arms = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(DX_BY_ORDERKEY_MOD16))
+        return self._orders(year).selectExpr(
+            "o_custkey AS member_id", "o_orderkey AS claim_id",
+            f"CASE o_orderkey % 16 {arms} ELSE '{DX_OTHER}' END AS dx_code")
 
     def _claim_headers(self, year):
         return (self._orders().where(F.col("o_orderkey") % 40 != 39)
@@ -131,16 +121,13 @@ class DriverFixtures(Inputs):
                           (F.col("l_linenumber") % 7).cast("int").alias("claim_status")))
 
     def _claim_category(self, year):
-        prio = F.substring(F.col("o_orderpriority"), 1, 1)
-        key = F.col("o_orderkey")
-        low = F.lit(None).cast("string")
-        for i in reversed(range(len(CATEGORY_PRIORITY5_BY_MOD3))):
-            val = CATEGORY_PRIORITY5_BY_MOD3[i]
-            low = F.when(key % 3 == i, F.lit(val).cast("string")).otherwise(low)
-        cat = F.when(prio == "5", low)
-        for p, name in reversed(CATEGORY_BY_PRIORITY):
-            cat = F.when(prio == p, name).otherwise(cat)
-        return self._orders(year).select(key.alias("claim_id"), cat.alias("fasc_cat"))
+        arms = " ".join(f"WHEN '{p}' THEN '{name}'" for p, name in CATEGORY_BY_PRIORITY)
+        low = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(CATEGORY_PRIORITY5_BY_MOD3)
+                       if v is not None)
+        return self._orders(year).selectExpr(
+            "o_orderkey AS claim_id",
+            f"CASE substring(o_orderpriority, 1, 1) {arms} "
+            f"WHEN '5' THEN CASE o_orderkey % 3 {low} END END AS fasc_cat")
 
     def _inpatient_header(self, year):
         return (self._orders(year)
