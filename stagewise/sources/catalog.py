@@ -30,8 +30,8 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     """Project ``df`` onto the declared schema of ``name`` (missing column = error)."""
     schema, _ = LOGICAL[name]
     # resolved lazily (case-insensitively) at analysis; a missing column fails there
-    return df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name)
-                       for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
 
 
 class Inputs:
