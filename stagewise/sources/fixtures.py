@@ -28,6 +28,17 @@ CATEGORY_BY_PRIORITY = (("1", "Inpatient"), ("2", "Clinic"), ("3", "Drug"), ("4"
 CATEGORY_PRIORITY5_BY_MOD3 = ("NF", "Dental", None)
 
 
+# Read schemas of the driver tables (only the columns the derivation uses):
+# declaring them skips the footer-reading inference job on first access.
+DRIVER_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+                "l_tax DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def _year_range(ts: Column, year: int) -> Column:
     """``year(ts) = year`` written as a range so parquet row groups can be pruned."""
     lo = F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
@@ -45,7 +56,8 @@ class DriverFixtures(Inputs):
     def _read(self, name: str) -> DataFrame:
         # one relation per driver table (file listing and footer read happen once)
         if name not in self._scans:
-            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._scans[name] = (self.spark.read.schema(DRIVER_SCHEMAS[name])
+                                 .parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._scans[name]
 
     def _orders(self, year: int | None = None) -> DataFrame:

@@ -33,3 +33,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["table_id", "title", "var1", "val1", "n"]
     assert df.count() > 0
+
+
+def test_queries_are_lazy(spark):
+    """Building every registered query runs no Spark job (the driver collects)."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.range(1).count()                       # settle any pending job ids
+    before = set(tracker.getJobIdsForGroup(None))
+    frames = [q(spark, SF_SMALL) for q in QUERIES.values()]
+    after = set(tracker.getJobIdsForGroup(None))
+    assert len(frames) == len(QUERIES)
+    assert after == before, f"jobs started while building queries: {sorted(after - before)}"
