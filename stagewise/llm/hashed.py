@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stagewise.llm.common import cut
+
 #: ASCII white space, as a regex class.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -14,6 +16,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), SPACE), lambda w: w != "")
 
 
+def counted_grams(docs: DataFrame, text: Column) -> DataFrame:
+    """(target, gram) of every word and word pair: the hashes that ``hashes`` and ``pairs`` give."""
+    w = docs.select("target", words(text).alias("w"))
+    both = F.inline(F.arrays_zip(F.col("w").alias("a"), F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1))).alias("b")))
+    a, b = F.xxhash64("a"), F.xxhash64("b")
+    grams = w.select("target", both).select("target", F.explode(F.array(a, F.when(F.col("b").isNotNull(), F.xxhash64(a, b)))).alias("gram"))
+    return grams.where("gram is not null")
+
+
+def hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def pairs(hashes: Column, apart: int, n: Column) -> Column:
     """Hash of each hash with the one ``apart`` places on; ``n`` is the length of ``hashes``."""
     return F.when(n > apart, F.zip_with(F.slice(hashes, F.lit(1), F.greatest(n - apart, F.lit(0))), F.slice(hashes, F.lit(apart + 1), F.greatest(n - apart, F.lit(0))),
@@ -59,4 +74,4 @@ def target_ratios(docs: DataFrame, trusted: DataFrame, grams, buckets: int, alph
     """
     marked = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
               .join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("target"))), "doc_id", "left"))
-    return log_ratios(bucket_counts(grams(marked.na.fill(False, ["target"])), buckets), buckets, alpha)
+    return log_ratios(cut(bucket_counts(grams(marked.na.fill(False, ["target"])), buckets), "bucket-counts"), buckets, alpha)

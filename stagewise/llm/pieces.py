@@ -38,9 +38,13 @@ class Pieces:
             if sp.is_byte(i):
                 self.byte[i] = int(p[3:5], 16)
                 self.of_byte[self.byte[i]] = i
-            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or MARK in p[1:]) and sp.get_score(i) > -1e8:
+            elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or MARK in p[1:]) and (sp.get_score(i) > -1e8 or p == MARK):
                 self.score[p] = (sp.get_score(i), i)
-        self.byte_score = min(s for s, _ in self.score.values()) - 10.0
+        least = min(s for s, _ in self.score.values() if s > -1e8)
+        self.byte_score = least - 10.0
+        # the mark by itself is always a piece, and never spelled in bytes: a mark in bytes is a character of the text
+        self.mark = sp.piece_to_id(MARK)
+        self.score[MARK] = (max(self.score.get(MARK, (least, 0))[0], least), self.mark)
         self.tails = {p[j:] for p in self.score for j in range(len(p))}
 
     def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
@@ -64,7 +68,7 @@ class Pieces:
                         top, way = best[j] + found[0], (j, found[1])
                     j -= 1
                 spelled = best[i - 1] + self.byte_score * len(w[i - 1].encode())
-                if spelled > top:
+                if spelled > top and i > 1:
                     top, way = spelled, (i - 1, -1)
                 best.append(top)
                 back.append(way)

@@ -12,17 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.llm import hashed
-from stagewise.llm.common import cut
 
-BUCKETS, ALPHA, TRUSTED, THRESHOLD = 1 << 14, 0.5, 20_000, -0.35
-WINDOW, SYMBOLS, BLANKS = 8, "#*$%&|<>", " \t\n\x0b\f\r"
-
-
-def _grams(docs: DataFrame) -> DataFrame:
-    h = docs.select("target", F.transform(hashed.words(F.col("text")), lambda w: F.xxhash64(w)).alias("h1"))
-    h = h.select("target", "h1", F.size("h1").alias("n"))
-    h = h.select("target", F.concat("h1", hashed.pairs(F.col("h1"), 1, F.col("n"))).alias("grams"))
-    return h.select("target", F.explode("grams").alias("gram"))
+BUCKETS, ALPHA, TRUSTED, THRESHOLD = 1 << 14, 0.5, 20_000, -0.12
+WINDOW, SYMBOLS = 8, "[#*$%&|<>]"
 
 
 def _covered(positions: Column) -> Column:
@@ -32,30 +24,31 @@ def _covered(positions: Column) -> Column:
     return F.aggregate(gaps, F.lit(0), lambda acc, g: acc + g)
 
 
-def base_counts(docs: DataFrame, *keep: str) -> DataFrame:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the hashes h1, h2 of each row's text."""
+def base_counts(docs: DataFrame, *keep: str, ratio=None) -> DataFrame:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each row's text, and ``ratio`` of its hashed words and word pairs."""
+    ratio = ratio or (lambda h: F.lit(0.0))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
-    d = docs.select(*keep, F.transform(hashed.words(text), lambda w: F.xxhash64(w)).alias("h1"), lines.alias("_lines"),
-                    F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
-                    (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"))
-    n = F.col("n_words")
-    d = d.select(*keep, "h1", "word_chars", "n_symbols", F.size("h1").alias("n_words"),
-                 (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"))
-    d = d.withColumn("h2", hashed.pairs(F.col("h1"), 1, n))
-    d = d.withColumn("_h4", hashed.pairs(F.col("h2"), 2, n - 1))
-    d = d.withColumn("_h8", hashed.pairs(F.col("_h4"), 4, n - 3))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
+    d = docs.select(*keep, hashed.words(text).alias("w"), F.when(F.contains(text, F.lit("\n")), lines).alias("lines"),
+                    F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
+    d = d.select(*keep, hashed.hashes(F.col("w")).alias("h1"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"), "n_symbols",
+                 F.size("w").cast("long").alias("n_words"),
+                 F.coalesce(F.size("lines") - F.size(F.array_distinct("lines")), F.lit(0)).cast("long").alias("n_dup_lines"), F.size("w").alias("n"))
+    n, keep = F.col("n"), (*keep, "word_chars", "n_symbols", "n_words", "n_dup_lines")
+    d = d.select(*keep, "n", "h1", hashed.pairs(F.col("h1"), 1, n).alias("h2"))
+    d = d.select(*keep, "n", (ratio(F.col("h1")) + ratio(F.col("h2"))).alias("ratio"), hashed.pairs(F.col("h2"), 2, n - 1).alias("h4"))
+    d = d.select(*keep, "ratio", hashed.pairs(F.col("h4"), 4, n - 3).alias("h8"))
     # windows found again: sort (hash, place), mark equal neighbours, add up what the marked places cover
-    d = d.withColumn("_s", F.when(F.size(F.array_distinct("_h8")) < F.size("_h8"),
-                                  F.array_sort(F.transform("_h8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    m = F.size("_s") - 1
-    d = d.withColumn("_eq", F.when(F.col("_s").isNotNull(), F.zip_with(F.slice("_s", F.lit(1), F.greatest(m, F.lit(0))), F.slice("_s", F.lit(2), F.greatest(m, F.lit(0))),
-                                                                       lambda a, b: a["h"] == b["h"])))
+    placed = F.transform("h8", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    d = d.select(*keep, "ratio", F.when(F.size(F.array_distinct("h8")) < F.size("h8"), F.sort_array(placed)).alias("s"))
+    m = F.greatest(F.size("s") - 1, F.lit(0))
+    same = F.zip_with(F.slice("s", F.lit(1), m), F.slice("s", F.lit(2), m), lambda a, b: a["h"] == b["h"])
+    d = d.select(*keep, "ratio", "s", F.when(F.col("s").isNotNull(), same).alias("same"))
     no = F.array(F.lit(False))
-    marked = F.zip_with(F.concat("_eq", no), F.concat(no, F.col("_eq")), lambda a, b: a | b)
-    d = d.withColumn("_at", F.array_sort(F.transform(F.filter(F.arrays_zip(F.col("_s").alias("s"), marked.alias("m")), lambda x: x["m"]), lambda x: x["s"]["i"])))
-    return d.select(*keep, "h1", "h2", F.col("n_words").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-                    F.coalesce(_covered(F.col("_at")), F.lit(0)).cast("long").alias("n_repeat_words"))
+    marked = F.arrays_zip(F.col("s").alias("s"), F.concat("same", no).alias("a"), F.concat(no, F.col("same")).alias("b"))
+    at = F.sort_array(F.transform(F.filter(marked, lambda x: x["a"] | x["b"]), lambda x: x["s"]["i"]))
+    d = d.select(*keep, "ratio", F.when(F.col("s").isNotNull(), at).alias("at"))
+    return d.select(*keep, "ratio", F.coalesce(_covered(F.col("at")), F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -70,11 +63,10 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     not read.
     """
     trusted = hashed.sample_of(labels, F.col("quality") == 1, TRUSTED)
-    ratios = hashed.as_array(cut(hashed.target_ratios(docs, trusted, _grams, BUCKETS, ALPHA), "ratios"))
-    d = base_counts(docs, "doc_id")
+    ratios = hashed.as_array(hashed.target_ratios(docs, trusted, lambda d: hashed.counted_grams(d, F.col("text")), BUCKETS, ALPHA))
+    d = base_counts(docs, "doc_id", ratio=lambda h: hashed.total_ratio(h, ratios, BUCKETS))
     n = F.col("n_words")
-    total = hashed.total_ratio(F.col("h1"), ratios, BUCKETS) + hashed.total_ratio(F.col("h2"), ratios, BUCKETS)
     failed = (n < 20) | (100 * F.col("n_repeat_words") > 30 * n)
-    d = d.withColumn("score", F.when(n > 0, F.round(total / (2 * n - 1), 9)).otherwise(F.lit(0.0))).withColumn("base_failed", failed)
+    d = d.withColumn("score", F.when(n > 0, F.round(F.col("ratio") / (2 * n - 1), 9)).otherwise(F.lit(0.0))).withColumn("base_failed", failed)
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score")

@@ -19,12 +19,6 @@ BUCKETS, ALPHA, TRUSTED, SHARE, SEED = 1 << 14, 1.0, 20_000, 0.8, 20_251
 BINS, LAST = 4096, 10_000
 
 
-def _hashes(docs: DataFrame, *keep: str) -> DataFrame:
-    h = docs.select(*keep, F.transform(hashed.words(F.lower("text")), lambda w: F.xxhash64(w)).alias("h1"))
-    h = h.select(*keep, "h1", F.size("h1").alias("n"))
-    return h.select(*keep, "n", F.concat("h1", hashed.pairs(F.col("h1"), 1, F.col("n"))).alias("grams"))
-
-
 def kth_largest(values: DataFrame, col: str, k: int) -> float:
     """The k-th largest of a numeric column, exactly: bins are counted and narrowed until few values are left."""
     if k < 1:
@@ -65,11 +59,13 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: int
     columns are not read.
     """
     trusted = hashed.sample_of(labels, F.col("quality") == 1, TRUSTED)
-    ratios = hashed.as_array(cut(hashed.target_ratios(docs, trusted, lambda d: _hashes(d, "target").select("target", F.explode("grams").alias("gram")),
-                                                      BUCKETS, ALPHA), "ratios"))
+    text = F.lower(F.col("text").cast("string"))
+    ratios = hashed.as_array(hashed.target_ratios(docs, trusted, lambda d: hashed.counted_grams(d, text), BUCKETS, ALPHA))
     u = (F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    d = _hashes(docs, "doc_id").select("doc_id", F.size("grams").cast("long").alias("n_grams"),
-                                       F.round(hashed.total_ratio(F.col("grams"), ratios, BUCKETS), 6).alias("log_weight"))
+    d = docs.select("doc_id", hashed.hashes(hashed.words(text)).alias("h1")).select("doc_id", "h1", F.size("h1").alias("n"))
+    d = d.select("doc_id", "n", "h1", hashed.pairs(F.col("h1"), 1, F.col("n")).alias("h2"))
+    weight = hashed.total_ratio(F.col("h1"), ratios, BUCKETS) + hashed.total_ratio(F.col("h2"), ratios, BUCKETS)
+    d = d.select("doc_id", F.greatest(2 * F.col("n") - 1, F.lit(0)).cast("long").alias("n_grams"), F.round(weight, 6).alias("log_weight"))
     d = cut(d.withColumn("gumbel_key", F.when(F.col("n_grams") > 0, F.col("log_weight") - F.log(-F.log(u)))), "weights")
     least = kth_largest(d, "gumbel_key", int(share * d.count()))
     return d.withColumn("sampled", F.coalesce(F.col("gumbel_key") >= least, F.lit(False)))
