@@ -17,7 +17,7 @@ judged AS (
 """
 
 #: Pages here carry no canonical links and no refresh redirects, so the oracle has the rules alone; tests cover links.
-_OP2 = _URL + "SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict, CAST(NULL AS BIGINT) AS alias_group FROM judged"
+_OP2 = _URL + "SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM judged"
 
 _OP9 = """
 WITH d AS (SELECT doc_id, regexp_extract_all(lower_az, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w

@@ -19,7 +19,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"))
+    return urls.judge(table(spark, sf_dir, "pages")).drop("alias_group")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
