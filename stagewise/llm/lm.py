@@ -11,7 +11,8 @@ predicts the class of the next id; the id within its class has its corpus
 frequency, counted over all training documents.  Windows of ``WINDOW`` ids
 overlap by ``OVERLAP``; each id is scored once, in batches of masked
 attention.  The model is fitted on the driver with a bounded sample of
-training documents (``SAMPLE``) and a bounded number of steps.
+training documents (``SAMPLE``) and a bounded number of steps.  A token's
+probability is the even mixture of the attention's and its corpus frequency.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from stagewise.llm.common import chunks, crc_mod, cut, plus, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 FOLDS, HEAD, SAMPLE = 10, 100_000, 1500
-WINDOW, OVERLAP, WIDTH, CLASSES, STEPS, BATCH, OWN = 16, 4, 16, 48, 700, 256, 8192
+WINDOW, OVERLAP, WIDTH, CLASSES, STEPS, BATCH, OWN = 16, 4, 16, 96, 1000, 256, 8192
 SHARD_BYTES, KEPT_WORDS = 2_000_000, 200_000
 SEED = 20_251
 
@@ -277,49 +278,55 @@ def _count(batches, ranks, flush: int = 500_000):
 
 
 def _score(batches, shared):
-    """Per text: tokens, the base sum over frequent words, the others by hash, and the model's log10 probability."""
+    """Per text: tokens, the base and model sums over frequent words, and the others by hash with their attention score."""
     ranks, head, log_z, model = shared.value
     words = subwords(ranks)
     cache: dict[bytes, int] = {}
-    hashes: list[int] = []
-    counts: list[int] = []
-    pieces: list[np.ndarray] = []
+    hashes: list[int] = [END]
+    counts: list[int] = [head.get(END, 0)]
+    pieces: list[list[int]] = [[words.end]]  # the first word is the end of a text
 
     def learn(w: bytes) -> int:
         h = word_hash(w)
         cache[w] = len(hashes)
         hashes.append(h)
         counts.append(head.get(h, -1))
-        pieces.append(np.array(words.ids(w), np.int32))
+        pieces.append(words.ids(w))
         return cache[w]
 
     for held in chunks(batches, "text", SHARD_BYTES):
         if len(cache) > KEPT_WORDS:
-            cache, hashes, counts, pieces = {}, [], [], []
+            cache.clear()
+            del hashes[1:], counts[1:], pieces[1:]
         texts = [t for b in held for t in text_bytes(b.column(1))]
         doc_ids = pa.concat_arrays([b.column(0) for b in held])
-        known = [[cache[w] if w in cache else learn(w) for w in t.lower().split()] for t in texts]
+        known = [[cache[w] if w in cache else learn(w) for w in t.lower().split()] + [0] for t in texts]
         sizes = np.array([len(k) for k in known])
         flat = np.array([i for k in known for i in k], np.int64)
         doc = np.repeat(np.arange(len(texts)), sizes)
+        # subword ids of all tokens, end to end, and the attention's log10 probability of each token
+        lengths = np.array([len(p) for p in pieces])
+        table = np.array([x for p in pieces for x in p], np.int64)
+        n = lengths[flat]
+        first = np.cumsum(n) - n
+        ids = table[np.repeat((np.cumsum(lengths) - lengths)[flat] - first, n) + np.arange(n.sum())]
+        logs = np.add.reduceat(model.log_probabilities(ids, first[np.cumsum(sizes) - sizes]), first) / np.log(10)
         c = np.array(counts, np.int64)[flat]
         frequent = c >= 0
-        end = head.get(END, 0)
-        base = np.bincount(doc[frequent], np.log10(c[frequent] + 0.1) - log_z, len(texts)) + np.log10(end + 0.1) - log_z
-        n_known = np.bincount(doc[frequent], c[frequent] > 0, len(texts)).astype(np.int64) + (end > 0)
-        # rarer words: (text, word) with their number
-        pair, n = np.unique(doc[~frequent] * len(hashes) + flat[~frequent], return_counts=True) if len(flat) else (flat, flat)
-        in_doc = np.searchsorted(pair // max(len(hashes), 1), np.arange(len(texts) + 1))
-        rare = np.array(hashes, np.int64)[pair % max(len(hashes), 1)] if len(pair) else pair
-        rows = pa.ListArray.from_arrays(pa.array(in_doc.astype(np.int32)), pa.StructArray.from_arrays([pa.array(rare), pa.array(n.astype(np.int64))], ["key", "n"]))
-        ids = np.concatenate([x for k in known for x in [*(pieces[i] for i in k), np.array([words.end], np.int32)]])
-        lengths = np.array([sum(len(pieces[i]) for i in k) + 1 for k in known])
-        starts = np.cumsum(lengths) - lengths
-        logs = np.add.reduceat(model.log_probabilities(ids, starts), starts) / np.log(10)
-        yield pa.RecordBatch.from_arrays([doc_ids, pa.array(sizes + 1), pa.array(n_known), pa.array(base), pa.array(logs), rows], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+        base = np.log10(c[frequent] + 0.1) - log_z
+        in_doc = np.r_[0, np.cumsum(np.bincount(doc[~frequent], minlength=len(texts)))]
+        rare = pa.StructArray.from_arrays([pa.array(np.array(hashes, np.int64)[flat[~frequent]]), pa.array(logs[~frequent].astype(np.float32))], ["key", "log"])
+        yield pa.RecordBatch.from_arrays([doc_ids, pa.array(sizes), pa.array(np.bincount(doc[frequent], c[frequent] > 0, len(texts)).astype(np.int64)),
+                                          pa.array(np.bincount(doc[frequent], base, len(texts))), pa.array(np.bincount(doc[frequent], mixed(logs[frequent], base), len(texts))),
+                                          pa.ListArray.from_arrays(pa.array(in_doc.astype(np.int32)), rare)], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare"])
 
 
-SCORED = "n_tokens long, n_known long, base double, score double, rare array<struct<key:long,n:long>>"
+def mixed(attention: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """log10 of the model's probability: half the attention's, half the word's corpus frequency."""
+    return np.logaddexp2(attention * np.log2(10), base * np.log2(10)) / np.log2(10) + np.log10(0.5)
+
+
+SCORED = "n_tokens long, n_known long, base double, score double, rare array<struct<key:long,log:float>>"
 
 
 def score(docs: DataFrame, vocabulary: str = VOCABULARY, steps: int = STEPS) -> DataFrame:
@@ -356,10 +363,13 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, steps: int = STEPS) ->
 
     scored = rows.select("doc_id", "text").mapInArrow(lambda bs: _score(bs, shared), plus(rows.select("doc_id").schema, SCORED))
     scored = cut(scored.withColumn("row", F.monotonically_increasing_id()), "scored")  # the ids are kept as written
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.key", F.col("r.n").alias("tf"))
+    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.key", F.col("r.log").cast("double").alias("log"))
     rare = rare.join(by_word.select("key", "n"), "key", "left")
     c = F.coalesce("n", F.lit(0))
-    rare = rare.groupBy("row").agg(F.sum(F.col("tf") * (F.log10(c + 0.1) - log_z)).alias("more"), F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("known"))
+    base = F.log10(c + 0.1) - log_z
+    mix = F.log10(0.5 * F.pow(F.lit(10.0), F.col("log")) + 0.5 * F.pow(F.lit(10.0), base))
+    rare = rare.groupBy("row").agg(F.sum(base).alias("more_base"), F.sum(mix).alias("more"), F.count_if(c > 0).alias("known"))
     out = scored.drop("rare").join(rare, "row", "left")
     return out.select("doc_id", (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
-                      F.lit(int(total)).cast("long").alias("train_tokens"), F.round(F.col("base") + F.coalesce("more", F.lit(0.0)), 6).alias("base_score"), F.round("score", 6).alias("score"))
+                      F.lit(int(total)).cast("long").alias("train_tokens"), F.round(F.col("base") + F.coalesce("more_base", F.lit(0.0)), 6).alias("base_score"),
+                      F.round(F.col("score") + F.coalesce("more", F.lit(0.0)), 6).alias("score"))
