@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from stagewise.llm import decontam, pieces, pii, simhash, toxicity
-from stagewise.llm.common import shared_dir
+from stagewise.llm.common import shared_dir, ship
 
 #: No SQL expresses the toxicity model, the surrogates or the encoding.
 ORACLE_SQL = None
@@ -22,11 +22,13 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator doesn't predict toxic."""
+    ship(spark)
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the smallest id, once; rows without an id stay."""
+    ship(spark)
     groups = simhash.near_duplicates(docs, shingle=4, distance=4)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -35,16 +37,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window with a benchmark item."""
+    ship(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for the detected entities."""
+    ship(spark)
     return pii.anonymise(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_pieces, round_trip) of all documents."""
+    ship(spark)
     return pieces.encode(docs)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their Python tasks can import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        import stagewise
+        root = Path(stagewise.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="stagewise-code-")) / "stagewise_package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in root.rglob("*.py"):
+                z.write(p, p.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(app)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
@@ -29,16 +48,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], col: str, most: int) -> Iterator[list[pa.RecordBatch]]:
-    """Batches gathered until their ``col`` holds ``most`` bytes; bounds what a task keeps at once."""
+    """Batches cut and gathered so that their ``col`` holds about ``most`` bytes; bounds what a task keeps at once."""
     held, size = [], 0
-    for b in batches:
-        if not b.num_rows:
-            continue
-        held.append(b)
-        size += b.column(b.schema.get_field_index(col)).nbytes
-        if size >= most:
-            yield held
-            held, size = [], 0
+    for whole in batches:
+        i = whole.schema.get_field_index(col)
+        step = max(1, whole.num_rows * most // max(1, whole.column(i).nbytes))
+        for b in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+            held.append(b)
+            size += b.column(i).nbytes
+            if size >= most:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 

@@ -36,7 +36,7 @@ from stagewise.llm.common import attach, cut
 LENGTH, GRAM = 200, 64
 PIECE = 1_000_000  # bytes hashed at once
 BLOCK = 1_000_000  # bytes of a block of suffix buckets
-LARGE = 1000
+LARGE = 4000  # segments of a bucket: about a block
 ROOT = 8
 MODULUS = ROOT * ROOT
 #: Every difference modulo MODULUS is that of a number below ROOT and a multiple of ROOT.
@@ -347,8 +347,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     kinds = cut(found.groupBy("segment").agg(F.min("bucket").alias("bucket"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "lo")).alias("first")), "segment-kinds")
     per_bucket = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = attach(kinds, per_bucket, "bucket", "kinds", max(kinds.count(), 1), ["kinds"]).select("segment", F.col("copies").alias("n"), "copies", "kinds", "first")
-    marked = attach(found, kinds, "segment", "n", max(found.count(), 1), ["copies", "kinds", "first"])
+    kinds = attach(kinds, per_bucket, "bucket", "kinds", max(kinds.count(), 1), ["kinds"]).select("segment", "copies", "kinds", "first")
+    marked = found.join(kinds, "segment")  # rows of one segment are few beside all segments; a hot one is split by the adaptive skew join
     wanted = (F.col("kinds") > 1) & ((F.col("copies") == 1) | (F.col("first") == F.struct("rid", "lo")))
     per_text = marked.groupBy("rid").agg(F.collect_set(F.struct("bucket", "lo", "hi", "p", F.col("copies").alias("n"), "kinds", wanted.alias("wanted"))).alias("found"))
 
