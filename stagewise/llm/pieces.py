@@ -20,7 +20,7 @@ from stagewise.llm.common import chunks, plus
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-SHARD_BYTES, KEPT_WORDS = 8_000_000, 400_000
+SHARD_BYTES, KEPT_WORDS = 4_000_000, 150_000
 MISSING = -1e18
 
 
