@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stagewise.llm import decontam, pieces, pii, simhash, toxicity
 from stagewise.llm.common import shared_dir, ship
@@ -42,9 +43,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for the detected entities."""
+    """All documents, with surrogates for the detected entities and n_chars of the new text."""
     ship(spark)
-    return pii.anonymise(docs)
+    out = pii.anonymise(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

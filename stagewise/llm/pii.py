@@ -259,8 +259,9 @@ def anonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """``docs`` with every detected entity in ``text`` replaced; all columns stay.
 
     A null text stays null and an empty one empty; texts without entities are
-    unchanged.  Surrogates have the length of what they replace.  Repeated
-    rows stay and get the same text.  An empty table gives no rows.
+    unchanged.  Addresses and known names may change their length, other
+    surrogates don't.  Repeated rows stay and get the same text.  An empty
+    table gives no rows.
     """
     check(docs, key)
 
