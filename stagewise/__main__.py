@@ -27,14 +27,14 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--warehouse", help="root of the logical input tables")
     src.add_argument("--fixtures", help="folder with the driver tables to derive inputs from")
     ap.add_argument("--out", required=True, help="report root folder")
-    ap.add_argument("--sample", type=int, default=None, help="test run: first N prepared claims")
+    ap.add_argument("--strict-cast", action="store_true", help="fail on unparseable numeric text instead of NULL")
     ap.add_argument("--no-diagnostics", action="store_true", help="skip crosstab/monthly/cost sections")
     ap.add_argument("--fix-quirks", action="store_true", help="repair the switchable source quirks")
     ap.add_argument("--text", default=None, help="also render the report tables as titled text here")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("stagewise").getOrCreate()
-    cfg = RunConfig(year=args.year, sample=args.sample, diagnostics=not args.no_diagnostics,
+    cfg = RunConfig(year=args.year, strict_cast=args.strict_cast, diagnostics=not args.no_diagnostics,
                     fix_quirks=args.fix_quirks)
     inputs = (TableInputs(spark, args.warehouse) if args.warehouse
               else DriverFixtures(spark, args.fixtures, analysis_year=args.year))

@@ -152,14 +152,12 @@ class RunConfig:
     """Parameters of one staging run.
 
     year         analysis year; the previous year is read where two years are used
-    sample       when set, keep only the first ``sample`` prepared claims (by claim_id)
     diagnostics  also build the crosstab, monthly and cost reports
     fix_quirks   repair the known source quirks that are switchable (see README)
     strict_cast  raise on unparseable numeric text instead of yielding NULL
     """
 
     year: int = 1997
-    sample: int | None = None
     diagnostics: bool = True
     fix_quirks: bool = False
     strict_cast: bool = False
@@ -169,8 +167,6 @@ class RunConfig:
     def __post_init__(self):
         if not isinstance(self.year, int) or not 1000 <= self.year <= 9999:
             raise ValueError(f"year must be a four-digit int, got {self.year!r}")
-        if self.sample is not None and self.sample <= 0:
-            raise ValueError("sample must be positive")
 
     @property
     def prev_year(self) -> int:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import NULL_SENTINEL, THRESHOLD_STRIP_CHARS, THRESHOLD_TEXT_PATTERN
+from ..config import THRESHOLD_STRIP_CHARS, THRESHOLD_TEXT_PATTERN
 
 WHOLE_NUMBER = "decimal(38,0)"
 
@@ -23,7 +23,7 @@ def to_whole_number(c: Column, strict: bool = False) -> Column:
 
 
 def full_match(c: Column, pattern: str) -> Column:
-    return c.rlike(f"^(?:{pattern})$")
+    return c.rlike(rf"\A(?:{pattern})\z")  # $ would also match before a final line break
 
 
 def is_threshold_text(c: Column) -> Column:
@@ -35,10 +35,6 @@ def threshold_value(c: Column, strict: bool = False) -> Column:
     return to_whole_number(F.translate(c, THRESHOLD_STRIP_CHARS, ""), strict)
 
 
-def sentinel_to_null(c: Column) -> Column:
-    return F.when(c == F.lit(NULL_SENTINEL), F.lit(None)).otherwise(c)
-
-
 def dx_number(code: Column) -> Column:
     """Diagnosis code -> 4-digit number: 4 characters keep the last three and
     append 0 (``N183`` -> 1830); 5 characters keep the last four."""

@@ -26,10 +26,6 @@ def adults(age: Column) -> Column:
     return age >= ADULT_AGE
 
 
-def adults_in_denominator(age: Column, denom: Column) -> Column:
-    return (age >= ADULT_AGE) & (denom == 1)
-
-
 def apply_where(df: DataFrame, where: Column | str | None) -> DataFrame:
     """Optional filter: ``None``/``""`` means no filter."""
     if where is None or (isinstance(where, str) and not where.strip()):

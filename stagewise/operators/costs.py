@@ -59,9 +59,6 @@ def claim_cost(claims: DataFrame, category: DataFrame, ip_header: DataFrame,
     adj = F.when(lower.isin(*C.NAMED_CATEGORIES), F.col("fasc_cat")).otherwise(F.lit(C.CAT_OTHER))
     out = per.select("claim_id", "member_id", "from_date", amount.alias("allowed_amt"),
                      adj.alias("fasc_cat_adj"))
-    if cfg.sample is not None:
-        # test runs: a deterministic first-N of the prepared claims
-        out = out.orderBy("claim_id", "member_id", "fasc_cat_adj").limit(cfg.sample)
     return out
 
 

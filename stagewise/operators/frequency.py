@@ -25,16 +25,17 @@ def _order(dims: Sequence[str]) -> list[Column]:
     return [F.col(d).asc_nulls_last() for d in dims]
 
 
-def frequency(df: DataFrame, dims: Sequence[str], where: Column | str | None = None,
+def frequency(df: DataFrame, dims: Sequence[str | Column], where: Column | str | None = None,
               aggs: Sequence[Column] = (), name: str = "n", count: Column | None = None,
               ordered: bool = True) -> DataFrame:
     """``dims..., <name>, aggs...`` grouped by ``dims`` (NULL is its own group),
     ordered by ``dims`` ascending with NULLs last.  ``count`` replaces
-    ``count(*)`` (e.g. ``F.count_distinct("member_id")``)."""
+    ``count(*)`` (e.g. ``F.count_distinct("member_id")``).  A dimension may be an
+    expression (give it an alias)."""
     dims = list(dims)
     out = (apply_where(df, where).groupBy(*dims)
            .agg((count if count is not None else F.count(F.lit(1))).alias(name), *aggs))
-    return out.orderBy(*_order(dims)) if ordered else out
+    return out.orderBy(*_order(out.columns[:len(dims)])) if ordered else out
 
 
 def count_where(df: DataFrame, where: Column | str | None = None,

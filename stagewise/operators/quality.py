@@ -13,20 +13,22 @@ from .. import config as C
 from ..functions.parsing import is_threshold_text
 
 
-def dx_parity(latest: DataFrame, final: DataFrame) -> DataFrame:
-    """Row counts before and after the unspecified-stage-3 refinement (must match)."""
-    tagged = (latest.select(F.lit(1).alias("_b"), F.lit(0).alias("_a"))
-              .unionByName(final.select(F.lit(0).alias("_b"), F.lit(1).alias("_a"))))
-    counts = tagged.agg(F.coalesce(F.sum("_b"), F.lit(0)).cast("long").alias("n_before"),
-                        F.coalesce(F.sum("_a"), F.lit(0)).cast("long").alias("n_after"))
-    return counts.select("n_before", "n_after",
-                         (F.col("n_before") == F.col("n_after")).alias("parity"))
-
-
-def assert_dx_parity(latest: DataFrame, final: DataFrame) -> None:
-    row = dx_parity(latest, final).first()
+def dx_parity(bag: DataFrame, final: DataFrame) -> DataFrame:
+    """Members with a dated diagnosis (from the parsed rows, before any refinement) against the
+    rows of the final frame; parity also needs every such member exactly once."""
+    tagged = (bag.where(F.col("from_date").isNotNull()).select("member_id", F.lit(1).alias("_b"), F.lit(0).alias("_a"))
+              .unionByName(final.select("member_id", F.lit(0).alias("_b"), F.lit(1).alias("_a"))))
+    members = tagged.groupBy("member_id").agg(F.max("_b").alias("_b"), F.sum("_a").alias("_a"))
+    counts = members.agg(F.coalesce(F.sum("_b"), F.lit(0)).cast("long").alias("n_before"),
+                         F.coalesce(F.sum("_a"), F.lit(0)).cast("long").alias("n_after"),
+                         F.coalesce(F.bool_and(F.col("_b") == F.col("_a")), F.lit(True)).alias("parity"))
+    return counts.select("n_before", "n_after", "parity")
+
+
+def assert_dx_parity(bag: DataFrame, final: DataFrame) -> None:
+    row = dx_parity(bag, final).first()
     if not row["parity"]:
-        raise AssertionError(f"refinement changed row count: {row['n_before']} -> {row['n_after']}")
+        raise AssertionError(f"refinement changed the members: {row['n_before']} -> {row['n_after']}")
 
 
 def qa_both_sources_sample(member_stage: DataFrame, n: int = 20) -> DataFrame:

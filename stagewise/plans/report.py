@@ -44,7 +44,7 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
         "qa_frequencies": lambda: frequency.qa_frequencies(run.labs_normalised, run.latest_lab,
                                                            run.final_flags, cfg, base=cube()),
         "qa_both_sources_sample": lambda: quality.qa_both_sources_sample(run.final_flags),
-        "dx_parity": lambda: quality.dx_parity(run.latest_dx, run.dx_final),
+        "dx_parity": lambda: quality.dx_parity(run.dx_bag, run.dx_final),
     }
     if cfg.diagnostics:
         sections.update({
@@ -56,9 +56,7 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
 
 
 def report_path(root: str, cfg: RunConfig, run_date: dt.date | None = None) -> str:
-    prefix = "test_" if cfg.sample is not None else ""
-    d = "" if cfg.sample is not None else f"/run_date={(run_date or dt.date.today()).isoformat()}"
-    return f"{root.rstrip('/')}/{prefix}year={cfg.year}{d}"
+    return f"{root.rstrip('/')}/year={cfg.year}/run_date={(run_date or dt.date.today()).isoformat()}"
 
 
 def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date | None = None,
@@ -75,7 +73,7 @@ def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date |
     run = StagingRun(inputs, cfg, materialize_mode=materialize_mode)
     run.member_stage, run.latest_dx, run.dx_final      # build the lazy graph on this thread
     with ThreadPoolExecutor(max_workers=2) as pool:    # parity check || final_flags lineage cut
-        checks = [pool.submit(quality.assert_dx_parity, run.latest_dx, run.dx_final),
+        checks = [pool.submit(quality.assert_dx_parity, run.dx_bag, run.dx_final),
                   pool.submit(lambda: run.final_flags)]
         for f in checks:
             f.result()

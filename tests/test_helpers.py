@@ -43,3 +43,22 @@ def test_unpivot_rows_emits_only_matching_records(spark):
             (None, [("tag", Q.lit("any")), ("val", "s")])]
     got = sorted(tuple(r) for r in df.select(Q.unpivot_rows(rows)).collect())
     assert got == [("any", "a"), ("any", "b"), ("big", "b")]
+
+
+def test_dx_parity_can_fail(spark):
+    import datetime
+    from stagewise.operators import quality
+    day = datetime.date(2020, 1, 1)
+    bag = spark.createDataFrame([(1, day), (1, day), (2, day), (3, None)], "member_id long, from_date date")
+    good = spark.createDataFrame([(1,), (2,)], "member_id long")
+    assert tuple(quality.dx_parity(bag, good).first()) == (2, 2, True)
+    for bad in ([(1,)], [(1,), (1,)], [(1,), (2,), (3,)]):
+        assert not quality.dx_parity(bag, spark.createDataFrame(bad, "member_id long")).first()["parity"]
+
+
+def test_frequency_by_expression(spark):
+    from pyspark.sql import functions as F
+    from stagewise.operators.frequency import frequency
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "x int")
+    got = frequency(df, [(F.col("x") % 2).alias("odd")]).collect()
+    assert [tuple(r) for r in got] == [(0, 1), (1, 2), (None, 1)]

@@ -37,7 +37,7 @@ def test_all_results_reads_input_text_not_parsed_value(spark):
 
 @pytest.mark.parametrize("text,expected", [
     (">60", 60), (">/=60", 60), (">= 90", 90), ("> 60", 60), (">60.00", 60), (">120.0", 120),
-    (">600", 600), (">60+", None), ("x>60", None), (">60 mL/min", None), ("60", None),
+    (">600", 600), (">60+", None), ("x>60", None), (">60 mL/min", None), ("60", None), (">60\n", None),
 ])
 def test_threshold_text_whole_string_match(spark, text, expected):
     out = normalise_labs(_labs(spark, [("NULL", text)]), RunConfig()).first()

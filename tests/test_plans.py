@@ -1,4 +1,4 @@
-"""Whole-run surfaces: partitioned table layout, report writer, sampled runs,
+"""Whole-run surfaces: partitioned table layout, report writer,
 and the physical shape of the skew-sensitive plans."""
 
 import datetime as dt
@@ -83,15 +83,6 @@ def test_write_report_layout_and_text(spark):
     assert text.startswith("stage_frequencies\n") and "ckd_stage_comb_all" in text
 
 
-def test_sampled_run_is_deterministic_and_prefixed(spark):
-    cfg = RunConfig(sample=50)
-    run = StagingRun(DriverFixtures(spark, SF_SMALL), cfg)
-    a = _rows(run.claim_prep)
-    assert len(a) == 50 and a == _rows(StagingRun(DriverFixtures(spark, SF_SMALL), cfg).claim_prep)
-    from stagewise.plans.report import report_path
-    assert "/test_year=1997" in report_path("/r", cfg)
-
-
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
