@@ -69,10 +69,9 @@ class DriverFixtures(Inputs):
 
     # -- members -----------------------------------------------------------
     def _member(self, year):
-        c = self._read("customer")
-        return (c.where(F.col("c_custkey") % 50 != 49)
-                 .select(F.col("c_custkey").alias("member_id"),
-                         (F.col("c_custkey") % 90).cast("int").alias("age")))
+        return self._read("customer").selectExpr(
+            "c_custkey AS member_id",
+            "CASE WHEN c_custkey % 50 <> 49 THEN CAST(c_custkey % 90 AS INT) END AS age")
 
     def _enroll(self, year):
         plan = " ".join(f"WHEN '{seg}' THEN '{code}'" for seg, code in PLAN_BY_SEGMENT)
@@ -88,21 +87,19 @@ class DriverFixtures(Inputs):
 
     def _condition_flags(self, year):
         x = f"(c_custkey + {self.analysis_year - year})"
-        return (self._read("customer").where(f"{x} % 10 <> 9")
-                .selectExpr("c_custkey AS member_id",
-                            f"CASE WHEN {x} % 3 = 0 THEN 1 ELSE 0 END AS ckd",
-                            f"CASE WHEN {x} % 17 = 0 THEN 1 ELSE 0 END AS esrd",
-                            f"CASE WHEN {x} % 5 = 0 THEN 1 ELSE 0 END AS aki"))
+        flag = lambda n: f"CASE WHEN {x} % 10 = 9 THEN NULL WHEN {x} % {n} = 0 THEN 1 ELSE 0 END"
+        return self._read("customer").selectExpr(
+            "c_custkey AS member_id", f"{flag(3)} AS ckd", f"{flag(17)} AS esrd", f"{flag(5)} AS aki")
 
     # -- labs ----------------------------------------------------------------
     def _labs(self, year):
         li = self._read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                             "l_tax", "l_returnflag", "l_shipdate")
-        o = self._orders().select("o_orderkey", "o_custkey").where("o_custkey % 4 <> 3")
+        o = self._orders().select("o_orderkey", "o_custkey")
         j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         return j.selectExpr(
             "o_custkey AS member_id",
-            f"CASE WHEN l_linenumber <= 2 THEN '{TARGET_TEST_CODE}' ELSE '{OTHER_TEST_CODE}' END AS requestcpt",
+            f"CASE WHEN l_linenumber <= 2 AND o_custkey % 4 <> 3 THEN '{TARGET_TEST_CODE}' ELSE '{OTHER_TEST_CODE}' END AS requestcpt",
             "CASE WHEN l_linenumber = 2 THEN 'NULL' WHEN l_quantity = 50 THEN CAST(NULL AS STRING) "
             "ELSE concat(CAST(CAST(l_quantity AS INT) * 2 AS STRING), '.', "
             "CAST(CAST(round(l_tax * 100) AS INT) AS STRING)) END AS numericresult",
@@ -118,9 +115,9 @@ class DriverFixtures(Inputs):
             f"CASE o_orderkey % 16 {arms} ELSE '{DX_OTHER}' END AS dx_code")
 
     def _claim_headers(self, year):
-        return (self._orders().where(F.col("o_orderkey") % 40 != 39)
-                .select(F.col("o_orderkey").alias("claim_id"),
-                        F.col("o_orderdate").cast("date").alias("from_date")))
+        return self._orders().selectExpr(
+            "o_orderkey AS claim_id",
+            "CASE WHEN o_orderkey % 40 <> 39 THEN CAST(o_orderdate AS DATE) END AS from_date")
 
     def _claims(self, year):
         li = self._read("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
@@ -142,7 +139,6 @@ class DriverFixtures(Inputs):
             f"WHEN '5' THEN CASE o_orderkey % 3 {low} END END AS fasc_cat")
 
     def _inpatient_header(self, year):
-        return (self._orders(year)
-                .where((F.substring(F.col("o_orderpriority"), 1, 1) == "1") & (F.col("o_orderkey") % 9 != 8))
-                .select(F.col("o_orderkey").alias("claim_id"),
-                        F.col("o_totalprice").cast("decimal(18,2)").alias("allowed_amount")))
+        return self._orders(year).where("substring(o_orderpriority, 1, 1) = '1'").selectExpr(
+            "o_orderkey AS claim_id",
+            "CASE WHEN o_orderkey % 9 <> 8 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS allowed_amount")
