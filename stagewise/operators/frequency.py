@@ -54,9 +54,12 @@ def distinct_values(df: DataFrame, col: str, where: Column | str | None = None)
     return apply_where(df, where).select(col).distinct().orderBy(F.col(col).asc_nulls_last())
 
 
-def category_list(df: DataFrame, col: str, where: Column | str | None = None) -> list:
-    """Python list of the distinct values (for small code domains only)."""
-    return [r[0] for r in distinct_values(df, col, where).collect()]
+def category_list(df: DataFrame, col: str, where: Column | str | None = None, most: int = 10_000) -> list:
+    """Python list of the distinct values; fails beyond ``most`` of them."""
+    found = distinct_values(df, col, where).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} distinct values; use distinct_values")
+    return [r[0] for r in found]
 
 
 def percentile_name(p: float) -> str:
@@ -249,10 +252,10 @@ def monthly_counts(final_flags: DataFrame) -> DataFrame:
 
 # -- QA frequencies ----------------------------------------------------------
 
-def qa_lab_tables(cfg: C.RunConfig) -> list[Table]:
-    target = f"requestcpt = {Q.lit(cfg.target_test)}"
-    return [Table(1, "numericresult by all_results (target test)", ("numericresult", "all_results"), target),
-            Table(2, "textresult by all_results (target test)", ("textresult", "all_results"), target)]
+def qa_lab_tables() -> list[Table]:
+    """Over the target test's rows."""
+    return [Table(1, "numericresult by all_results (target test)", ("numericresult", "all_results")),
+            Table(2, "textresult by all_results (target test)", ("textresult", "all_results"))]
 
 
 def qa_member_tables(cfg: C.RunConfig) -> list[Table]:
@@ -279,8 +282,12 @@ def qa_member_tables(cfg: C.RunConfig) -> list[Table]:
 def qa_frequencies(labs_normalised: DataFrame, latest_lab: DataFrame, final_flags: DataFrame,
                    cfg: C.RunConfig, width: int = 4, base: DataFrame | None = None) -> DataFrame:
     """The QA frequency prints as one long frame (12 tables, three sources).
-    ``base``: a :func:`report_cuboid` for the member tables."""
-    labs_part = stacked_frequencies(labs_normalised, qa_lab_tables(cfg), width, ordered=False)
+    ``base``: a :func:`report_cuboid` for the member tables.  The lab rows are
+    filtered to the target test (pushed to the scan) and counted by their three
+    values before the tables are stacked."""
+    lab_base = cuboid(labs_normalised.where(F.col("requestcpt") == cfg.target_test),
+                      ["all_results", "numericresult", "textresult"])
+    labs_part = stacked_frequencies(lab_base, qa_lab_tables(), width, weight="n", ordered=False)
     n_labs = stacked_frequencies(latest_lab, [Table(3, "n_labs on the latest lab day", ("n_labs",))],
                                  width, ordered=False)
     mt = qa_member_tables(cfg)

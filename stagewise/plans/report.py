@@ -96,16 +96,20 @@ def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date |
         run.release()
 
 
-def render_text(tables: dict[str, DataFrame]) -> str:
+def render_text(tables: dict[str, DataFrame], most: int = 10_000) -> str:
     """Titled fixed-width text of report frames.
 
-    Report frames are bounded by label combinations (a few hundred rows), so
-    they are collected whole; do not pass member- or claim-level frames.
+    Most report frames are bounded by label combinations (a few hundred rows).
+    One of more than ``most`` rows (free-text results) isn't collected: its
+    text is a line that says so, and its rows are in the report dataset.
     """
     parts = []
     for name, df in tables.items():
         cols = df.columns
-        rows = df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).collect()
+        rows = df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]).limit(most + 1).collect()
+        if len(rows) > most:
+            parts.append(f"{name}\nmore than {most} rows: see the report dataset\n")
+            continue
         cells = [[("" if r[c] is None else str(r[c])) for c in cols] for r in rows]
         width = [max([len(c)] + [len(x[i]) for x in cells]) for i, c in enumerate(cols)]
         lines = [" ".join(c.rjust(w) for c, w in zip(cols, width))]

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagewise import DriverFixtures, FrameInputs, RunConfig, StagingRun, TableInputs
+from stagewise.operators import frequency
 from stagewise.plans import render_text, write_report
 from stagewise.sources import LOGICAL
 
@@ -194,3 +195,23 @@ def test_table_inputs_year_suffixed_folders(spark):
             fx.table(name).write.parquet(f"{root}/{name}")
     a = StagingRun(TableInputs(spark, root, layout="suffixed"), CFG).final_flags
     assert _rows(a) == _rows(StagingRun(fx, CFG).final_flags)
+
+
+def test_qa_lab_filter_reaches_the_scan(spark, warehouse):
+    run = StagingRun(TableInputs(spark, warehouse), CFG)
+    df = frequency.qa_frequencies(run.labs_normalised, run.latest_lab, run.final_flags, CFG)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        scans = [x for x in _plan(df).splitlines() if "FileScan" in x and "/labs]" in x]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert scans and all("EqualTo(requestcpt" in x.split("PushedFilters")[1] for x in scans)
+
+
+def test_driver_lists_and_text_are_bounded(spark):
+    df = spark.range(20).selectExpr("CAST(id AS STRING) AS v")
+    assert len(frequency.category_list(df, "v", most=20)) == 20
+    with pytest.raises(ValueError, match="more than 5"):
+        frequency.category_list(df, "v", most=5)
+    assert "more than 5 rows" in render_text({"free text": df}, most=5)
+    assert "more than" not in render_text({"codes": df}, most=20)
