@@ -15,8 +15,9 @@ from ..functions.parsing import is_threshold_text
 
 def dx_parity(bag: DataFrame, final: DataFrame) -> DataFrame:
     """Members with a dated diagnosis (from the parsed rows, before any refinement) against the
-    rows of the final frame; parity also needs every such member exactly once."""
-    tagged = (bag.where(F.col("from_date").isNotNull()).select("member_id", F.lit(1).alias("_b"), F.lit(0).alias("_a"))
+    rows of the final frame; parity also needs every such member exactly once.  Rows without a
+    member belong to nobody and are not counted."""
+    tagged = (bag.where(F.col("from_date").isNotNull() & F.col("member_id").isNotNull()).select("member_id", F.lit(1).alias("_b"), F.lit(0).alias("_a"))
               .unionByName(final.select("member_id", F.lit(0).alias("_b"), F.lit(1).alias("_a"))))
     members = tagged.groupBy("member_id").agg(F.max("_b").alias("_b"), F.sum("_a").alias("_a"))
     counts = members.agg(F.coalesce(F.sum("_b"), F.lit(0)).cast("long").alias("n_before"),

@@ -56,6 +56,14 @@ def test_dx_parity_can_fail(spark):
         assert not quality.dx_parity(bag, spark.createDataFrame(bad, "member_id long")).first()["parity"]
 
 
+def test_dx_parity_ignores_rows_without_a_member(spark):
+    from stagewise.operators import quality
+    bag = spark.createDataFrame([(1, dt.date(1997, 1, 1)), (None, dt.date(1997, 1, 1))], "member_id long, from_date date")
+    final = spark.createDataFrame([(1,)], "member_id long")
+    assert tuple(quality.dx_parity(bag, final).first()) == (1, 1, True)
+
+
+
 def test_frequency_by_expression(spark):
     from pyspark.sql import functions as F
     from stagewise.operators.frequency import frequency
