@@ -123,3 +123,113 @@ def test_config_validates_year():
     with pytest.raises(ValueError):
         RunConfig(year=97)
     assert RunConfig(year=2020).prev_year == 2019
+
+
+# Every (claim label, lab label) of a member without end-stage disease, by hand:
+# rows are claim labels, columns the lab labels none, 1, 2, 3a, 3b, 4, 5.
+# "-" is no category, "?" stage unknown, "u" unspecified 3, "E" stage 5/ESRD.
+LABS = ("0", "stage 1", "stage 2", "stage 3a", "stage 3b", "stage 4", "stage 5")
+CLAIMS = ("", "0", "stage 3, unspecified", "stage 1", "stage 2", "stage 3a", "stage 3b", "stage 4", "stage 5")
+GRIDS = {  # (category, flagged, which source is later)
+    ("fine", 1, "claim"): """? 1 2 3a 3b 4 5
+                             ? 1 2 3a 3b 4 5
+                             u 1 2 3a 3b 4 5
+                             1 1 1 1 1 1 1
+                             2 2 2 2 2 2 2
+                             3a 3a 3a 3a 3a 3a 3a
+                             3b 3b 3b 3b 3b 3b 3b
+                             4 4 4 4 4 4 4
+                             5 5 5 5 5 5 5""",
+    ("fine", 1, "lab"): """? 1 2 3a 3b 4 5
+                           ? 1 2 3a 3b 4 5
+                           u 1 2 3a 3b 4 5
+                           1 1 2 3a 3b 4 5
+                           2 1 2 3a 3b 4 5
+                           3a 1 2 3a 3b 4 5
+                           3b 1 2 3a 3b 4 5
+                           4 1 2 3a 3b 4 5
+                           5 1 2 3a 3b 4 5""",
+    ("fine", 0, "claim"): """- 1 2 - - - -
+                             - 1 2 - - - -
+                             - 1 2 - - - -
+                             1 1 1 1 1 1 1
+                             2 2 2 2 2 2 2
+                             - - - - - - -
+                             - - - - - - -
+                             - - - - - - -
+                             - - - - - - -""",
+    ("fine", 0, "lab"): """- 1 2 - - - -
+                           - 1 2 - - - -
+                           - 1 2 - - - -
+                           1 1 2 - - - -
+                           2 1 2 - - - -
+                           - 1 2 - - - -
+                           - 1 2 - - - -
+                           - 1 2 - - - -
+                           - 1 2 - - - -""",
+    ("w3", 1, "claim"): """? ? ? 3a 3b 4 E
+                           ? ? ? 3a 3b 4 E
+                           u - - 3a 3b 4 E
+                           1 1 1 1 1 1 1
+                           2 2 2 2 2 2 2
+                           3a 3a 3a 3a 3a 3a 3a
+                           3b 3b 3b 3b 3b 3b 3b
+                           4 4 4 4 4 4 4
+                           E E E E E E E""",
+    ("w3", 1, "lab"): """? ? ? 3a 3b 4 E
+                         ? ? ? 3a 3b 4 E
+                         u - - 3a 3b 4 E
+                         1 - - 3a 3b 4 E
+                         2 - - 3a 3b 4 E
+                         3a - - 3a 3b 4 E
+                         3b - - 3a 3b 4 E
+                         4 - - 3a 3b 4 E
+                         E - - 3a 3b 4 E""",
+    ("w3", 0, "claim"): """- - - - - - -
+                           - - - - - - -
+                           - - - - - - -
+                           1 1 1 1 1 1 1
+                           2 2 2 2 2 2 2
+                           - - - - - - -
+                           - - - - - - -
+                           - - - - - - -
+                           - - - - - - -""",
+    ("w3", 0, "lab"): """- - - - - - -
+                         - - - - - - -
+                         - - - - - - -
+                         1 - - - - - -
+                         2 - - - - - -
+                         - - - - - - -
+                         - - - - - - -
+                         - - - - - - -
+                         - - - - - - -""",
+}
+NAMED = {"fine": {"?": "CKD, stage unknown", "u": "CKD, stage 3 unspecified"},
+         "w3": {"?": "CKD, stage unknown", "u": "stage 3 unspecified", "E": "stage 5/ESRD", "-": "No lab or claim for CKD"}}
+
+
+def test_categories_of_every_label_pair(spark):
+    rows, expected = [], {}
+    for (kind, flag, later), grid in GRIDS.items():
+        for claim, line in zip(CLAIMS, grid.splitlines(), strict=True):
+            for lab, cell in zip(LABS, line.split(), strict=True):
+                for denom in (0, 1):
+                    key = (flag, later, claim, lab, denom)
+                    none = f"No lab or claim for CKD, {'' if denom else 'not '}in JVHL denom"
+                    names = NAMED[kind] | ({"-": none} if kind == "fine" else {})
+                    expected.setdefault(key, {})[kind] = names.get(cell, f"stage {cell}")
+    for flag, later, claim, lab, denom in expected:
+        for esrd in (0, 1, None):
+            lab_date = None if lab == "0" else D1 if later == "lab" else D0
+            claim_date = None if claim in ("", "0") else D0 if later == "lab" else D1
+            rows.append((esrd, flag, later, claim, lab, denom, lab_date, claim_date))
+    df = spark.createDataFrame(rows, "e int, f int, later string, c string, l string, d int, ld date, cd date")
+    c = F.col
+    df = df.withColumn("src", R.recent_source(c("ld"), c("cd"), c("c"), c("l")))
+    df = df.withColumn("s", R.chosen_stage(c("src"), c("l"), c("c")))
+    got = df.select("*", R.stage_comb_all(c("e"), c("f"), c("c"), c("l"), c("s"), c("d")).alias("fine"),
+                    R.stage_comb_w3unsp(c("e"), c("f"), c("c"), c("l"), c("s"), c("src")).alias("w3")).collect()
+    assert len(got) == 3 * 2 * 2 * len(CLAIMS) * len(LABS) * 2
+    for r in got:
+        want = {"fine": "ESRD", "w3": "stage 5/ESRD"} if r["e"] == 1 else expected[r["f"], r["later"], r["c"], r["l"], r["d"]]
+        assert (r["fine"], r["w3"]) == (want["fine"], want["w3"]), r
