@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LAB_FLAG_LIMIT, NULL_SENTINEL, PERSISTENCE_DAYS, RunConfig
@@ -12,20 +12,22 @@ from ..functions.parsing import is_threshold_text, threshold_value, to_whole_num
 from ..functions.rules import first_match
 
 
+def in_window(cfg: RunConfig) -> Column:
+    """The analysis year and the year before, as a date range that reaches the scan."""
+    d = F.col("date_servicebegin")
+    return (d >= F.lit(dt.date(cfg.prev_year, 1, 1))) & (d < F.lit(dt.date(cfg.year + 1, 1, 1)))
+
+
 def normalise_labs(labs: DataFrame, cfg: RunConfig) -> DataFrame:
     """Sentinel text -> NULL, numeric text -> whole number; ``all_results`` takes a
     threshold text (e.g. ``>60``) first, else the numeric value.  Keeps the
     analysis year and the year before.
 
     Both derived columns read the *input* ``numericresult`` text, so they are
-    built in one ``select``.  The year test is a date range so it can reach the
-    parquet scan as a pushed filter.
+    built in one ``select``.
     """
     num, text = F.col("numericresult"), F.col("textresult")
-    lo = F.lit(dt.date(cfg.prev_year, 1, 1))
-    hi = F.lit(dt.date(cfg.year + 1, 1, 1))
-    d = F.col("date_servicebegin")
-    return (labs.where((d >= lo) & (d < hi))
+    return (labs.where(in_window(cfg))
                 .select("member_id", "requestcpt",
                         F.when(num == NULL_SENTINEL, F.lit(None))
                          .otherwise(to_whole_number(num, cfg.strict_cast)).alias("numericresult"),

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..config import RunConfig
 from ..functions.parsing import is_threshold_text
+from ..sources.catalog import Inputs
+from .labs import in_window
 
 
 def dx_parity(bag: DataFrame, final: DataFrame) -> DataFrame:
@@ -62,3 +65,21 @@ def lab_parse_failures(labs: DataFrame) -> DataFrame:
     bad_num = num.isNotNull() & (num != C.NULL_SENTINEL) & num.try_cast("decimal(38,0)").isNull()
     return labs.agg(F.count_if(bad_text).alias("bad_threshold_text"),
                     F.count_if(bad_num).alias("bad_numeric_text"))
+
+
+def data_quality(inputs: Inputs, cfg: RunConfig) -> DataFrame:
+    """(check_name, n): the input conditions that silently change a run's results, counted in
+    the tables it reads and in the target-test labs of its two years."""
+    def count(df: DataFrame, label: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("check_name"), "n")
+
+    labs = inputs.table("labs").where(in_window(cfg) & (F.col("requestcpt") == cfg.target_test))
+    bad = lab_parse_failures(labs).select(F.inline(F.array(
+        F.struct(F.lit("unparseable threshold text").alias("check_name"), F.col("bad_threshold_text").alias("n")),
+        F.struct(F.lit("unparseable numeric text").alias("check_name"), F.col("bad_numeric_text").alias("n")))))
+    return (count(duplicate_months(inputs.table("enroll", cfg.year)), "duplicate enrolment months")
+            .unionByName(count(duplicate_claim_keys(inputs.table("claim_category", cfg.year), "category"),
+                               "claims with several category rows"))
+            .unionByName(count(duplicate_claim_keys(inputs.table("inpatient_header", cfg.year), "header"),
+                               "claims with several header rows"))
+            .unionByName(bad))

@@ -45,6 +45,7 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
                                                            run.final_flags, cfg, base=cube()),
         "qa_both_sources_sample": lambda: quality.qa_both_sources_sample(run.final_flags),
         "dx_parity": lambda: quality.dx_parity(run.dx_bag, run.dx_final),
+        "data_quality": lambda: quality.data_quality(run.inputs, cfg),
     }
     if cfg.diagnostics:
         sections.update({

@@ -62,7 +62,7 @@ def test_write_report_layout_and_text(spark):
     root = tempfile.mkdtemp(prefix="stagewise-report-")
     paths = write_report(DriverFixtures(spark, SF_SMALL), CFG, root, run_date=dt.date(2020, 1, 2))
     assert set(paths) >= {"stage_frequencies", "crosstab_battery", "monthly_counts", "cost_battery",
-                          "qa_frequencies", "flag_minus_esrd_count", "qa_both_sources_sample"}
+                          "qa_frequencies", "flag_minus_esrd_count", "qa_both_sources_sample", "data_quality"}
     for name, p in paths.items():
         assert p.startswith(f"{root}/year={CFG.year}/run_date=2020-01-02/")
         assert os.path.isdir(p)
