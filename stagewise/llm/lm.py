@@ -7,10 +7,10 @@ vocabulary.
 
 The attention model reads a text's lower-cased words as subword ids of a
 public vocabulary (a path), each word with its space, then an end id.  It
-predicts the class of the next id; the id within its class has its corpus
-frequency, counted over all training documents.  Windows of ``WINDOW`` ids
-overlap by ``OVERLAP``; each id is scored once, in batches of masked
-attention.  The model is fitted on the driver with a bounded sample of
+predicts one of ``CLASSES`` classes of the next id; the id within its class has
+its corpus frequency, counted over all training documents.  Windows of ``WINDOW``
+ids overlap by ``OVERLAP``; each id is scored once, in batches of masked
+attention, and past the first window sees more than ``OVERLAP`` ids before it.  The model is fitted on the driver with a bounded sample of
 training documents (``SAMPLE``) and a bounded number of steps.  A token's
 probability is the even mixture of the attention's and its corpus frequency.
 """
@@ -29,7 +29,7 @@ from stagewise.llm.common import chunks, crc_mod, cut, plus, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 FOLDS, HEAD, SAMPLE = 10, 100_000, 1500
-WINDOW, OVERLAP, WIDTH, CLASSES, STEPS, BATCH, OWN = 16, 4, 16, 48, 1000, 256, 8192
+WINDOW, OVERLAP, WIDTH, CLASSES, STEPS, BATCH, OWN = 16, 8, 16, 96, 1000, 256, 8192
 SHARD_BYTES, KEPT_WORDS = 2_000_000, 200_000
 SEED = 20_251
 

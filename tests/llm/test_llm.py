@@ -380,6 +380,20 @@ def test_lm_windows_score_each_id_once():
             assert got[i] == pytest.approx(want, abs=1e-4)
 
 
+def test_lm_classes_and_context():
+    rng = np.random.default_rng(3)
+    stream = rng.integers(0, 300, 20_000)
+    assert int(lm.classes_of(stream, 301).max()) + 1 == 96  # the last for ids not seen
+    m = lm.Model(np.arange(6), np.arange(6), 6)
+    m.within = np.zeros(6, np.float32)
+    ids = rng.integers(0, 6, 60)
+    for k in range(8, 60):
+        other = ids.copy()
+        other[k - 8] = (ids[k - 8] + 1) % 6
+        a, b = (m.log_probabilities(x, np.array([0])) for x in (ids, other))
+        assert a[k] != b[k], k
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
     assert [n for n, _ in P.STAGES] == ["toxicity", "simhash", "decontamination", "pii", "sentencepiece"]
