@@ -10,9 +10,15 @@ public vocabulary (a path), each word with its space, then an end id.  It
 predicts one of ``CLASSES`` classes of the next id; the id within its class has
 its corpus frequency, counted over all training documents.  Windows of ``WINDOW``
 ids overlap by ``OVERLAP``; each id is scored once, in batches of masked
-attention, and past the first window sees more than ``OVERLAP`` ids before it.  The model is fitted on the driver with a bounded sample of
-training documents (``SAMPLE``) and a bounded number of steps.  A token's
-probability is the even mixture of the attention's and its corpus frequency.
+attention, and past the first window sees more than ``OVERLAP`` ids before it.
+
+The model is fitted on all training documents.  Classes come from neighbour
+counts of all ids.  In each of ``ROUNDS`` rounds every task runs Adam over its
+windows from the shared parameters, and their weighted means, of fixed size,
+are the next round's; small inputs are gone over until ``STEPS`` batches are
+seen.  So fitted parameters depend a little on how the table is split.  A
+token's probability is the even mixture of the attention's and its corpus
+frequency.
 """
 
 from __future__ import annotations
@@ -28,9 +34,10 @@ from pyspark.sql import functions as F
 from stagewise.llm.common import chunks, crc_mod, cut, plus, text_bytes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-FOLDS, HEAD, SAMPLE = 10, 100_000, 1500
+FOLDS, HEAD = 10, 100_000
 WINDOW, OVERLAP, WIDTH, CLASSES, STEPS, BATCH, OWN = 16, 8, 16, 96, 1000, 256, 8192
 SHARD_BYTES, KEPT_WORDS = 2_000_000, 200_000
+ROUNDS, PARTS, NEIGHBOURS = 5, 16, 24
 SEED = 20_251
 
 
@@ -129,16 +136,18 @@ class Model:
         np.exp(logits, out=logits)
         return chosen - np.log(logits.sum(2))
 
-    def gradients(self, rows: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross entropy of the target classes, and its gradients."""
+    def gradients(self, rows: np.ndarray, target: np.ndarray, inside: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross entropy of the target classes, of those ``inside`` if given, and its gradients."""
         p = self.p
         logits, (_, x, q, k, v, a, z, u, o) = self.forward(rows)
-        n, d = target.size, x.shape[2]
+        live = np.ones(target.shape, logits.dtype) if inside is None else inside.astype(logits.dtype)
+        live /= live.sum()
+        d = x.shape[2]
         bi, ti = np.indices(target.shape)
-        loss = -float(logits[bi, ti, target].mean())
+        loss = -float((logits[bi, ti, target] * live).sum())
         g = np.exp(logits)
         g[bi, ti, target] -= 1
-        g /= n
+        g *= live[:, :, None]
         flat = lambda m: m.reshape(-1, m.shape[-1])
         out = {"wc": flat(o).T @ flat(g), "bc": flat(g).sum(0)}
         go = g @ p["wc"].T
@@ -157,25 +166,14 @@ class Model:
         np.add.at(out["embed"], rows.ravel(), flat(gx))
         return loss, out
 
-    def fit(self, ids: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.01, seed: int = SEED) -> list[float]:
-        """Adam on random windows of one stream of ids; the losses."""
-        rng = np.random.default_rng(seed)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        t, losses = self.mask.shape[0], []
-        if len(ids) <= t:
-            return losses
-        for step in range(1, steps + 1):
-            at = rng.integers(0, len(ids) - t, batch)[:, None] + np.arange(t + 1)
-            part = ids[at]
-            loss, g = self.gradients(self.row[part[:, :-1]], self.classes[part[:, 1:]])
-            losses.append(loss)
-            lr = rate * min(1.0, step / 50) * (1 - 0.9 * step / steps)
-            for k in self.p:
-                m[k] += 0.1 * (g[k] - m[k])
-                s[k] += 0.01 * (g[k] * g[k] - s[k])
-                self.p[k] -= np.float32(lr) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + np.float32(1e-6))
-        return losses
+    def adam(self, m: dict, s: dict, step: int, rows: np.ndarray, target: np.ndarray, inside: np.ndarray, lr: float) -> float:
+        """One step with the moments ``m`` and ``s``, all changed in place; the loss before it."""
+        loss, g = self.gradients(rows, target, inside)
+        for k in self.p:
+            m[k] += 0.1 * (g[k] - m[k])
+            s[k] += 0.01 * (g[k] * g[k] - s[k])
+            self.p[k] -= np.float32(lr) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + np.float32(1e-6))
+        return loss
 
     def log_probabilities(self, ids: np.ndarray, starts: np.ndarray, window: int = WINDOW, overlap: int = OVERLAP, batch: int = 512) -> np.ndarray:
         """Natural log probability of each id; ``starts`` are the texts' first places in ``ids``.
@@ -206,18 +204,24 @@ class Model:
         return out
 
 
-def classes_of(ids: np.ndarray, size: int, n: int = CLASSES, seed: int = SEED) -> np.ndarray:
-    """Classes of ids with like neighbours: k-means on their neighbour counts, reduced by a random projection."""
-    rng = np.random.default_rng(seed)
-    count = np.bincount(ids, minlength=size)
-    project = rng.normal(0, 1, (size, 24)).astype(np.float32)
-    common = np.argsort(-count, kind="stable")[:2000]
-    project[np.setdiff1d(np.arange(size), common)] = 0
-    x = np.zeros((size, 48), np.float32)
-    if len(ids) > 1:
-        np.add.at(x[:, :24], ids[1:], project[ids[:-1]])
-        np.add.at(x[:, 24:], ids[:-1], project[ids[1:]])
-    x /= np.sqrt(np.maximum(count, 1))[:, None]
+def projection(counts: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Random directions of the most frequent ids; none for the others."""
+    out = np.random.default_rng(seed).normal(0, 1, (len(counts), NEIGHBOURS)).astype(np.float32)
+    out[np.argsort(-counts, kind="stable")[2000:]] = 0
+    return out
+
+
+def neighbours(ids: np.ndarray, project: np.ndarray) -> np.ndarray:
+    """Sums of the projections of the ids before and after each id of a stream."""
+    size = len(project)
+    both = [np.bincount(at, project[other, j], size) for at, other in ((ids[1:], ids[:-1]), (ids[:-1], ids[1:])) for j in range(project.shape[1])]
+    return np.stack(both, 1)
+
+
+def classes_of(x: np.ndarray, count: np.ndarray, n: int = CLASSES) -> np.ndarray:
+    """Classes of ids with like neighbours: k-means on their projected neighbour counts ``x``."""
+    size = len(count)
+    x = (x / np.sqrt(np.maximum(count, 1))[:, None]).astype(np.float32)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
     seen = np.flatnonzero(count >= 5)
     out = np.full(size, n - 1)
@@ -242,28 +246,156 @@ def classes_of(ids: np.ndarray, size: int, n: int = CLASSES, seed: int = SEED) -
     return out
 
 
-def train(texts: list[bytes], words: Subwords, counts: np.ndarray, steps: int = STEPS) -> Model:
-    """The model fitted on some texts; ``counts`` are the corpus counts of all ids."""
-    cache: dict[bytes, list[int]] = {}
-    stream: list[int] = []
-    for t in texts:
-        for w in t.lower().split():
-            if w not in cache:
-                cache[w] = words.ids(w)
-            stream += cache[w]
-        stream.append(words.end)
-    ids = np.array(stream, np.int64)
-    classes = classes_of(ids, words.size)
-    top = np.argsort(-np.bincount(ids, minlength=words.size), kind="stable")[:OWN]
+def new_model(x: np.ndarray, counts: np.ndarray) -> Model:
+    """The model before its fit: classes from the neighbour sums ``x``, class and id frequencies from the corpus counts of all ids."""
+    classes = classes_of(x, counts)
+    top = np.argsort(-counts, kind="stable")[:OWN]
     row = OWN + classes  # rarer ids share their class's embedding
     row[top] = np.arange(len(top))
     model = Model(classes, row, OWN + int(classes.max()) + 1)
-    model.fit(ids, steps)
     c = counts + 0.1
-    model.within = (np.log(c) - np.log(np.bincount(classes, c))[classes]).astype(np.float32)
+    of_class = np.log(np.bincount(classes, c))
+    model.p["bc"][:] = of_class - of_class.max()
+    model.within = (np.log(c) - of_class[classes]).astype(np.float32)
     return model
 
 
+def _encode(batches, ranks):
+    """Subword ids of each text with its end id, as 32-bit numbers."""
+    words = subwords(ranks.value)
+    cache: dict[bytes, np.ndarray] = {}
+    end = np.array([words.end], np.int32)
+    for b in batches:
+        out = []
+        for t in text_bytes(b.column(0)):
+            if len(cache) > KEPT_WORDS:
+                cache.clear()
+            ws = t.lower().split()
+            for w in ws:
+                if w not in cache:
+                    cache[w] = np.array(words.ids(w), np.int32)
+            out.append(np.concatenate([*(cache[w] for w in ws), end]).tobytes())
+        yield pa.record_batch([pa.array(out, pa.binary())], names=["ids"])
+
+
+def _streams(batches):
+    """(ids, sizes of the texts) in bounded chunks of ``_encode``'s rows."""
+    for held in chunks(batches, "ids", 2 * SHARD_BYTES):
+        texts = [np.frombuffer(t, np.int32) for b in held for t in b.column(0).to_pylist()]
+        if texts:
+            yield np.concatenate(texts).astype(np.int64), np.array([len(t) for t in texts])
+
+
+def _neighbour_sums(batches, project):
+    """(id, sums) of one task's texts."""
+    total = None
+    for ids, _ in _streams(batches):
+        x = neighbours(ids, project.value)
+        total = x if total is None else total + x
+    if total is not None:
+        some = np.flatnonzero(total.any(1))
+        for at in range(0, len(some), 4096):
+            part = some[at:at + 4096]
+            yield pa.record_batch([pa.array(part // 256, pa.int32()), pa.array(part), pa.array([v.tobytes() for v in total[part]], pa.binary())], names=["part", "id", "x"])
+
+
+def _add_neighbours(table: pa.Table) -> pa.Table:
+    """The sums of one part's ids, over all tasks."""
+    ids = table["id"].to_numpy()
+    x = np.array([np.frombuffer(v, np.float64) for v in table["x"].to_pylist()])
+    by = np.lexsort((*x.T[:2], ids))  # always added in one order
+    ids, x = ids[by], x[by]
+    heads = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return pa.table({"id": pa.array(ids[heads]), "x": pa.array([v.astype(np.float32).tobytes() for v in np.add.reduceat(x, heads)], pa.binary())})
+
+
+def windows_of(ids: np.ndarray, sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, and the first and the end place of their text, of the windows side by side that hold every id once."""
+    counts = -(-sizes // window)
+    starts = np.cumsum(sizes) - sizes
+    first = np.repeat(starts, counts) + window * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+    return first, np.repeat(starts, counts), np.repeat(starts + sizes, counts)
+
+
+def _fit(batches, shared, turn: int, stride: int, epochs: int):
+    """Adam over one task's windows of this turn; its parameters and moments in ``PARTS`` parts, with the windows seen."""
+    from pyspark import TaskContext
+    model, m, s, steps = shared.value
+    first_p, model.p = model.p, {k: v.copy() for k, v in model.p.items()}
+    m, s = ({k: v.copy() for k, v in x.items()} for x in (m, s))
+    rng = np.random.default_rng((SEED, turn, TaskContext.get().partitionId()))
+    none, lane, at, seen = len(model.p["embed"]) - 1, np.arange(WINDOW), 0, 0
+    rate = 0.01 * (1 - 0.9 * turn / max(1, ROUNDS - 1))
+    for ids, sizes in _streams(batches):
+        first, begin, end = windows_of(ids, sizes)
+        mine = np.flatnonzero((at + np.arange(len(first))) % stride == turn % stride)
+        at += len(first)
+        for _ in range(epochs):
+            order = rng.permutation(mine)
+            for b in range(0, len(order), BATCH):
+                f, st, e = (x[order[b:b + BATCH], None] for x in (first, begin, end))
+                place = f + lane
+                here = np.minimum(place, len(ids) - 1)
+                before = np.where(place > st, model.row[ids[np.clip(place - 1, 0, len(ids) - 1)]], none)
+                steps += 1
+                model.adam(m, s, steps, before, model.classes[ids[here]], place < e, rate * min(1.0, steps / 50))
+                seen += len(f)
+    flat = np.concatenate([x[k].ravel() for x in (model.p, m, s) for k in Model.NAMES])
+    model.p = first_p  # the broadcast value serves other tasks of this process
+    if seen:
+        cuts = np.array_split(flat, PARTS)
+        n = len(cuts)
+        yield pa.record_batch([pa.array(np.arange(n), pa.int32()), pa.array([TaskContext.get().partitionId()] * n, pa.int32()), pa.array([seen] * n, pa.int64()),
+                               pa.array([steps] * n, pa.int64()), pa.array([c.astype(np.float32).tobytes() for c in cuts], pa.binary())], names=["part", "task", "seen", "steps", "x"])
+
+
+FITTED = "part int, task int, seen long, steps long, x binary"
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """One part's mean over the tasks, by the windows they saw."""
+    table = table.sort_by("task")
+    seen, total = table["seen"].to_pylist(), 0.0
+    for n, x in zip(seen, table["x"]):
+        total = total + n * np.frombuffer(x.as_py(), np.float32).astype(np.float64)
+    steps = sum(n * k for n, k in zip(seen, table["steps"].to_pylist())) // sum(seen)
+    return pa.table({"part": table["part"][:1], "task": pa.array([len(seen)], pa.int32()), "seen": pa.array([sum(seen)], pa.int64()), "steps": pa.array([steps], pa.int64()),
+                     "x": pa.array([(total / sum(seen)).astype(np.float32).tobytes()], pa.binary())})
+
+
+def train(texts: DataFrame, ranks, counts: np.ndarray, steps: int = STEPS) -> tuple[Model, int]:
+    """The model fitted on all ``texts`` (text), and the windows seen; ``ranks`` is the broadcast vocabulary, ``counts`` the corpus counts of all ids."""
+    sc = texts.sparkSession.sparkContext
+    rows = cut(texts.mapInArrow(lambda bs: _encode(bs, ranks), "ids binary"), "training-ids")
+    project = sc.broadcast(projection(counts))
+    sums = rows.mapInArrow(lambda bs: _neighbour_sums(bs, project), "part int, id long, x binary").groupBy("part").applyInArrow(_add_neighbours, "id long, x binary").toArrow()
+    x = np.zeros((len(counts), 2 * NEIGHBOURS), np.float32)  # as many rows as the vocabulary has
+    if sums.num_rows:
+        x[sums["id"].to_numpy()] = [np.frombuffer(v, np.float32) for v in sums["x"].to_pylist()]
+    model = new_model(x, counts)
+    n = rows.agg(F.coalesce(F.sum(F.ceil(F.octet_length("ids") / (4 * WINDOW))), F.lit(0))).first()[0]
+    if not n:
+        return model, 0
+    passes = -(-steps * BATCH // n)  # over all windows, one at least
+    stride, epochs = (ROUNDS, passes) if passes < ROUNDS else (1, -(-passes // ROUNDS))
+    rows = rows.coalesce(max(1, n // (steps * BATCH)))  # a task has enough windows to learn by itself
+    m, s = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
+    done = seen = 0
+    for turn in range(ROUNDS):
+        shared = sc.broadcast((model, m, s, done))
+        tasks = rows.mapInArrow(lambda bs, shared=shared, turn=turn: _fit(bs, shared, turn, stride, epochs), FITTED)
+        parts = sorted(tasks.groupBy("part").applyInArrow(_mean, FITTED).collect(), key=lambda r: r["part"])
+        if not parts:
+            continue
+        flat, at = np.concatenate([np.frombuffer(r["x"], np.float32) for r in parts]), 0
+        for d in (model.p, m, s):
+            for k in Model.NAMES:
+                d[k] = flat[at:at + d[k].size].reshape(d[k].shape).copy()
+                at += d[k].size
+        done, seen = parts[0]["steps"], seen + parts[0]["seen"]
+    return model, seen
+
+
 def _count(batches, ranks, flush: int = 500_000):
     """(kind, key, n): word counts by hash (kind 0) and subword counts by id (kind 1), of one task's texts, as they fill up."""
     words = subwords(ranks.value)
@@ -374,13 +506,10 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, steps: int = STEPS) ->
     head = {r["key"]: r["n"] for r in by_word.orderBy(F.desc("n"), "key").limit(HEAD).toLocalIterator()}
     if END not in head:
         head[END] = learned.count() if distinct > HEAD else 0
-    words = subwords(ranks)
-    ids = np.zeros(words.size)
+    ids = np.zeros(subwords(ranks).size)
     for r in counts.where("kind = 1").toLocalIterator():  # as many as the vocabulary has at most
         ids[r["key"]] = r["n"]
-    chosen = learned.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    sample = learned.join(F.broadcast(chosen), "doc_id").select("text").limit(2 * SAMPLE).toLocalIterator()
-    model = train([(r["text"] or "").encode() for r in sample], words, ids, steps)
+    model, _ = train(learned.select("text"), shared_ranks, ids, steps)
     shared = spark.sparkContext.broadcast((ranks, head, log_z, model))
 
     scored = rows.select("doc_id", "text").mapInArrow(lambda bs: _score(bs, shared), plus(rows.select("doc_id").schema, SCORED))

@@ -383,7 +383,8 @@ def test_lm_windows_score_each_id_once():
 def test_lm_classes_and_context():
     rng = np.random.default_rng(3)
     stream = rng.integers(0, 300, 20_000)
-    assert int(lm.classes_of(stream, 301).max()) + 1 == 96  # the last for ids not seen
+    counts = np.bincount(stream, minlength=301)
+    assert int(lm.classes_of(lm.neighbours(stream, lm.projection(counts)), counts).max()) + 1 == 96  # the last for ids not seen
     m = lm.Model(np.arange(6), np.arange(6), 6)
     m.within = np.zeros(6, np.float32)
     ids = rng.integers(0, 6, 60)
@@ -394,6 +395,20 @@ def test_lm_classes_and_context():
         assert a[k] != b[k], k
 
 
+def test_lm_learns_from_all_rows(spark):
+    ring = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [(i, " ".join(ring[(i + k) % 10] for k in range(20))) for i in range(4000)]
+    docs = frame(spark, rows)
+    words = lm.Subwords(lm.read_vocabulary(lm.VOCABULARY))
+    ids = [[x for w in t.split() for x in words.ids(w.encode())] + [words.end] for _, t in rows]
+    counts = np.bincount([x for t in ids for x in t], minlength=words.size).astype(float)
+    ranks = spark.sparkContext.broadcast(lm.read_vocabulary(lm.VOCABULARY))
+    _, seen = lm.train(docs.select("text"), ranks, counts, steps=1)
+    assert seen == sum(-(-len(t) // lm.WINDOW) for t in ids)  # every window of every row, once
+    out = [r for r in lm.score(docs, steps=200).collect() if r["held_out"]]
+    assert sum(r["score"] for r in out) > 0.75 * sum(r["base_score"] for r in out)  # half is the unigram's
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
     assert [n for n, _ in P.STAGES] == ["toxicity", "simhash", "decontamination", "pii", "sentencepiece"]
