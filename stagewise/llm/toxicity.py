@@ -10,8 +10,9 @@ words around a hit decide whether it is quoted or used: quotation marks and
 reporting verbs against second-person address.  A logistic model of the
 exact, misspelled and quoted hits gives the score.
 
-Both fits use a bounded sample of training rows (``SAMPLE`` of either label);
-every document is scored, whole.
+Both fits use a bounded sample of training rows (``SAMPLE`` of either label),
+weighted by the count of each label over all training rows, so that a score
+and ``CUT`` mean the same at every size; every document is scored, whole.
 """
 
 from __future__ import annotations
@@ -144,31 +145,43 @@ def features(text: str, matches: Matches, weights: dict[str, float]) -> list[flo
 N_FEATURES = 4
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, rounds: int = 50) -> np.ndarray:
-    """Weights of a logistic model, the last for 1, by Newton steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, rounds: int = 50, each: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic model, the last for 1, by Newton steps; ``each`` is how many rows a row stands for."""
     z = np.c_[x, np.ones(len(x))]
+    each = np.ones(len(x)) if each is None else each / each.mean()
     w = np.zeros(z.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z / len(z) + l2 * np.eye(len(w))
-        step = np.linalg.solve(h, z.T @ (p - y) / len(z) + l2 * w)
+        h = (z * (each * p * (1 - p))[:, None]).T @ z / len(z) + l2 * np.eye(len(w))
+        step = np.linalg.solve(h, z.T @ (each * (p - y)) / len(z) + l2 * w)
         w -= step
         if np.abs(step).max() < 1e-9:
             break
     return w
 
 
-def training_ids(labels: DataFrame) -> DataFrame:
-    """(doc_id, toxic): at most ``SAMPLE`` training rows of either label, in the order of their hash; ids with both labels go."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of all training ids; ids with both labels go."""
     rows = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod("doc_id", FOLDS) != HELD_OUT))
-    ids = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("top")).where("toxic = top").drop("top")
+    return rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("top")).where("toxic = top").drop("top")
+
+
+def training_ids(ids: DataFrame) -> DataFrame:
+    """At most ``SAMPLE`` of ``labelled``'s rows of either label, in the order of their hash."""
     first = lambda v: ids.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     return first(0).unionByName(first(1))
 
 
+def stands_for(ids: DataFrame) -> dict[int, float]:
+    """How many training ids of a label each of its sampled ids stands for: 1 where all are sampled."""
+    return {int(r["toxic"]): max(1.0, r["n"] / SAMPLE) for r in ids.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarray]:
     """The lexicon with its weights, and the logistic model."""
-    ids = F.broadcast(training_ids(labels))
+    every = cut(labelled(labels), "labelled")
+    each = stands_for(every)
+    ids = F.broadcast(training_ids(every))
     train = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(ids, "doc_id"), "training")
 
     def contexts(batches):
@@ -202,7 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndar
     x, y = np.array(rows["x"].to_pylist(), float).reshape(-1, N_FEATURES), np.array(rows["toxic"].to_pylist(), float)
     if not len(y) or y.min() == y.max():
         return lexicon, np.r_[np.zeros(N_FEATURES), -3.0 if not len(y) or not y[0] else 3.0]
-    return lexicon, fit_logistic(x, y)
+    return lexicon, fit_logistic(x, y, each=np.where(y > 0, each[1], each[0]))
 
 
 def hash_pair(a: str, b: str) -> int:

@@ -228,6 +228,17 @@ def test_toxicity(spark):
     assert toxicity.keep_clean(frame(spark, rows), lab.limit(0)).count() == len(rows)
 
 
+def test_toxicity_base_rate_outlasts_the_cap(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, words(rng, 20)) for i in range(700)]
+    lab = spark.createDataFrame([(i, 1, int(i % 12 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    a = toxicity.score(frame(spark, rows), lab).collect()
+    monkeypatch.setattr(toxicity, "SAMPLE", 30)
+    b = toxicity.score(frame(spark, rows), lab).collect()
+    mean = lambda out: sum(r["score"] for r in out) / len(out)
+    assert mean(b) == pytest.approx(mean(a), abs=0.03) and not any(r["predicted"] for r in [*a, *b])
+
+
 def test_quality(spark, texts):
     rows = [*texts, (900, "x y\nx y\n \n \nx y # <a>"), (901, " ".join(map(str, range(30))) + " " + " ".join(map(str, range(30))))]
     got = quality.judge(frame(spark, rows), spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")).collect()
