@@ -2,7 +2,8 @@
 
 A rule is (verdict, host, path): it fits its host and all subdomains where the
 url's path starts with the rule's; the longest rule wins.  Canonical links and
-refresh redirects in a page's html make its url and their target aliases; the
+refresh redirects in a page's html make its url and their targets aliases (both
+where a page has both; relative ones are resolved against the page's url); the
 connected components of these links are found by distributed star steps.  A
 url that no rule fits takes its component's decision: allow if any alias has
 an allow rule, else block if any alias has a block rule, else allow.
@@ -50,13 +51,32 @@ def rule(h: Column, p: Column, rules: list[tuple[str, str, str]]) -> Column:
     return out
 
 
-def target(url: Column, html: Column) -> Column:
-    """The canonical or refresh target in a page, as an absolute url; null if there is none."""
-    link = F.nullif(F.regexp_extract(F.regexp_extract(html, _CANONICAL, 0), _HREF, 1), F.lit(""))
-    link = F.replace(F.coalesce(link, F.nullif(F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), _URL, 1), F.lit(""))), F.lit("&amp;"), F.lit("&"))
+def without_dots(p: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments taken out."""
+    segments = F.split(F.substr(p, F.lit(2)), "/")
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda acc, s: F.when(s == ".", acc)
+                       .when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(s))))
+    end = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.when(F.contains(p, F.lit("/.")), F.concat(F.lit("/"), F.array_join(F.concat(kept, end), "/"))).otherwise(p)
+
+
+def resolve(url: Column, link: Column) -> Column:
+    """``link`` as an absolute url, seen from the page ``url``; null if it has another scheme's form (``mailto:``) or ``url`` no host."""
     root = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    return (F.when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link)).when(F.contains(link, F.lit("://")), link)
-            .when(F.startswith(link, F.lit("/")) & (root != ""), F.concat(root, link)))
+    here = F.when(path(url) == "", "/").otherwise(path(url))
+    query = F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own, rest = F.regexp_extract(link, r"(?s)^([^?#]*)", 1), F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
+    near = (F.when(own == "", F.concat(path(url), F.when(F.startswith(rest, F.lit("?")), rest).otherwise(F.concat(query, rest))))
+            .when(F.startswith(own, F.lit("/")), F.concat(without_dots(own), rest))
+            .otherwise(F.concat(without_dots(F.concat(F.regexp_extract(here, r"(?s)^(.*/)", 1), own)), rest)))
+    return (F.when(F.startswith(link, F.lit("//")), F.concat(F.lit("http:"), link)).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+            .when(~link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & (root != ""), F.concat(root, near)))
+
+
+def targets(url: Column, html: Column) -> Column:
+    """The canonical and the refresh target in a page, as absolute urls; an empty array if there is none."""
+    links = [F.replace(F.nullif(F.regexp_extract(F.regexp_extract(html, tag, 0), at, 1), F.lit("")), F.lit("&amp;"), F.lit("&")) for tag, at in ((_CANONICAL, _HREF), (_REFRESH, _URL))]
+    return F.array_compact(F.array(*(resolve(url, link) for link in links)))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -69,9 +89,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFr
     """
     url = F.col("url").cast("string")
     d = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), F.when(F.contains(url, F.lit("://")), node(url)).alias("node"),
-                     target(url, F.col("html").cast("string")).alias("to"))
+                     targets(url, F.col("html").cast("string")).alias("to"))
     d = cut(d.withColumn("r", rule(F.col("host"), F.col("path"), rules)), "urls")
-    linked = d.where(F.col("node").isNotNull() & F.col("to").isNotNull())
+    linked = d.where("node is not null").select("node", F.explode("to").alias("to"))
     to = linked.select("node", node(F.col("to")).alias("end"), rule(host(F.col("to")), path(F.col("to")), rules).alias("r"))
     parts = components(linked.select(F.col("node").alias("a"), node(F.col("to")).alias("b")))
     # the decision of each component: the rules of its urls, of pages and of targets alike

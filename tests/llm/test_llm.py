@@ -116,6 +116,21 @@ def test_urls(spark):
     assert Counter(got) == Counter(want)
 
 
+def test_url_targets(spark):
+    page = "http://h.net/a/b/c.html?k=1#f"
+    want = {"index2.html": "http://h.net/a/b/index2.html", "?page=2": "http://h.net/a/b/c.html?page=2", "../b": "http://h.net/a/b", "./x/../y?q=/../z": "http://h.net/a/b/y?q=/../z",
+            "../../../up/": "http://h.net/up/", "..": "http://h.net/a/", "#top": "http://h.net/a/b/c.html?k=1#top", "/r/./s": "http://h.net/r/s", "//o.net/p": "http://o.net/p",
+            "https://o.net/p": "https://o.net/p", "/go?to=http://o.net": "http://h.net/go?to=http://o.net", "mailto:x@y.net": None}
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(page, k) for k in want], "url string, link string")
+    assert {r["link"]: r["to"] for r in rows.select("link", urls.resolve(F.col("url"), F.col("link")).alias("to")).collect()} == want
+    both = '<link rel="canonical" href="../c"><meta http-equiv="refresh" content="0; url=d">'
+    rows = [(1, "http://x.com/de/2", both), (2, "http://x.com/c", None), (3, "http://x.com/e", "<link rel=canonical href=/de/d>"), (4, "http://h.net", '<link rel="canonical" href="i">'), (5, "http://h.net/i", None), (6, "http://x.com/de/d", None)]
+    out = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[i]["verdict"] for i in (1, 2, 3, 4, 5)] == ["block", "block", "block", "allow", "allow"]
+    assert len({out[i]["alias_group"] for i in (1, 2, 3, 6)}) == 1 and out[4]["alias_group"] == out[5]["alias_group"]
+
+
 def brute_removed(texts, length):
     seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
