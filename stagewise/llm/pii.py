@@ -7,7 +7,7 @@ table (coreference), and different ones of a format can't collide
 (distinctness).  Separators, case, length, script, country codes, check
 digits, top-level domains and the gender of known given names stay.
 ``collisions`` checks the surrogates that were really given, over all
-documents, and ``anonymise`` fails if it finds any.
+documents; entities that would share one get another key (``settle``).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stagewise.llm.common import cut, plus
 
 KEY = b"stagewise-surrogates"
-ROUNDS = 8
+ROUNDS, TURNS = 8, 8
 
 # Given names by gender and script, and forms of address.
 NAMES = {
@@ -124,7 +124,9 @@ def _card(text: str, key: bytes) -> str:
 
 
 def _ip(text: str, key: bytes) -> str:
-    return ".".join(map(str, permute(list(map(int, text.split("."))), [256] * 4, key, "ip")))
+    parts = text.split(".")
+    new = permute(list(map(int, parts)), [256] * 4, key, "ip")
+    return ".".join(str(v).zfill(len(p)) if p.startswith("0") else str(v) for p, v in zip(parts, new))
 
 
 def _phone(text: str, key: bytes) -> str:
@@ -170,7 +172,10 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
     if re.fullmatch("[0-9a-f]+", text):
         hexes = "0123456789abcdef"
         return "".join(hexes[v] for v in permute([hexes.index(c) for c in text], [16] * len(text), key, f"hex{len(text)}"))
-    return _letters(text, key, "secret")
+    out = _letters(text, key, "secret")
+    while out.startswith("AKIA") or re.fullmatch("[0-9a-f]+", out):  # the ranges of those above
+        out = _letters(out, key, "secret")
+    return out
 
 
 def detect(text: str) -> list[tuple[int, int, str]]:
@@ -202,20 +207,29 @@ def canonical(kind: str, text: str) -> str:
         return re.sub(r"\D", "", text)[-10:]
     if kind in ("card", "ssn"):
         return re.sub(r"\D", "", text)
+    if kind == "ip":
+        return ".".join(str(int(p)) for p in text.split("."))
     return text.lower() if kind == "email" else text
 
 
+def marked(kind: str, entity: str, key: bytes) -> str:
+    """An entity under a keyed hash."""
+    return hmac.new(key, f"{kind}:{entity}".encode(), hashlib.sha256).hexdigest()[:32]
+
+
 class Surrogates(OrderedDict):
-    """(kind, text) -> surrogate, kept up to a bound."""
+    """(kind, text) -> surrogate, kept up to a bound; ``turns`` has the entities (hashed) that take another key."""
 
-    def __init__(self, key: bytes, most: int = 100_000):
+    def __init__(self, key: bytes, most: int = 100_000, turns: dict[str, int] | None = None):
         super().__init__()
-        self.key, self.most = key, most
+        self.key, self.most, self.turns = key, most, turns or {}
 
     def __missing__(self, item):
         if len(self) >= self.most:
             self.popitem(last=False)
-        out = self[item] = surrogate(*item, self.key)
+        kind, text = item
+        turn = self.turns.get(marked(kind, canonical(kind, text), self.key), 0) if self.turns else 0
+        out = self[item] = surrogate(kind, text, self.key + b"#%d" % turn if turn else self.key)
         return out
 
 
@@ -229,14 +243,12 @@ def replace(text: str, table: Surrogates) -> tuple[str, list[tuple[str, str, str
     return "".join([*out, text[at:]]) if found else text, found
 
 
-
-
-def entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def entities(docs: DataFrame, key: bytes = KEY, turns: dict[str, int] | None = None) -> DataFrame:
     """(kind, entity, surrogate) of every entity of every row, the entity under a keyed hash; repeats included."""
     def run(batches):
-        table = Surrogates(key)
+        table = Surrogates(key, turns=turns)
         for b in batches:
-            rows = [(k, hmac.new(key, f"{k}:{old}".encode(), hashlib.sha256).hexdigest()[:32], new) for t in b.column(0).to_pylist() if t for k, old, new in replace(t, table)[1]]
+            rows = [(k, marked(k, old, key), new) for t in b.column(0).to_pylist() if t for k, old, new in replace(t, table)[1]]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["kind", "entity", "surrogate"])
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind string, entity string, surrogate string")
 
@@ -248,11 +260,28 @@ def collisions(found: DataFrame) -> DataFrame:
     return same.unionByName(split)
 
 
-def check(docs: DataFrame, key: bytes = KEY) -> None:
-    """Fails if surrogates collide or an entity has several."""
-    clash = collisions(cut(entities(docs, key), "entities")).limit(5).collect()
-    if clash:
-        raise ValueError(f"surrogates aren't one to one: {clash}")
+def clashing(found: DataFrame) -> DataFrame:
+    """The entities of shared surrogates but for the first of each, which keeps its own."""
+    same = found.groupBy("kind", "surrogate").agg(F.min("entity").alias("a"), F.max("entity").alias("b")).where("a <> b")
+    return found.join(same, ["kind", "surrogate"]).where("entity <> a").select("entity").distinct()
+
+
+def settle(docs: DataFrame, key: bytes = KEY) -> dict[str, int]:
+    """The entities that need another key for all surrogates to differ, with its number; none but for unlikely clashes.
+
+    Fails where ``TURNS`` keys don't do, or where an entity has several surrogates.
+    """
+    turns: dict[str, int] = {}
+    for turn in range(1, TURNS + 1):
+        found = cut(entities(docs, key, turns), "entities")
+        clash = collisions(found).limit(5).collect()
+        if not clash:
+            return turns
+        more = {r["entity"]: turn for r in clashing(found).toLocalIterator()}
+        if not more:
+            break
+        turns |= more
+    raise ValueError(f"surrogates aren't one to one: {clash}")
 
 
 def anonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
@@ -263,10 +292,10 @@ def anonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     surrogates don't.  Repeated rows stay and get the same text.  An empty
     table gives no rows.
     """
-    check(docs, key)
+    turns = settle(docs, key)
 
     def run(batches):
-        table = Surrogates(key)
+        table = Surrogates(key, turns=turns)
         for b in batches:
             i = b.schema.get_field_index("text")
             texts = [None if t is None else replace(t, table)[0] for t in b.column(i).to_pylist()]
@@ -276,10 +305,10 @@ def anonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
 def report(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """(doc_id, text, n_entities, surrogates) of every row: the new text and what was put in, in order."""
-    check(docs, key)
+    turns = settle(docs, key)
 
     def run(batches):
-        table = Surrogates(key)
+        table = Surrogates(key, turns=turns)
         for b in batches:
             rows = [(None, []) if t is None else replace(t, table) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t for t, _ in rows], pa.string()), pa.array([len(f) for _, f in rows], pa.int64()),

@@ -189,6 +189,20 @@ def test_pii(spark):
     assert [(r["kind"], r["value"]) for r in pii.collisions(found).collect()] == [("ip", "x")]
 
 
+def test_pii_clashes(spark):
+    rows = [(1, "at 1.2.3.4 or 1.02.3.4"), (2, "at 1.2.3.40")]
+    a, b = (r["surrogates"] for r in sorted(pii.report(frame(spark, rows)).collect(), key=lambda r: r["doc_id"]))
+    assert a[0] == a[1] != b[0]
+    alphabet = "0123456789abcdefghijklmnopqrstuvwxyzA"
+    every = [x + y for x in alphabet for y in alphabet]
+    assert len({pii.surrogate("secret", x) for x in every}) == len(every)
+    found = spark.createDataFrame([("ip", "a", "x"), ("ip", "b", "x"), ("ip", "b", "x"), ("ip", "c", "y"), ("ssn", "d", "x")], "kind string, entity string, surrogate string")
+    assert [r["entity"] for r in pii.clashing(found).collect()] == ["b"]
+    plain = pii.Surrogates(pii.KEY)["ssn", "123-45-6789"]
+    turned = pii.Surrogates(pii.KEY, turns={pii.marked("ssn", "123456789", pii.KEY): 1})
+    assert turned["ssn", "123-45-6789"] != plain and turned["ssn", "123-45-6780"] == pii.Surrogates(pii.KEY)["ssn", "123-45-6780"]
+
+
 def test_pii_permutes():
     for radices in ([10, 10], [6, 20, 10], [26]):
         import itertools
