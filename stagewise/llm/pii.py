@@ -8,6 +8,12 @@ table (coreference), and different ones of a format can't collide
 digits, top-level domains and the gender of known given names stay.
 ``collisions`` checks the surrogates that were really given, over all
 documents; entities that would share one get another key (``settle``).
+
+Of a PEM private key the body is replaced, up to its END line (without one,
+the base64 lines that follow).  Values of password keys are replaced with or
+without digits, those of token and key names only with one.  Persons are found
+after a form of address of ``ADDRESSED`` or by a given name of ``NAMES`` before
+another name; names without either stay.
 """
 
 from __future__ import annotations
@@ -39,9 +45,11 @@ CLASSES = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "аеёиоуыэюя
 _KNOWN = {n: (k, i) for k, ns in NAMES.items() for i, n in enumerate(ns)}
 _NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
 _CUES = [*ADDRESSED, *_KNOWN]
-_MARKS = re.compile(r"[0-9@]")
+_MARKS = re.compile(r"[0-9@=:]|AKIA|PRIVATE KEY|(?:sk|pk|ghp|xox[bp])[-_]")
+_PASSWORD = re.compile(r"password|passwd|pwd", re.I)
 _FIND = re.compile(
-    r"""(?P<secret>\bAKIA[0-9A-Z]{8,}\b|\b(?:sk|pk|ghp|xox[bp])[-_][A-Za-z0-9_-]{16,}|(?<=-----BEGIN\ )[A-Z ]*PRIVATE\ KEY)"""
+    r"""(?P<secret>\bAKIA[0-9A-Z]{8,}\b|\b(?:sk|pk|ghp|xox[bp])[-_][A-Za-z0-9_-]{16,})"""
+    r"""|-----BEGIN\ [A-Z0-9 ]*PRIVATE\ KEY(?:\ BLOCK)?-----(?:(?P<pem>(?:(?!-----BEGIN)[\s\S])+?)(?=-----END)|(?P<lines>(?:\s+[A-Za-z0-9+/=]{20,})+))"""
     r"""|(?P<assigned>\b(?i:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)["']?\s*[=:]\s*["']?)(?P<value>[A-Za-z0-9_+/.-]{6,})"""
     r"""|(?P<email>(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"""
     r"""|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"""
@@ -181,13 +189,15 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
 def detect(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, left to right, not overlapping."""
     found = []
-    if _MARKS.search(text) or "AKIA" in text or "PRIVATE KEY" in text:
+    if _MARKS.search(text):
         for m in _FIND.finditer(text):
             kind = m.lastgroup
             if kind == "value":
-                if not re.search(r"\d", m["value"]):
+                if not re.search(r"\d", m["value"]) and not _PASSWORD.match(m["assigned"]):
                     continue
                 found.append((*m.span("value"), "secret"))
+            elif kind in ("pem", "lines"):
+                found.append((*m.span(kind), "secret"))
             else:
                 found.append((*m.span(), kind))
     for cue in _CUES:

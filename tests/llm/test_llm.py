@@ -203,6 +203,17 @@ def test_pii_clashes(spark):
     assert turned["ssn", "123-45-6789"] != plain and turned["ssn", "123-45-6780"] == pii.Surrogates(pii.KEY)["ssn", "123-45-6780"]
 
 
+def test_pii_secrets():
+    body = "MIIEpAIBAAKCAQEAx7Vd\nqT+k/abcDEFghiJKLmnoPQRs\n"
+    for head, text in (("-----BEGIN RSA PRIVATE KEY-----", "see -----BEGIN RSA PRIVATE KEY-----\n%s-----END RSA PRIVATE KEY----- end" % body), ("-----BEGIN PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----\n%sand so on, stays" % body)):
+        new, found = pii.replace(text, pii.Surrogates(pii.KEY))
+        assert len(found) == 1 and head in new and not any(x in new for x in body.split()) and len(new) == len(text)
+        assert new.endswith("-----END RSA PRIVATE KEY----- end") or new.endswith("and so on, stays")
+    for text, n in (("password = swordfish", 1), ("Pwd: \"hunterhunter\"", 1), ("token = something", 0), ("api_key = abcd1234", 1), ("PRIVATE KEY of the house", 0)):
+        new, found = pii.replace(text, pii.Surrogates(pii.KEY))
+        assert len(found) == n and (new != text) == bool(n), text
+
+
 def test_pii_permutes():
     for radices in ([10, 10], [6, 20, 10], [26]):
         import itertools
