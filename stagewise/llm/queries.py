@@ -1,4 +1,4 @@
-"""The ten operators as registered queries on the driver tables."""
+"""The thirteen operators as registered queries on the driver tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm import decontam, lm, pieces, pii, quality, resample, simhash, suffix, toxicity, urls
+from stagewise.llm import decontam, lm, negatives, pieces, pii, quality, resample, sharding, simhash, suffix, toxicity, trie, urls
 from stagewise.llm.common import ship
 
 
@@ -59,6 +59,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.whole_vectors(table(spark, sf_dir, "embeddings"))
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), anchors=F.col("id") % 50 == 0)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = trie.shared_openings(trie.sequences(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(trie.keyed(rebuilt))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -66,4 +82,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_url_filter, op3_suffix_dedup, op4_pii, op5_toxicity, op6_quality, op7_lm,
-                                    op8_resample, op9_decontaminate, op10_sentencepiece, pipeline)}
+                                    op8_resample, op9_decontaminate, op10_sentencepiece, op11_hard_negatives, op12_conversation_trie, op13_sharding, pipeline)}
