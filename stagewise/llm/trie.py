@@ -315,7 +315,7 @@ def prefix_trie(convs: DataFrame, width: int = WIDTH) -> DataFrame:
                     counts[-1] += n
                     hashes[-1].update(b"," + ids.encode())
                     continue
-                if size >= BLOCK_BYTES:
+                if keys and size >= BLOCK_BYTES:
                     yield table(block_rows(number, keys, words, counts, firsts, [h.hexdigest() for h in hashes], width), ROWS)
                     number += 1
                     keys, words, counts, firsts, hashes, size = [], [], [], [], [], 0
