@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import sqltext as Q
 from ..functions.predicates import apply_where
+from .ranks import percentile_of, ranked_values
 
 
 def _order(dims: Sequence[str]) -> list[Column]:
@@ -69,19 +70,16 @@ def percentile_name(p: float) -> str:
 def distribution(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """variable, by..., mean, min, prcntl_1 .. prcntl_99 (exact, interpolated), max.
 
-    Exact percentiles are a holistic aggregate: Spark's ``percentile`` keeps a
-    value -> count map per group (partial, map-side combined), so memory is
-    bounded by the number of *distinct* values in a group.  Use it on
-    discrete-valued columns (lab values, ages, month counts).
+    Any numeric column, also one with as many values as rows: ranks are found
+    by :mod:`~stagewise.operators.ranks`, so no group's values meet in a task.  The
+    mean divides an exact sum (floating-point columns aside).  NULL is a group
+    of its own in ``by`` and no value in ``col``; a group without values has
+    NULLs.
     """
-    x = F.col(col).cast("double")
-    pct = F.percentile(x, F.array(*[F.lit(p) for p in C.PERCENTILES]))
-    g = df.groupBy(*by) if by else df.groupBy()
-    agg = g.agg(F.avg(x).alias("mean"), F.min(x).alias("min"), pct.alias("_p"),
-                F.max(x).alias("max"))
-    return agg.select(F.lit(col).alias("variable"), *by, "mean", "min",
-                      *[F.col("_p")[i].alias(percentile_name(p)) for i, p in enumerate(C.PERCENTILES)],
-                      "max")
+    ranked = ranked_values(df, col, by, C.PERCENTILES)
+    return ranked.select(F.lit(col).alias("variable"), *by, (F.col("_sum") / F.nullif(F.col("_n"), F.lit(0))).alias("mean"), F.col("_min").alias("min"),
+                         *[percentile_of(i, p).alias(percentile_name(p)) for i, p in enumerate(C.PERCENTILES)],
+                         F.col("_max").alias("max"))
 
 
 # -- stacked batteries ---------------------------------------------------------
