@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import sqltext as Q
 from ..functions.predicates import adults, category_where, flag_where
+from .skew import with_totals
 
 MONEY_SUM = "decimal(38,2)"
 YEARS = "decimal(20,6)"
@@ -71,6 +72,16 @@ def _years(n_month: Column) -> Column:
     return (n_month.cast(YEARS) / F.lit(12)).cast(YEARS)
 
 
+def months_on_rows(enroll: DataFrame, member: DataFrame, medical: str = "both", dual: str = "both") -> DataFrame:
+    """member_id, month, n_month: every adult enrolment row of the population with its member's number of
+    rows (the window count, as :func:`~stagewise.operators.skew.with_totals`).  Repeated months and
+    repeated member rows count again."""
+    adult = member.where(adults(F.col("age")) & F.col("member_id").isNotNull()).select(F.col("member_id").alias("_mid"))
+    rows = enroll.where(flag_where(F.col("medical_flag"), medical) & flag_where(F.col("dual_flag"), dual))
+    rows = rows.join(adult, F.col("member_id") == F.col("_mid")).select("member_id", _month(F.col("begin_date")).alias("month"))
+    return with_totals(rows, ["member_id"], [F.count(F.lit(1)).alias("n_month")])
+
+
 def _category_key(category: str) -> str:
     return "c_" + category.replace(" ", "_")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import CKD_DX_CODES, DX_SPECIFIC_3, DX_UNSPECIFIED_3
 from ..functions.parsing import dx_number
 from .latest import date_code_key, key_code, key_date
+from .skew import lookup
 
 
 def parse_dx(dx_current: DataFrame, dx_previous: DataFrame, headers: DataFrame,
@@ -19,21 +20,20 @@ def parse_dx(dx_current: DataFrame, dx_previous: DataFrame, headers: DataFrame,
     downstream takes maxima, which duplicates cannot change, so the staging path
     passes ``distinct=False`` and saves the full-row shuffle.  The code filter
     is pushed below the union to both scans by Catalyst.
+
+    Whole rows means every column of the tables, declared or not: rows that
+    differ in one of them stay apart, and all come out.  A column that only one
+    year has is NULL in the other.  Each table is read once; rows without a claim
+    id match no header.
     """
-    both = dx_current.unionByName(dx_previous)
+    clash = {"from_date", "dx_num"} & {c.lower() for c in [*dx_current.columns, *dx_previous.columns]}
+    if clash:
+        raise ValueError(f"diagnosis tables have columns that the parsed rows add: {sorted(clash)}")
+    both = dx_current.unionByName(dx_previous, allowMissingColumns=True)
     if distinct:
         both = both.distinct()
     dx = both.where(F.col("dx_code").isin(*CKD_DX_CODES))
-    h = headers.select(F.col("claim_id").alias("_hid"), "from_date")
-    cols = ["member_id", "claim_id", "dx_code", "from_date"]
-    # rows without a claim id can never match a header; keeping them out of the
-    # join keeps them off the single reducer a NULL key would hash to
-    keyed = (dx.where(F.col("claim_id").isNotNull())
-               .join(h, F.col("claim_id") == F.col("_hid"), "left").select(*cols))
-    unkeyed = dx.where(F.col("claim_id").isNull()).select(
-        "member_id", "claim_id", "dx_code", F.lit(None).cast("date").alias("from_date"))
-    return (keyed.unionByName(unkeyed)
-                 .select(*cols, dx_number(F.col("dx_code")).alias("dx_num")))
+    return lookup(dx, headers, "claim_id", "claim_id", ["from_date"]).withColumn("dx_num", dx_number(F.col("dx_code")))
 
 
 def latest_dx(dx: DataFrame) -> DataFrame:

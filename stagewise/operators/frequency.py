@@ -20,6 +20,7 @@ from .. import config as C
 from ..functions import sqltext as Q
 from ..functions.predicates import apply_where
 from .ranks import percentile_of, ranked_values
+from .skew import lookup, side_by_side
 
 
 def _order(dims: Sequence[str]) -> list[Column]:
@@ -123,6 +124,44 @@ def stacked_frequencies(df: DataFrame, tables: Sequence[Table], width: int | Non
     return out.orderBy(*_order(keys)) if ordered else out
 
 
+def stacked_distinct(df: DataFrame, tables: Sequence[Table], key: str, name: str = "n_members",
+                     width: int | None = None, ordered: bool = True) -> DataFrame:
+    """As :func:`stacked_frequencies` over raw rows, and beside ``n`` each cell's exact number of
+    distinct ``key`` values, in one pass over ``df``.
+
+    Distinct counts cannot be added up over cells, so cells carry bitmaps.  Rows are
+    counted by (dimensions, key), keys are numbered (consecutive within a task's
+    sorted keys, so their bits lie close), and each combination of dimensions holds
+    a bitmap for every 32,768 numbers; a table's cell is the OR of its
+    combinations', and the bits are counted last.  A NULL key counts as a row and
+    as no member.  A task holds one bitmap of 4 KB for each of its cells.
+    """
+    width = width or max(len(t.dims) for t in tables)
+    dims = sorted({d for t in tables for d in t.dims})
+    flags = {t.where: f"_where{i}" for i, t in enumerate(tables) if t.where is not None}
+    marks = [F.coalesce(F.expr(w), F.lit(False)).alias(f) for w, f in flags.items()]
+    base = df.groupBy(*dims, *marks, key).agg(F.count(F.lit(1)).alias("_n"))
+    keys = base.where(F.col(key).isNotNull()).select(key).distinct().sortWithinPartitions(key)
+    numbers = keys.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_number"))
+    numbered = base.join(numbers, F.col(key) == F.col("_key"), "left")
+    cells = (numbered.groupBy(*dims, *flags.values(), F.bitmap_bucket_number(F.col("_number")).alias("_bucket"))
+                     .agg(F.sum("_n").alias("_n"), F.bitmap_construct_agg(F.bitmap_bit_position(F.col("_number"))).alias("_bits")))
+    rows = []
+    for t in tables:
+        fields = [("table_id", Q.lit(t.table_id)), ("title", Q.lit(t.title))]
+        for i in range(width):
+            dim = t.dims[i] if i < len(t.dims) else None
+            fields += [(f"var{i + 1}", Q.lit(dim) if dim else "CAST(NULL AS STRING)"),
+                       (f"val{i + 1}", f"CAST({Q.ident(dim)} AS STRING)" if dim else "CAST(NULL AS STRING)")]
+        rows.append((flags.get(t.where), [*fields, ("_bucket", "_bucket"), ("_n", "_n"), ("_bits", "_bits")]))
+    names = ["table_id", "title"] + [c for i in range(width) for c in (f"var{i + 1}", f"val{i + 1}")]
+    merged = (cells.select(Q.unpivot_rows(rows)).groupBy(*names, "_bucket")
+                   .agg(F.sum("_n").alias("_n"), F.bitmap_or_agg("_bits").alias("_bits")))
+    members = F.when(F.col("_bucket").isNotNull(), F.bitmap_count("_bits"))
+    out = merged.groupBy(*names).agg(F.sum("_n").alias("n"), F.coalesce(F.sum(members), F.lit(0)).alias(name))
+    return out.orderBy(*_order(names)) if ordered else out
+
+
 def cuboid(df: DataFrame, dims: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """Row counts over every combination of ``dims`` present (column ``n``).
 
@@ -248,6 +287,36 @@ def monthly_counts(final_flags: DataFrame) -> DataFrame:
                    .orderBy(F.col("month").asc_nulls_last()))
 
 
+def claim_member_tables() -> list[Table]:
+    adult = f"age >= {C.ADULT_AGE}"
+    return [Table(1, "claims by category", ("fasc_cat_adj",)),
+            Table(2, "claims by category, adults", ("fasc_cat_adj",), adult),
+            Table(3, "claims by category and stage", ("fasc_cat_adj", "ckd_stage_comb_5cat")),
+            Table(4, "claims by category and stage, adults in plan denominator", ("fasc_cat_adj", "ckd_stage_comb_5cat"),
+                  f"{adult} AND jvhl_denom_flag = 1"),
+            Table(5, "claims by claim stage", ("ckd_stage_claims",)),
+            Table(6, "claims by all combined stages", ("ckd_stage_comb_all",))]
+
+
+def claim_member_battery(claim_prep: DataFrame, final_flags: DataFrame) -> DataFrame:
+    """Claims and distinct members by category and stage, six tables in one pass over the claims.
+
+    Claims are counted by (member, category) before they meet the member's flags,
+    so a member with a third of all claims is a few rows.
+    """
+    claims = claim_prep.select("member_id", "fasc_cat_adj")
+    flags = final_flags.select(F.col("member_id").alias("_mid"), "age", "jvhl_denom_flag", "ckd_stage_claims", "ckd_stage_comb_all", "ckd_stage_comb_5cat")
+    return stacked_distinct(lookup(claims, flags, "member_id", "_mid", flags.columns[1:]), claim_member_tables(), "member_id")
+
+
+def monthly_stages(final_flags: DataFrame) -> DataFrame:
+    """Members by month and stage of their claims beside those by month and stage of their labs."""
+    month = lambda c: F.date_format(c, "yyyyMM").alias("month")
+    claims = frequency(final_flags, [month("ckd_stage_claims_date"), F.col("ckd_stage_claims").alias("stage")], name="n_claims", ordered=False)
+    labs = frequency(final_flags, [month("ckd_stage_jvhl_date"), F.col("ckd_stage_jvhl_detailed").alias("stage")], name="n_labs", ordered=False)
+    return side_by_side(claims, labs, ["month", "stage"]).orderBy(*_order(["month", "stage"]))
+
+
 # -- QA frequencies ----------------------------------------------------------
 
 def qa_lab_tables() -> list[Table]:

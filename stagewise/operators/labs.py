@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import LAB_FLAG_LIMIT, NULL_SENTINEL, PERSISTENCE_DAYS, RunConfig
 from ..functions.parsing import is_threshold_text, threshold_value, to_whole_number
 from ..functions.rules import first_match
+from .skew import rows_on_latest_day
 
 
 def in_window(cfg: RunConfig) -> Column:
@@ -84,6 +85,12 @@ def latest_from_summary(summary: DataFrame) -> DataFrame:
                            F.col("_lab_n").alias("n_labs")))
 
 
+def rows_on_latest_lab_day(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The target-test rows of each member's latest day with a value; all rows of that day, whole."""
+    return rows_on_latest_day(jvhl.where(F.col("requestcpt") == cfg.target_test), "member_id", "date_servicebegin",
+                              dated_by=F.col("all_results").isNotNull())
+
+
 def lab_persistence_flags(jvhl: DataFrame, cfg: RunConfig) -> DataFrame:
     return persistence_from_summary(lab_summary(jvhl, cfg))
 

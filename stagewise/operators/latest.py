@@ -59,8 +59,11 @@ def date_code_key(d: Column, code: Column, width: int = CODE_WIDTH) -> Column:
     ``max`` of the key is the latest date and, on that date, the greatest code
     (a NULL code sorts lowest, as in struct ordering).  Unlike ``max(struct)``,
     whose struct buffer forces a sort-based aggregate, a BIGINT ``max`` runs as
-    a hash aggregate with map-side combine.  NULL dates give a NULL key.
+    a hash aggregate with map-side combine.  NULL dates give a NULL key.  A code
+    outside the range fails the job: its key would read back as another day.
     """
+    fits = code.isNull() | ((code >= 0) & (code < width - 1))
+    code = F.when(fits, code).otherwise(F.raise_error(F.concat(F.lit("code out of range: "), code.cast("string"))).cast("bigint"))
     slot = F.coalesce(code.cast("bigint") + F.lit(1), F.lit(0))
     return F.unix_date(d).cast("bigint") * F.lit(width) + slot
 

@@ -6,7 +6,7 @@ nothing is iterated on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -56,13 +56,27 @@ def duplicate_claim_keys(df: DataFrame, what: str) -> DataFrame:
               .where(F.col("n_rows") > 1).select(F.lit(what).alias("table"), "claim_id", "n_rows"))
 
 
-def lab_parse_failures(labs: DataFrame) -> DataFrame:
-    """Texts that pass the threshold pattern or are non-sentinel numerics but do
-    not parse to a number (NULL under the lenient cast)."""
+def _bad_lab_texts() -> tuple[Column, Column]:
+    """Whether a threshold text, and a numeric text, does not parse to a number."""
     text, num = F.col("textresult"), F.col("numericresult")
     bad_text = is_threshold_text(text) & F.translate(text, C.THRESHOLD_STRIP_CHARS, "").try_cast(
         "decimal(38,0)").isNull()
     bad_num = num.isNotNull() & (num != C.NULL_SENTINEL) & num.try_cast("decimal(38,0)").isNull()
+    return F.coalesce(bad_text, F.lit(False)), F.coalesce(bad_num, F.lit(False))
+
+
+def bad_lab_rows(labs: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The lab rows of the run's two years whose texts do not parse, as they are, and which text it is.
+    The lenient cast reads them as NULL; a strict run fails on them."""
+    bad_text, bad_num = _bad_lab_texts()
+    marked = labs.where(in_window(cfg)).withColumns({"bad_threshold_text": bad_text, "bad_numeric_text": bad_num})
+    return marked.where(F.col("bad_threshold_text") | F.col("bad_numeric_text"))
+
+
+def lab_parse_failures(labs: DataFrame) -> DataFrame:
+    """Texts that pass the threshold pattern or are non-sentinel numerics but do
+    not parse to a number (NULL under the lenient cast)."""
+    bad_text, bad_num = _bad_lab_texts()
     return labs.agg(F.count_if(bad_text).alias("bad_threshold_text"),
                     F.count_if(bad_num).alias("bad_numeric_text"))
 

@@ -13,7 +13,10 @@ Three layouts are supported:
   derivation in :mod:`stagewise.sources.fixtures` or a test's inline tables.
 
 Every frame is projected and cast to its declared schema on the way out, so
-operators can rely on column names and types.
+operators can rely on column names and types.  Keys stay as they are: a text
+``member_id`` such as ``A12`` is as good as a number.  Where sources disagree
+about a key's type, ``keys={"member_id": "string"}`` casts it in all tables.
+Tables whose whole rows count also keep their undeclared columns.
 """
 
 from __future__ import annotations
@@ -23,19 +26,26 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import LOGICAL
+from .schemas import KEYS, LOGICAL, WHOLE_ROWS
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Project ``df`` onto the declared schema of ``name`` (missing column = error)."""
+def conform(df: DataFrame, name: str, keys: Mapping[str, str] | None = None) -> DataFrame:
+    """Project ``df`` onto the declared schema of ``name`` (missing column = error); ``keys``: type by key."""
     schema, _ = LOGICAL[name]
+
+    def one(field) -> str:
+        kind = (keys or {}).get(field.name) if field.name in KEYS else field.dataType.simpleString()
+        return f"CAST(`{field.name}` AS {kind}) AS `{field.name}`" if kind else f"`{field.name}` AS `{field.name}`"
     # resolved lazily (case-insensitively) at analysis; a missing column fails there
-    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
-                           for f in schema.fields])
+    declared = {f.name.lower() for f in schema.fields}
+    more = [f"`{c.replace('`', '``')}`" for c in df.columns if c.lower() not in declared] if name in WHOLE_ROWS else []
+    return df.selectExpr(*[one(f) for f in schema.fields], *more)
 
 
 class Inputs:
-    """Base resolver; subclasses implement :meth:`_load`."""
+    """Base resolver; subclasses implement :meth:`_load`.  ``keys``: types to cast keys to, by name."""
+
+    keys: Mapping[str, str] | None = None
 
     def table(self, name: str, year: int | None = None) -> DataFrame:
         if name not in LOGICAL:
@@ -43,7 +53,7 @@ class Inputs:
         _, per_year = LOGICAL[name]
         if per_year and year is None:
             raise ValueError(f"{name} is year-specific; pass year")
-        return conform(self._load(name, year if per_year else None), name)
+        return conform(self._load(name, year if per_year else None), name, self.keys)
 
     def _load(self, name: str, year: int | None) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
@@ -58,10 +68,10 @@ class TableInputs(Inputs):
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet",
-                 layout: str = "partitioned"):
+                 layout: str = "partitioned", keys: Mapping[str, str] | None = None):
         if layout not in ("partitioned", "suffixed"):
             raise ValueError(f"unknown layout {layout!r}")
-        self.spark, self.root, self.fmt, self.layout = spark, root.rstrip("/"), fmt, layout
+        self.spark, self.root, self.fmt, self.layout, self.keys = spark, root.rstrip("/"), fmt, layout, keys
 
     def _load(self, name, year):
         reader = self.spark.read.format(self.fmt)
@@ -69,7 +79,7 @@ class TableInputs(Inputs):
             return reader.load(f"{self.root}/{name}_{year}")
         df = reader.load(f"{self.root}/{name}")
         if year is not None:
-            df = df.where(F.col("year") == F.lit(year))
+            df = df.where(F.col("year") == F.lit(year)).drop("year")  # the layout's column, not the table's
         return df
 
 
@@ -77,8 +87,8 @@ class FrameInputs(Inputs):
     """Frames supplied by the caller: ``{name: df}`` or ``{name: {year: df}}``,
     or a callable ``(name, year) -> df``."""
 
-    def __init__(self, frames: Mapping | Callable[[str, int | None], DataFrame]):
-        self.frames = frames
+    def __init__(self, frames: Mapping | Callable[[str, int | None], DataFrame], keys: Mapping[str, str] | None = None):
+        self.frames, self.keys = frames, keys
 
     def _load(self, name, year):
         if callable(self.frames):
@@ -93,8 +103,8 @@ class CatalogInputs(Inputs):
     """Catalog tables by name pattern; ``{year}`` in a pattern selects the
     year-suffixed member of a table family (``enroll_{year}``)."""
 
-    def __init__(self, spark: SparkSession, names: Mapping[str, str]):
-        self.spark, self.names = spark, dict(names)
+    def __init__(self, spark: SparkSession, names: Mapping[str, str], keys: Mapping[str, str] | None = None):
+        self.spark, self.names, self.keys = spark, dict(names), keys
 
     def _load(self, name, year):
         pattern = self.names[name]

@@ -33,7 +33,7 @@ CATEGORY_PRIORITY5_BY_MOD3 = ("NF", "Dental", None)
 DRIVER_SCHEMAS = {
     "customer": "c_custkey BIGINT, c_mktsegment STRING",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, "
-              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, o_orderstatus STRING",
     "lineitem": "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
                 "l_tax DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
 }
@@ -112,7 +112,8 @@ class DriverFixtures(Inputs):
         arms = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(DX_BY_ORDERKEY_MOD16))
         return self._orders(year).selectExpr(
             "o_custkey AS member_id", "o_orderkey AS claim_id",
-            f"CASE o_orderkey % 16 {arms} ELSE '{DX_OTHER}' END AS dx_code")
+            f"CASE o_orderkey % 16 {arms} ELSE '{DX_OTHER}' END AS dx_code",
+            "o_orderstatus AS order_status")  # undeclared: whole rows keep it
 
     def _claim_headers(self, year):
         return self._orders().selectExpr(

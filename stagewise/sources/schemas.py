@@ -63,6 +63,11 @@ INPATIENT_HEADER = T.StructType([
     T.StructField("allowed_amount", MONEY),
 ])
 
+#: Identifiers: their type is the source's own (numbers or text), unless the resolver is told another.
+KEYS = ("member_id", "claim_id")
+#: Tables whose whole rows count (a UNION compares every column, and all come out): undeclared columns stay.
+WHOLE_ROWS = ("dx_long",)
+
 # logical name -> (schema, is the table year-specific?)
 LOGICAL = {
     "labs": (LABS, False),
