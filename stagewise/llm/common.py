@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset and Spark runs in one process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="stagewise-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -2,10 +2,12 @@
 
 Words are runs of digits, letters a-z (A-Z lower-cased) and characters from
 U+0080 up.  Each task sorts the suffixes of the training words it reads, one
-bounded shard at a time, and binary-searches every test suffix in that suffix
+bounded shard at a time, and binary-searches every different test suffix in that suffix
 array.  A window of ``window`` consecutive item words (an item of fewer words
 is one window) that is found is a match; matches on one diagonal join into the
-longest verbatim runs.  No shuffle, no pairs of documents.
+longest verbatim runs.  No shuffle, no pairs of documents, and no pairs of
+repeated windows and places: equal windows are looked up once, and a window that
+an item repeats counts at its first place there, where runs may break.
 
 The test items are the stated query set.  They reach the tasks in blocks of at
 most ``BLOCK_WORDS`` words, each a bounded broadcast; texts pass one block
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from stagewise.llm.common import chunks, plus, text_bytes
 
 WINDOW = 10
-BLOCK_WORDS, SHARD_BYTES = 1_000_000, 8_000_000
+BLOCK_WORDS, SHARD_BYTES, PAIRS = 1_000_000, 8_000_000, 1_000_000
 
 _WORD = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _WORD else 0x20 for c in range(256))
@@ -38,26 +40,31 @@ def words_of(text: bytes) -> list[bytes]:
 class Items:
     """One block of test items as word ids, with the windows to look up."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.ids = [i for i, _ in items]
         self.vocabulary: dict[bytes, int] = {}
-        words, item, offset, length = [], [], [], []
+        words, offset, length = [], [], []
+        places: dict[tuple[int, ...], int] = {}  # of different windows
+        inside: list[dict[int, int]] = []  # of each window, the items that hold it, each with its first place there
         for k, (_, ws) in enumerate(items):
             at = len(words)
-            words += [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws]
+            own = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws]
+            words += own
             for s in range(max(1, len(ws) - window + 1) if ws else 0):
-                item.append(k)
-                offset.append(at + s)
-                length.append(min(window, len(ws)))
+                key = tuple(own[s:s + window])
+                if key not in places:
+                    places[key] = len(offset)
+                    offset.append(at + s)
+                    length.append(len(key))
+                    inside.append({})
+                inside[places[key]].setdefault(k, s)
             words += [0] * window  # a gap: no window runs into the next item
         self.words = np.array(words, np.int64)
-        self.item, self.offset, self.length = (np.array(x, np.int64) for x in (item, offset, length))
-        first = np.full(len(items), 0, np.int64)
-        np.minimum.at(first, self.item, 0)
-        if len(item):
-            heads = np.r_[True, self.item[1:] != self.item[:-1]]
-            first[self.item[heads]] = self.offset[heads]
-        self.start = self.offset - first[self.item]
+        self.offset, self.length = np.array(offset, np.int64), np.array(length, np.int64)
+        self.holders = np.array([len(x) for x in inside], np.int64)
+        self.first = np.cumsum(self.holders) - self.holders
+        self.item = np.array([k for x in inside for k in x], np.int64)
+        self.start = np.array([s for x in inside for s in x.values()], np.int64)
 
 
 def suffix_array(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -114,24 +121,45 @@ def shard_matches(texts: list[bytes], block: Items, window: int) -> tuple[list[i
     lo, hi = search(words, order, block)
     n = hi - lo
     which = np.repeat(np.arange(len(n)), n)
-    if not len(which):
-        return sizes, {}
-    at = order[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-    doc = np.searchsorted(base, at, "right") - 1
-    item, start, length = block.item[which], block.start[which], block.length[which]
-    diagonal = at - start
-    by = np.lexsort((at, diagonal, item, doc))
-    doc, item, start, length, diagonal, at = (x[by] for x in (doc, item, start, length, diagonal, at))
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] > at[:-1] + length[:-1])]
-    heads = np.flatnonzero(new)
-    lasts = np.r_[heads[1:], len(at)] - 1
+    at = order[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)] if len(which) else which
+    by = np.argsort(at, kind="stable")
+    which, at = which[by], at[by]
+    runs = np.zeros((0, 5), np.int64)  # (document, item, diagonal, first and end place)
+    each = np.cumsum(block.holders[which]) if len(which) else which
+    for s, e in slices(each, PAIRS):
+        m = block.holders[which[s:e]]
+        pick = np.repeat(np.arange(s, e), m)
+        holder = np.arange(len(pick)) - np.repeat(np.cumsum(m) - m, m) + np.repeat(block.first[which[s:e]], m)
+        more = np.stack([np.searchsorted(base, at[pick], "right") - 1, block.item[holder], at[pick] - block.start[holder], at[pick], at[pick] + block.length[which[pick]]], 1)
+        runs = joined(np.concatenate([runs, joined(more)]))
     found: dict[int, list[dict]] = {}
-    for h, e in zip(heads.tolist(), lasts.tolist()):
-        found.setdefault(int(doc[h]), []).append({"item_id": block.ids[item[h]], "item_start": int(start[h]), "doc_start": int(at[h] - base[doc[h]]),
-                                                  "n_words": int(at[e] + length[e] - at[h])})
+    for doc, item, diagonal, first, end in runs.tolist():
+        found.setdefault(doc, []).append({"item_id": block.ids[item], "item_start": first - diagonal, "doc_start": first - base[doc], "n_words": end - first})
     return sizes, found
 
 
+def slices(total: np.ndarray, most: int):
+    """Ranges of rows whose running ``total`` grows by about ``most`` each."""
+    s = 0
+    while s < len(total):
+        before = total[s - 1] if s else 0
+        e = max(s + 1, int(np.searchsorted(total, before + most, "right")))
+        yield s, e
+        s = e
+
+
+def joined(runs: np.ndarray) -> np.ndarray:
+    """Runs on one diagonal of a document and item that overlap or meet, as one."""
+    if not len(runs):
+        return runs
+    runs = runs[np.lexsort((runs[:, 3], runs[:, 2], runs[:, 1], runs[:, 0]))]
+    new = np.r_[True, (runs[1:, :3] != runs[:-1, :3]).any(1) | (runs[1:, 3] > runs[:-1, 4])]
+    heads = np.flatnonzero(new)
+    out = runs[heads].copy()
+    out[:, 4] = np.maximum.reduceat(runs[:, 4], heads)
+    return out
+
+
 def covered(matches: list[dict]) -> int:
     """Words inside at least one match."""
     total = end = 0
@@ -142,9 +170,9 @@ def covered(matches: list[dict]) -> int:
 
 
 def blocks(benchmark: DataFrame, window: int):
-    """The items in blocks of bounded size; rows of one item_id stand for themselves, null ids and texts go."""
+    """The items in blocks of bounded size; rows of one item_id stand for themselves, null texts go."""
     held, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).dropna()
+    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).where(F.col("text").isNotNull())
     for item_id, text in rows.toLocalIterator():
         ws = words_of(text.encode())
         if held and size + len(ws) > BLOCK_WORDS:
@@ -159,9 +187,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     """(doc_id, n_words, n_hit, matches, contaminated) of every row of ``docs`` (doc_id, text, ...).
 
     matches holds the longest verbatim runs by item, with their places in the
-    document and in the item, in words.  n_hit counts document words inside a
-    match.  A null or wordless text has no words and isn't contaminated; items
-    without words or with a null id or text match nothing.  Rows with the same
+    document and in the item, in words.  n_hit counts document words inside a match.  A null or wordless text has no words
+    and isn't contaminated; items without words or with a null text match
+    nothing.  An item with a null id matches like any other, under that id.  Rows with the same
     id and repeated texts are judged one by one, whole.  Empty tables give no
     matches or no rows; other columns are not read.
     """

@@ -297,7 +297,8 @@ def search(queries: DataFrame, chunks: DataFrame, index: Index, dims: int, k: in
             return pa.Table.from_batches([state_batch([row | {"visited": visited, "found": fresh.ravel(), "open": left}])])
 
         asked = state.where("open > 0").mapInArrow(ask, "cell long, chunk long, block long, qs array<long>, q_rids array<long>, q_labels array<long>, q_vectors binary, needs array<long>, highs array<long>")
-        met = asked.join(chunks.select("cell", "chunk", "ids", "rids", "labels", "vectors"), ["cell", "chunk"])
+        # requests are many times the state they are made from, which is all that Spark could go by: no broadcast
+        met = asked.join(chunks.select("cell", "chunk", "ids", "rids", "labels", "vectors").hint("merge"), ["cell", "chunk"])
         hit = met.mapInArrow(score, "block long, hits binary")
         state = cut(state.groupBy("block").cogroup(hit.groupBy("block")).applyInArrow(merge, _STATE), "state")
         budget *= STEP
@@ -374,7 +375,7 @@ def hard_negatives(rows: DataFrame, anchors: Column, positives: int = 5, negativ
     start = chosen.select("id", "rid", "label", "vector").withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(blocks))).groupBy("block").applyInArrow(gather, _STATE)
     near = search(cut(start, "queries"), chunks, index, dims, positives, same=True)
     far = search(cut(near.mapInArrow(windows, _STATE), "windows"), chunks, index, dims, negatives, same=False)
-    both = far.select("block", "ids", "found").join(near.select("block", F.col("found").alias("positives")), "block")
+    both = far.select("block", "ids", "found").join(near.select("block", F.col("found").alias("positives")).hint("merge"), "block")
     return both.select("ids", "positives", "found").mapInArrow(spell, "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
 
 

@@ -31,7 +31,7 @@ places AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS words
            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN lengths WHERE len(w) >= n)),
 hits AS (SELECT p.doc_id, p.s, p.n, x.item_id FROM places p JOIN windows x ON p.n = x.n AND p.words = x.words),
 hit_words AS (SELECT doc_id, count(DISTINCT s + k) AS n_hit FROM (SELECT doc_id, s, unnest(range(0, n)) AS k FROM hits) GROUP BY doc_id),
-items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY doc_id)
+items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits WHERE item_id IS NOT NULL GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)

@@ -6,13 +6,16 @@ text back.  A task gathers the distinct marked words of the texts it holds and
 sorts them: a sorted list is a trie in depth-first order, and a word starts
 from the forward scores of the prefix it shares with the one before.  Pieces
 and scores come from a public SentencePiece model (a path); characters that no
-piece covers, and a mark inside a word, become byte pieces.
+piece covers, and a mark inside a word, become byte pieces.  The default model is a
+byte-pair one, whose scores are merge ranks: Viterbi takes the pieces with the best
+sum of them, which are often not the ones that merging in order would give.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,28 +112,34 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches):
         pieces = shared.value
-        known: dict[str, bytes] = {}
-        plain = [p.replace(MARK, " ") for p in pieces.text]
-        bytes_at = np.array(pieces.byte) >= 0
-        plain = np.array(plain, object)
+        known: dict[str, np.ndarray] = {}
         for held in chunks(batches, "text", SHARD_BYTES):
-            texts = [t for b in held for t in b.column(1).to_pylist()]
-            words = [marked(t) if t is not None else [] for t in texts]
             if len(known) > KEPT_WORDS:
                 known = {}
-            new = {w for ws in words for w in ws if w not in known}
-            known.update((w, ids.tobytes()) for w, ids in pieces.encode_words(list(new)).items())
+            text = pa.concat_arrays([b.column(1) for b in held])
+            parts = pc.split_pattern(text, " ")
+            coded = parts.flatten().dictionary_encode()
+            distinct = [MARK + w for w in coded.dictionary.to_pylist()]
+            known.update(pieces.encode_words([w for w in distinct if w not in known]))
+            # each distinct word is encoded, and its round trip checked, once; a text is its words' pieces, one after the other
+            spelled = [known[w] for w in distinct]
+            good = np.array([pieces.decode(x) == w[1:] for x, w in zip(spelled, distinct)], bool)
+            size = np.array([len(x) for x in spelled], np.int64)
+            start = np.cumsum(size) - size
+            pool = np.concatenate([np.zeros(0, np.int32), *spelled])
+            which = coded.indices.to_numpy()
+            n = size[which]
+            first = np.cumsum(n) - n
+            flat = pool[np.arange(int(n.sum())) - np.repeat(first, n) + np.repeat(start[which], n)]
+            words = np.cumsum(np.r_[0, pc.fill_null(pc.list_value_length(parts), 0).to_numpy()])
+            ends = np.r_[0, np.cumsum(n)][words]
+            bad = np.r_[0, np.cumsum(~good[which])][words]
             at = 0
             for b in held:
-                ids = [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in words[at:at + b.num_rows]]
-                ok = []
-                for x, t in zip(ids, texts[at:at + b.num_rows]):
-                    back = pieces.decode(x) if len(x) and bytes_at[x].any() else "".join(plain[x])[1:]
-                    ok.append(back == (t or ""))
-                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.concatenate([np.zeros(0, np.int32), *ids])
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(np.diff(offsets).astype(np.int64)), pa.array(ok, pa.bool_())],
-                                                 names=["doc_id", "ids", "n_pieces", "round_trip"])
+                mine = ends[at:at + b.num_rows + 1]
+                ids = pa.ListArray.from_arrays(pa.array((mine - mine[0]).astype(np.int32)), pa.array(flat[mine[0]:mine[-1]]))
+                ok = np.diff(bad[at:at + b.num_rows + 1]) == 0
+                yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array(np.diff(mine)), pa.array(ok)], names=["doc_id", "ids", "n_pieces", "round_trip"])
                 at += b.num_rows
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))

@@ -50,7 +50,8 @@ def op8_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    # an item without an id counts in n_hit, and has no place in a list of ids
+    items = F.array_sort(F.array_compact(F.array_distinct(F.transform("matches", lambda m: m["item_id"]))))
     return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
                         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 

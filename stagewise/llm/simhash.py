@@ -11,8 +11,8 @@ start on the ring has every chain of l segments from there differing in at most
 ``l * t / m`` bits.  So the first segment is equal, and the next two differ in
 at most two bits together: cut into four parts, two of them are equal.  Each
 fingerprint is keyed by its start, its first segment and each pair of parts;
-in a key's group the chain budgets are checked link by link before the full
-distance.  Groups emit a spanning forest of their links, never all pairs.
+in a key's group chains of one, two, three ... segments are checked in turn, each
+only for what the shorter ones left, and the full distance last.  Groups emit a spanning forest of their links, never all pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagewise.llm.common import attach, cut, text_bytes
+from stagewise.llm.common import attach, cut, plus, text_bytes
 from stagewise.llm.graph import components
 
 PARTS, EQUAL_PARTS = 4, 2
@@ -103,14 +103,19 @@ def within(x: np.ndarray, distance: int) -> np.ndarray:
     segs = segments(distance)
     m = len(segs)
     ok = np.zeros(x.shape, bool)
-    d = [np.bitwise_count(_bits(x, *s)) for s in segs]
     for i in range(m):
-        good, total = np.ones(x.shape, bool), np.zeros(x.shape, np.uint8)
+        left = np.flatnonzero(~ok)
+        total = np.zeros(len(left), np.uint8)
         for n in range(1, m):
-            total = total + d[(i + n - 1) % m]
-            good &= total <= n * distance // m
-        ok |= good
-    return ok & (np.bitwise_count(x) <= distance)
+            total = total + np.bitwise_count(_bits(x[left], *segs[(i + n - 1) % m]))
+            good = total <= n * distance // m
+            left, total = left[good], total[good]
+            if not len(left):
+                break
+        ok[left] = True
+    passed = np.flatnonzero(ok)
+    ok[passed] = np.bitwise_count(x[passed]) <= distance
+    return ok
 
 
 def forest(fp: np.ndarray, rep: np.ndarray, distance: int) -> tuple[list, list]:
@@ -190,19 +195,60 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
 
     component_id is the smallest doc_id reachable by links of at most
     ``distance`` bits; n_copies counts the rows with the same fingerprint.
-    Null and wordless texts have fingerprint zero and link like any other.
-    Repeated rows stay.  A null doc_id takes its fingerprint's component but
-    never names one; if no row of a component has an id, component_id is null.
-    An empty table gives no rows; other columns are not read.
+    Rows with one doc_id are one document: its texts are linked, whatever their
+    distance.  Null and wordless texts have fingerprint zero and link like any
+    other.  Repeated rows stay.  A null doc_id takes its fingerprint's component
+    but never names or links one; if no row of a component has an id,
+    component_id is null.  An empty table gives no rows; other columns are not read.
     """
     fps = cut(fingerprints(docs, shingle), "fingerprints")
-    total = fps.count()
-    classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-    # a class without any id may connect others: it stands in by its hash, above all real ids
-    stand_in = F.coalesce("rep", F.lit(1 << 62) + F.pmod(F.col("fp"), F.lit((1 << 61) - 1)))
-    nodes = classes.withColumn("rep", stand_in)
-    roots = components(links(nodes, distance)).select(F.col("node").alias("rep"), "root")
-    nodes = nodes.join(roots, "rep", "left").select("fp", "n", F.coalesce("root", "rep").alias("component_id"))
-    nodes = nodes.withColumn("component_id", F.when(F.col("component_id") < 1 << 62, F.col("component_id")))
-    out = attach(fps, nodes.withColumn("n_copies", F.col("n")), "fp", "n", max(total, 1), ["component_id", "n_copies"])
+    total = max(1, fps.count())
+    classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
+    roots = components(links(_nodes(classes), distance).unionByName(_id_links(fps, total)))
+    nodes = _rooted(classes, roots)
+    least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    nodes = cut(nodes.join(least, "root").select("fp", "n", "component_id", F.col("n").alias("n_copies")), "components")
+    out = attach(fps, nodes, "fp", "n", total, ["component_id", "n_copies"])
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_copies")
+
+
+def _nodes(classes: DataFrame) -> DataFrame:
+    """A fingerprint is its own node."""
+    return classes.select("fp", F.col("fp").alias("rep"))
+
+
+def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    found = roots.select(F.col("node").alias("fp"), "root")
+    return classes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def _id_links(fps: DataFrame, total: int) -> DataFrame:
+    """(a, b): the fingerprints of one doc_id, each linked to the smallest."""
+    several = fps.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("top"), F.count(F.lit(1)).alias("n")).where("a < top")
+    met = attach(fps.where(F.col("doc_id").isNotNull()), cut(several, "several"), "doc_id", "n", total, ["a"])
+    return met.where("a < fp").select("a", F.col("fp").alias("b")).distinct()
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicate texts: the smallest doc_id, then the smallest
+    hash of the row; all columns stay.
+
+    Groups are by text alone: rows that share a doc_id but not their texts are
+    different documents, and each keeps its place.  Rows without an id come after
+    those with one.  Of rows alike in every column one stays.  Null and wordless texts are one group.  An empty
+    table gives no rows.
+    """
+    first, second = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(F.lit("second"), *[F.col(f"`{c}`") for c in docs.columns])
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), first.alias("h1"), second.alias("h2")).alias("row"), text)
+
+    def run(batches):
+        for b in batches:
+            fps = np.array([fingerprint(t, shingle) for t in text_bytes(b.column(1))], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed(fps))], names=["row", "fp"])
+    fps = rows.mapInArrow(run, plus(rows.select("row").schema, "fp long"))
+    classes = cut(fps.groupBy("fp").agg(F.min("row").alias("row")), "classes")
+    nodes = _rooted(classes, components(links(_nodes(classes), distance)))
+    chosen = cut(nodes.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.h1").alias("_h1"), F.col("row.h2").alias("_h2")), "chosen")
+    marked = docs.withColumns({"_h1": first, "_h2": second})
+    return marked.join(chosen, ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"]).select(*[F.col(f"`{c}`") for c in docs.columns])

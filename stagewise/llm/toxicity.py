@@ -6,13 +6,16 @@ contexts, not documents, keeps copies of one toxic text from teaching its
 ordinary words.  The lexicon is a trie; the Levenshtein automaton of every
 term runs on it at once, as sets of (trie node, edits), determinised on
 demand.  A text's word that it accepts is a hit, exact or misspelled.  The
-words around a hit decide whether it is quoted or used: quotation marks and
-reporting verbs against second-person address.  A logistic model of the
+words around a hit decide whether it is quoted or used: quotation marks, paired
+off as they open and close, and reporting verbs against second-person address.  A logistic model of the
 exact, misspelled and quoted hits gives the score.
 
 Both fits use a bounded sample of training rows (``SAMPLE`` of either label),
 weighted by the count of each label over all training rows, so that a score
 and ``CUT`` mean the same at every size; every document is scored, whole.
+Terms have ``LEAST_LETTERS`` letters at least; if more than ``LEXICON`` words
+pass the odds, those with the most toxic contexts are the terms, because the
+trie is broadcast.
 """
 
 from __future__ import annotations
@@ -116,22 +119,42 @@ class Matches(dict):
         if len(self) >= self.most:
             self.clear()
         word = strip(token)
-        found = self[token] = self.automaton.match(word) if len(word) >= LEAST_LETTERS - 1 and len(word) < 40 else None
+        found = self[token] = self.automaton.match(word) if len(word) >= LEAST_LETTERS - 1 else None
         return found
 
 
+#: The marks that close what a mark opened.
+CLOSES = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹"}
+
+
+def quotations(words: list[str]) -> list[tuple[int, int]]:
+    """First and last word of each quotation; a mark that nothing closes within twice ``REACH`` words opens none."""
+    spans, opened = [], []  # (mark, word) still open
+    for i, w in enumerate(words):
+        for c in w:
+            if c in QUOTES:
+                opened = [(m, at) for m, at in opened if i - at <= 2 * REACH]
+                k = next((k for k in range(len(opened) - 1, -1, -1) if c in CLOSES[opened[k][0]]), None)
+                if k is not None:
+                    spans.append((opened[k][1], i))
+                    del opened[k:]
+                elif c in CLOSES:
+                    opened.append((c, i))
+    return spans
+
+
 def features(text: str, matches: Matches, weights: dict[str, float]) -> list[float]:
     """Weighted exact, misspelled and quoted hits of a text, and its strongest used hit."""
     words = text.split()
     exact = fuzzy = quoted = strongest = 0.0
-    for i, found in [(i, m) for i, w in enumerate(words) if (m := matches[w]) is not None]:
+    hits = [(i, m) for i, w in enumerate(words) if (m := matches[w]) is not None]
+    inside = {i for s, e in (quotations(words) if hits else ()) for i in range(s, e + 1)}
+    for i, found in hits:
         term, e = found
         w = weights[term]
         window = words[max(0, i - REACH):i + REACH + 1]
         near = {strip(x) for x in window}
-        opened = sum(x.count(q) for x in words[max(0, i - REACH):i] for q in QUOTES) + (words[i][0] in QUOTES)
-        closed = sum(x.count(q) for x in words[i + 1:i + REACH + 1] for q in QUOTES) + (words[i][-1] in QUOTES)
-        used = 1.0 - 0.75 * bool(opened and closed) - 0.2 * bool(near & REPORTS) + 0.25 * bool(near & ADDRESS)
+        used = 1.0 - 0.75 * (i in inside) - 0.2 * bool(near & REPORTS) + 0.25 * bool(near & ADDRESS)
         if used < 0.5:
             quoted += w
         elif e:
@@ -190,7 +213,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndar
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ws = [strip(w) for w in text.split()]
                 for before, w, after in zip(["", *ws], ws, [*ws[1:], ""]):
-                    if LEAST_LETTERS <= len(w) < 40:
+                    if len(w) >= LEAST_LETTERS:
                         rows.add((w, hash_pair(before, after), toxic))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32()))], names=["word", "context", "toxic"])
 
@@ -233,11 +256,11 @@ def _scored(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], passes:
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).cast(pa.string()).to_pylist()
             x = np.array([features(t or "", matches, lexicon) for t in texts]).reshape(-1, N_FEATURES)
-            score = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
+            score = np.round(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))), 9)
             if passes:
                 yield b.filter(pa.array(score < CUT))
             else:
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.round(score, 9)), pa.array((score >= CUT).astype(np.int32))], names=["doc_id", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     if passes:
         return docs.mapInArrow(run, docs.schema)

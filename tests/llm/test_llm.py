@@ -328,14 +328,14 @@ def test_decontamination(spark, texts):
         for item, s in items:
             iw = split(s)
             n = min(10, len(iw))
-            for i in range(len(iw) - n + 1 if n and item is not None else 0):
+            for i in range(len(iw) - n + 1 if n else 0):
                 for j in range(len(ws) - n + 1):
                     if ws[j:j + n] == iw[i:i + n]:
                         hit |= set(range(j, j + n))
                         by.add(item)
-        want[(d, len(ws), len(hit), tuple(sorted(by)))] += 1
+        want[(d, len(ws), len(hit), tuple(sorted(by, key=str)))] += 1
     bench = spark.createDataFrame(items, "item_id string, text string")
-    find = lambda: Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted({m["item_id"] for m in r["matches"]}))) for r in decontam.find_matches(frame(spark, texts), bench).collect())
+    find = lambda: Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted({m["item_id"] for m in r["matches"]}, key=str))) for r in decontam.find_matches(frame(spark, texts), bench).collect())
     assert find() == want
     old, decontam.BLOCK_WORDS = decontam.BLOCK_WORDS, 30
     try:
@@ -470,3 +470,104 @@ def test_pipeline(spark):
         assert out.count() == 0 and (k == len(P.STAGES) - 1 or out.columns == docs.columns)
     out = P.run(spark, sf).collect()
     assert out and all(r["round_trip"] for r in out) and len({r["doc_id"] for r in out}) == len(out)
+
+
+# ---- repeated ids, quotations, repeated windows
+
+def test_ids_with_several_texts_are_one_document(spark, texts):
+    far = [t for _, t in texts[:4]]
+    for rows, want in [([(1, far[0]), (2, far[0]), (2, far[1]), (3, far[1])], [1, 1, 1, 1]), ([(1, far[0] + " x"), (2, far[0] + " x"), (2, far[1]), (3, far[1]), (4, far[2])], [1, 1, 1, 1, 4]),
+                       ([(7, far[0]), (7, far[1]), (7, far[2]), (9, far[3]), (None, far[3]), (None, far[2])], [7, 7, 7, 9, 9, 7])]:
+        got = simhash.near_duplicates(frame(spark, rows)).collect()
+        ids = {(d, brute_fingerprint(t)): c for (d, t), c in zip(rows, want)}
+        assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter((d, ids[d, brute_fingerprint(t)]) for d, t in rows)
+
+
+def test_one_document_of_each_group_stays(spark, texts):
+    fps = [brute_fingerprint(t) for _, t in texts]
+    group = brute_components([(i,) for i in range(len(texts))], lambda i, j: bin(fps[i] ^ fps[j]).count("1") <= 4)
+    got = [(r["doc_id"], r["text"], r["bucket"], r["key"]) for r in simhash.keep_one(frame(spark, texts)).collect()]
+    assert len(got) == len(set(group)) and all(r[2:] == (2, "x") for r in got)
+    place = {(d, t): g for (d, t), g in zip(texts, group)}
+    assert sorted(place[d, t] for d, t, *_ in got) == sorted(set(group))
+    for g in set(group):
+        ids = [texts[i][0] for i in range(len(texts)) if group[i] == g]
+        kept = next(d for d, t, *_ in got if place[d, t] == g)
+        assert kept == min((i for i in ids if i is not None), default=None)
+    # ids that repeat with other texts, and rows that repeat whole
+    a, b, c = (t for _, t in texts[:3])
+    assert Counter((r["doc_id"], r["text"]) for r in simhash.keep_one(frame(spark, [(5, a), (5, b), (9, c), (9, c), (9, c), (None, a), (None, None), (None, "")])).collect()) in (
+        Counter([(5, a), (5, b), (9, c), (None, None)]), Counter([(5, a), (5, b), (9, c), (None, "")]))
+    assert simhash.keep_one(frame(spark, [])).count() == 0
+
+
+def test_chains_prune_as_the_whole_check_does():
+    rng = np.random.default_rng(8)
+    x = np.array([sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 8)), replace=False)) for _ in range(3000)], np.uint64)
+    assert (simhash.within(x, 4) == (np.bitwise_count(x) <= 4)).all()
+
+
+def test_quotations_pair_marks():
+    inside = lambda t: {t.split()[i] for s, e in toxicity.quotations(t.split()) for i in range(s, e + 1)}
+    assert inside('"hi" he is worthless "bye"') == {'"hi"', '"bye"'}
+    assert inside('they said "he is worthless" twice') == {'"he', "is", 'worthless"'}
+    assert inside("er sagte „du bist nichts“ und ging") == {"„du", "bist", "nichts“"}
+    assert inside("« un mot » et »ein Wort« und “one”") == {"«", "un", "mot", "»", "»ein", "Wort«", "“one”"}
+    assert inside('a 5" pipe ' + "x " * 20 + 'is "worthless" here') == {'"worthless"'}
+    assert inside("no ” closing « alone") == set()
+    matches, weights = toxicity.Matches(toxicity.Automaton(["worthless"])), {"worthless": 1.0}
+    used, quoted = (toxicity.features(t, matches, weights) for t in ('"hi" he is worthless "bye"', 'it is "so worthless" there'))
+    assert used[0] > 0 and used[2] == 0 and quoted[0] == 0 and quoted[2] > 0
+    assert matches["w" * 60] is None
+
+
+def test_toxicity_predicts_by_the_score_shown(spark):
+    rows = [(i, f"clean words number {i}") for i in range(40)] + [(100 + i, f"you grumblefink number {i}") for i in range(30)]
+    lab = spark.createDataFrame([(i, 0, int(i >= 100)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    assert all(r["predicted"] == int(r["score"] >= 0.3) for r in toxicity.score(frame(spark, rows), lab).collect())
+
+
+def test_items_without_an_id_count(spark):
+    passage = " ".join(f"w{i}" for i in range(14))
+    docs = frame(spark, [(1, f"before {passage} after"), (2, "nothing here")])
+    bench = spark.createDataFrame([(None, passage), ("a", "none of it at all"), ("b", None)], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["contaminated"], [m["item_id"] for m in r["matches"]]) for r in decontam.find_matches(docs, bench).collect()}
+    assert got == {1: (14, True, [None]), 2: (0, False, [])}
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, bench).collect()] == [2]
+
+
+def test_repeated_windows_take_bounded_memory():
+    import tracemalloc
+    block = decontam.Items([("x", [b"la"] * 2000), ("y", [b"la"] * 9), ("z", [b"la", b"lo"] * 500)], 10)
+    assert len(block.offset) == 4
+    tracemalloc.start()
+    sizes, found = decontam.shard_matches([b"la " * 20_000, b"la lo " * 40, b"other"], block, 10)
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    assert sizes == [20_000, 80, 1]
+    assert {m["item_id"] for m in found[0]} == {"x", "y"} and decontam.covered(found[0]) == 20_000
+    assert {m["item_id"] for m in found[1]} == {"z"} and decontam.covered(found[1]) == 80 and 2 not in found
+
+
+def test_matches_are_the_longest_runs():
+    words = [f"w{i}".encode() for i in range(40)]
+    block = decontam.Items([("a", words), ("b", words[30:])], 10)
+    _, found = decontam.shard_matches([b" ".join([b"x", *words[5:30], b"y", *words[25:], b"z"])], block, 10)
+    assert sorted((m["item_id"], m["item_start"], m["doc_start"], m["n_words"]) for m in found[0]) == [("a", 5, 1, 25), ("a", 25, 27, 15), ("b", 0, 32, 10)]
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    from types import SimpleNamespace as N
+
+    from stagewise.llm import common
+    unset = N(conf=N(get=lambda *_: None), sparkContext=N(master="spark://host:7077", getConf=lambda: N(get=lambda *_: None)))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(unset)
+
+
+def test_pipeline_loses_no_document_of_a_repeated_id(spark, texts):
+    import corpus_pipeline
+    a, b, c = (t for _, t in texts[:3])
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, [(5, a), (5, b), (9, c)]), "")
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(5, a), (5, b), (9, c)])
+    assert kept.columns == frame(spark, []).columns
