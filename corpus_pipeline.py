@@ -22,35 +22,40 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity operator doesn't predict toxic."""
+    """Documents that the toxicity operator doesn't predict toxic, each judged by its text alone: repeated
+    ids and rows, null and empty texts are rows like any other, and other columns aren't read."""
     ship(spark)
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id, once; rows without an id stay."""
+    """Of each group of near-duplicate texts one document, the one with the smallest id; see ``simhash.keep_one``.
+
+    Rows that share an id but not their texts are different documents and both
+    stay; of rows alike in every column one stays; rows without an id stay if no
+    row of their group has one, one of each group.
+    """
     ship(spark)
-    groups = simhash.near_duplicates(docs, shingle=4, distance=4)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return simhash.keep_one(docs, shingle=4, distance=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window with a benchmark item."""
+    """Documents that share no window with a benchmark item, each row judged by its text alone; null and empty
+    texts stay, items with a null id count, other columns aren't read."""
     ship(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for the detected entities and n_chars of the new text."""
+    """All documents, with surrogates for the detected entities and n_chars of the new text; an entity has one
+    surrogate in all rows, repeated ids or not, null texts stay null."""
     ship(spark)
     out = pii.anonymise(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_pieces, round_trip) of all documents."""
+    """(doc_id, ids, n_pieces, round_trip) of all documents, a row each; null texts have no ids."""
     ship(spark)
     return pieces.encode(docs)
 
