@@ -13,6 +13,8 @@ sum of them, which are often not the ones that merging in order would give.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +25,7 @@ from stagewise.llm.common import chunks, plus
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-SHARD_BYTES, KEPT_WORDS = 4_000_000, 150_000
+SHARD_BYTES, KEPT_WORDS = 4_000_000, 400_000
 MISSING = -1e18
 
 
@@ -48,45 +50,67 @@ class Pieces:
         # the mark by itself is always a piece, and never spelled in bytes: a mark in bytes is a character of the text
         self.mark = sp.piece_to_id(MARK)
         self.score[MARK] = (max(self.score.get(MARK, (least, 0))[0], least), self.mark)
-        self.tails = {p[j:] for p in self.score for j in range(len(p))}
-
-    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Ids of each marked word (its mark in front); shares forward scores along the sorted list."""
-        out: dict[str, np.ndarray] = {}
-        best, back = [0.0], [(0, 0)]  # the score of the best way to each place; where it comes from, its piece
-        score, tails, last = self.score, self.tails, ""
+        # the pieces as a trie from their last character: [what may come before, score, id or -1]
+        self.before: dict[str, list] = {}
+        for p, (score, i) in self.score.items():
+            level = self.before
+            for c in reversed(p):
+                node = level.setdefault(c, [{}, MISSING, -1])
+                level = node[0]
+            node[1:] = score, i
+        #: what a piece stands for, the mark as a space
+        self.spells = pa.array([bytes([b]) if b >= 0 else p.replace(MARK, " ").encode() for p, b in zip(self.text, self.byte)], pa.binary())
+
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each marked word (its mark in front), as 32-bit integers; shares forward scores along the sorted list."""
+        out: dict[str, bytes] = {}
+        best, back, piece = [0.0], [0], [0]  # the score of the best way to each place; where it comes from, by which piece
+        before, byte_score, last = self.before, self.byte_score, ""
         for w in sorted(words):
             n = 0
             for x, y in zip(last, w):
                 if x != y:
                     break
                 n += 1
-            del best[n + 1:], back[n + 1:]
+            del best[n + 1:], back[n + 1:], piece[n + 1:]
+            marks = MARK in w[1:]
             for i in range(n + 1, len(w) + 1):
-                top, way = MISSING, (0, 0)
-                j = i - 1
-                while j >= 0 and w[j:i] in tails and (w[j] != MARK or j == 0):
-                    found = score.get(w[j:i])
-                    if found and best[j] + found[0] > top:
-                        top, way = best[j] + found[0], (j, found[1])
+                top, where, by = MISSING, 0, 0
+                level, j = before, i
+                while j:
                     j -= 1
-                spelled = best[i - 1] + self.byte_score * len(w[i - 1].encode())
-                if spelled > top and i > 1:
-                    top, way = spelled, (i - 1, -1)
+                    node = level.get(w[j])
+                    if node is None or (marks and j and w[j] == MARK):  # no piece goes over a mark inside the word
+                        break
+                    level, score, found = node
+                    if found >= 0 and best[j] + score > top:
+                        top, where, by = best[j] + score, j, found
+                if i > 1:
+                    c = w[i - 1]
+                    spelled = best[i - 1] + byte_score * (1 if c < "\x80" else len(c.encode()))
+                    if spelled > top:
+                        top, where, by = spelled, i - 1, -1
                 best.append(top)
-                back.append(way)
+                back.append(where)
+                piece.append(by)
             ids, i = [], len(w)
             while i:
-                j, p = back[i]
-                if p < 0:
+                j, by = back[i], piece[i]
+                if by < 0:
                     ids += [self.of_byte[c] for c in reversed(w[j:i].encode())]
                 else:
-                    ids.append(p)
+                    ids.append(by)
                 i = j
-            out[w] = np.array(ids[::-1], np.int32)
+            ids.reverse()
+            out[w] = array("i", ids).tobytes()
             last = w
         return out
 
+    def spell(self, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The bytes that runs of ``ids`` of the given sizes stand for, the mark as a space."""
+        offsets = np.cumsum(np.r_[0, sizes]).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), self.spells.take(pa.array(ids))), b"")
+
     def decode(self, ids) -> str:
         parts: list[bytes] = []
         for i in ids:
@@ -112,7 +136,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches):
         pieces = shared.value
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, bytes] = {}
         for held in chunks(batches, "text", SHARD_BYTES):
             if len(known) > KEPT_WORDS:
                 known = {}
@@ -123,10 +147,10 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             known.update(pieces.encode_words([w for w in distinct if w not in known]))
             # each distinct word is encoded, and its round trip checked, once; a text is its words' pieces, one after the other
             spelled = [known[w] for w in distinct]
-            good = np.array([pieces.decode(x) == w[1:] for x, w in zip(spelled, distinct)], bool)
-            size = np.array([len(x) for x in spelled], np.int64)
+            size = np.array([len(x) for x in spelled], np.int64) // 4
             start = np.cumsum(size) - size
-            pool = np.concatenate([np.zeros(0, np.int32), *spelled])
+            pool = np.frombuffer(b"".join(spelled), np.int32)
+            good = pc.equal(pieces.spell(pool, size), pa.array([" " + w[1:] for w in distinct], pa.string()).cast(pa.binary())).to_numpy(zero_copy_only=False)
             which = coded.indices.to_numpy()
             n = size[which]
             first = np.cumsum(n) - n
