@@ -61,8 +61,12 @@ class Pieces:
         #: what a piece stands for, the mark as a space
         self.spells = pa.array([bytes([b]) if b >= 0 else p.replace(MARK, " ").encode() for p, b in zip(self.text, self.byte)], pa.binary())
 
-    def encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each marked word (its mark in front), as 32-bit integers; shares forward scores along the sorted list."""
+    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
+        """Ids of each marked word (its mark in front)."""
+        return {w: np.frombuffer(ids, np.int32) for w, ids in self.packed(words).items()}
+
+    def packed(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of ``encode_words`` as bytes; shares forward scores along the sorted list."""
         out: dict[str, bytes] = {}
         best, back, piece = [0.0], [0], [0]  # the score of the best way to each place; where it comes from, by which piece
         before, byte_score, last = self.before, self.byte_score, ""
@@ -144,7 +148,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             parts = pc.split_pattern(text, " ")
             coded = parts.flatten().dictionary_encode()
             distinct = [MARK + w for w in coded.dictionary.to_pylist()]
-            known.update(pieces.encode_words([w for w in distinct if w not in known]))
+            known.update(pieces.packed([w for w in distinct if w not in known]))
             # each distinct word is encoded, and its round trip checked, once; a text is its words' pieces, one after the other
             spelled = [known[w] for w in distinct]
             size = np.array([len(x) for x in spelled], np.int64) // 4
