@@ -211,7 +211,7 @@ def crosstab_tables(cfg: C.RunConfig, adult: str, denom: str) -> list[Table]:
             tables.append(Table(tid, f"{v} for {cohort} in {cfg.year}", (v,), where))
             for p in partners.get(v, []):
                 tid += 1
-                label = ", ".join(p)
+                label = (", " if cfg.aki_current in p else ",").join(p)
                 tables.append(Table(tid, f"{v} and {label} crosstab for {cohort} in {cfg.year}",
                                     (v, *p), where))
     return tables

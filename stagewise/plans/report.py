@@ -50,7 +50,8 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
     if cfg.diagnostics:
         sections.update({
             "crosstab_battery": lambda: frequency.crosstab_battery(run.final_flags, cfg, base=cube()),
-            "monthly_counts": lambda: frequency.monthly_counts(run.final_flags),
+            "monthly_counts": lambda: frequency.monthly_counts(run.final_flags).select(
+                F.lit(f"Monthly counts of claims and labs in {cfg.year}").alias("title"), "*"),
             "cost_battery": lambda: run.cost_battery,
         })
     return sections
