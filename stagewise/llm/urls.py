@@ -21,7 +21,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 MOST_RULES = 1000
 
-_CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
+#: ``rel`` is a list of tokens; a comment that nothing closes goes to the end.
+_CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?=[\s/>]))[^>]*>"""
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 _REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _HREF = r"""(?i)\bhref\s*=\s*["']?([^"'>\s]+)"""
 _URL = r"""(?i)\burl\s*=\s*["']?([^"'>\s]+)"""
@@ -36,8 +38,9 @@ def path(url: Column) -> Column:
 
 
 def node(url: Column) -> Column:
-    """A url's place in the graph: host, path and query, whatever its scheme and fragment."""
-    return F.xxhash64(host(url), path(url), F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1))
+    """A url's place in the graph: host, path (an empty one is ``/``) and query, whatever its scheme and fragment."""
+    whole = F.when(path(url) == "", F.lit("/")).otherwise(path(url))
+    return F.xxhash64(host(url), whole, F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1))
 
 
 def rule(h: Column, p: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -74,7 +77,8 @@ def resolve(url: Column, link: Column) -> Column:
 
 
 def targets(url: Column, html: Column) -> Column:
-    """The canonical and the refresh target in a page, as absolute urls; an empty array if there is none."""
+    """The canonical and the refresh target in a page, comments aside, as absolute urls; an empty array if there is none."""
+    html = F.regexp_replace(html, _COMMENT, "")
     links = [F.replace(F.nullif(F.regexp_extract(F.regexp_extract(html, tag, 0), at, 1), F.lit("")), F.lit("&amp;"), F.lit("&")) for tag, at in ((_CANONICAL, _HREF), (_REFRESH, _URL))]
     return F.array_compact(F.array(*(resolve(url, link) for link in links)))
 

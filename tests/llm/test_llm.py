@@ -571,3 +571,13 @@ def test_pipeline_loses_no_document_of_a_repeated_id(spark, texts):
     kept = corpus_pipeline.drop_near_duplicates(spark, frame(spark, [(5, a), (5, b), (9, c)]), "")
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(5, a), (5, b), (9, c)])
     assert kept.columns == frame(spark, []).columns
+
+
+def test_links_as_a_browser_reads_them(spark):
+    """An empty path is the root, rel is a list of tokens, and comments hold no links."""
+    block = "http://x.com/de/1"
+    rows = [(1, "http://h.net", None), (2, "http://a.net/", '<link rel="canonical" href="http://h.net/">'), (3, "http://h.net/", f'<link rel="nofollow canonical" href="{block}">'), (4, block, None),
+            (5, "http://c.net/", f'<!-- <link rel="canonical" href="{block}"> --><p>'), (6, "http://d.net/", f'<!-- open <link rel=canonical href="{block}">'), (7, "http://e.net/", f"<link rel=canonical href={block}>"),
+            (8, "http://f.net/", f'<link rel="noncanonical x-canonical-y" href="{block}">'), (9, "http://g.net/", f"<!--x--><LINK REL='Canonical next' HREF='{block}'><!-- y -->")]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block", 8: "allow", 9: "block"}
