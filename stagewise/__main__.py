@@ -31,6 +31,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--no-diagnostics", action="store_true", help="skip crosstab/monthly/cost sections")
     ap.add_argument("--fix-quirks", action="store_true", help="repair the switchable source quirks")
     ap.add_argument("--text", default=None, help="also render the report tables as titled text here")
+    ap.add_argument("--text-dataset", action="store_true", help="write the titled tables as one text dataset under --out")
+    ap.add_argument("--resume", default=None, metavar="RUN", help="name of the run: started again, it reads what it had finished")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("stagewise").getOrCreate()
@@ -38,11 +40,11 @@ def main(argv: list[str] | None = None) -> int:
                     fix_quirks=args.fix_quirks)
     inputs = (TableInputs(spark, args.warehouse) if args.warehouse
               else DriverFixtures(spark, args.fixtures, analysis_year=args.year))
-    paths = write_report(inputs, cfg, args.out)
+    paths = write_report(inputs, cfg, args.out, resume=args.resume, text=args.text_dataset, spark=spark)
     for name, path in paths.items():
         print(f"{name}\t{path}")
     if args.text:
-        tables = {name: spark.read.parquet(path) for name, path in paths.items()}
+        tables = {name: spark.read.parquet(path) for name, path in paths.items() if name != "text"}
         with open(args.text, "w") as f:
             f.write(render_text(tables))
     return 0

@@ -42,7 +42,7 @@ def latest_dx(dx: DataFrame) -> DataFrame:
                                   F.col("latest_num").alias("dx_num")))
 
 
-def refine_all(dx: DataFrame) -> DataFrame:
+def refine_all(dx: DataFrame, audit: bool = False) -> DataFrame:
     """One aggregation per member giving the latest diagnosis and, when that is
     unspecified stage 3, the most recent specific stage 3 (value *and* date).
 
@@ -54,13 +54,18 @@ def refine_all(dx: DataFrame) -> DataFrame:
 
     Output: member_id, dx_num, from_date, unspecified (latest was unspecified 3),
     refined (a specific stage 3 replaced it), latest_num, latest_date (before
-    refinement).
+    refinement).  ``audit`` adds parsed_date, the plain maximum of the parsed
+    dates, and a row with NULLs for each member without a dated diagnosis, for
+    the parity check.
     """
-    key_ok = F.col("member_id").isNotNull() & F.col("from_date").isNotNull()
+    key_ok = F.col("member_id").isNotNull()
+    if not audit:
+        key_ok = key_ok & F.col("from_date").isNotNull()
     k = date_code_key(F.col("from_date"), F.col("dx_num"))
     agg = (dx.where(key_ok).groupBy("member_id")
              .agg(F.max(k).alias("_l"),
-                  F.max(F.when(F.col("dx_num").isin(*DX_SPECIFIC_3), k)).alias("_s")))
+                  F.max(F.when(F.col("dx_num").isin(*DX_SPECIFIC_3), k)).alias("_s"),
+                  *([F.max("from_date").alias("parsed_date")] if audit else [])))
     num_type = "decimal(38,0)"
     l_num, l_date = key_code(F.col("_l")).cast(num_type), key_date(F.col("_l"))
     s_num, s_date = key_code(F.col("_s")).cast(num_type), key_date(F.col("_s"))
@@ -73,7 +78,8 @@ def refine_all(dx: DataFrame) -> DataFrame:
         unspec.alias("unspecified"),
         use_spec.alias("refined"),
         l_num.alias("latest_num"),
-        l_date.alias("latest_date"))
+        l_date.alias("latest_date"),
+        *(["parsed_date"] if audit else []))
 
 
 def refine_unspecified(dx: DataFrame) -> DataFrame:

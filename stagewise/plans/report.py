@@ -14,13 +14,15 @@ import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..operators import frequency, members, quality
 from ..sources.catalog import Inputs
+from ..sources.named import NamedTables
 from .staging_run import StagingRun
+from .textreport import write_text
 
 
 def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
@@ -34,7 +36,7 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
 
     def cube() -> DataFrame:
         if "cube" not in shared:
-            shared["cube"] = run._keep(frequency.report_cuboid(run.final_flags, cfg))
+            shared["cube"] = run._keep("report_cuboid", lambda: frequency.report_cuboid(run.final_flags, cfg))
         return shared["cube"]
 
     sections: dict[str, Callable[[], DataFrame]] = {
@@ -44,8 +46,8 @@ def report_sections(run: StagingRun) -> dict[str, Callable[[], DataFrame]]:
         "qa_frequencies": lambda: frequency.qa_frequencies(run.labs_normalised, run.latest_lab,
                                                            run.final_flags, cfg, base=cube()),
         "qa_both_sources_sample": lambda: quality.qa_both_sources_sample(run.final_flags),
-        "dx_parity": lambda: quality.dx_parity(run.dx_bag, run.dx_final),
-        "data_quality": lambda: quality.data_quality(run.inputs, cfg),
+        "dx_parity": lambda: run.dx_parity,
+        "data_quality": lambda: quality.data_quality(run.inputs, cfg, run.lab_parse_failures),
     }
     if cfg.diagnostics:
         sections.update({
@@ -61,9 +63,14 @@ def report_path(root: str, cfg: RunConfig, run_date: dt.date | None = None) -> s
     return f"{root.rstrip('/')}/year={cfg.year}/run_date={(run_date or dt.date.today()).isoformat()}"
 
 
+#: The sections of the titled text, in its order; the others are checks beside it.
+TEXT_SECTIONS = ("flag_minus_esrd_count", "stage_frequencies", "crosstab_battery", "monthly_counts", "cost_battery")
+
+
 def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date | None = None,
                  materialize_mode: str = "checkpoint", fmt: str = "parquet",
-                 concurrency: int = 4) -> dict[str, str]:
+                 concurrency: int = 4, resume: str | None = None, text: bool = False,
+                 spark: SparkSession | None = None) -> dict[str, str]:
     """Build the run, write every section, return section -> path.
 
     The refinement parity check is enforced and the shared member-level frames
@@ -71,29 +78,47 @@ def write_report(inputs: Inputs, cfg: RunConfig, root: str, run_date: dt.date |
     ``concurrency`` of them are submitted as concurrent Spark jobs (the
     scheduler interleaves their tasks).  Writes use overwrite mode, so a re-run
     after a failure replaces partial output.
+
+    ``resume`` names the run: its shared frames and its sections are then named
+    tables under the report's folder (Parquet), committed one by one, and a run
+    started again with the same name, settings and folder reads what it had
+    finished.  Inputs that changed need another name.
+
+    ``text`` also writes the titled tables as one text dataset (section ``text``).
     """
-    run = StagingRun(inputs, cfg, materialize_mode=materialize_mode)
-    run.member_stage, run.latest_dx, run.dx_final      # build the lazy graph on this thread
-    with ThreadPoolExecutor(max_workers=2) as pool:    # parity check || final_flags lineage cut
-        checks = [pool.submit(quality.assert_dx_parity, run.dx_bag, run.dx_final),
-                  pool.submit(lambda: run.final_flags)]
-        for f in checks:
-            f.result()
     base = report_path(root, cfg, run_date)
+    if resume is not None and fmt != "parquet":
+        raise ValueError("named tables are Parquet")
+    spark = spark or SparkSession.active()
+    tables = NamedTables(spark, f"{base}/tables", f"{resume} {cfg}") if resume is not None else None
+    run = StagingRun(inputs, cfg, materialize_mode=materialize_mode, tables=tables)
+    if tables is not None:
+        quality.assert_parity(run.dx_parity)
+    else:
+        run.member_stage, run.latest_dx, run.dx_final      # build the lazy graph on this thread
+        with ThreadPoolExecutor(max_workers=2) as pool:    # parity check || final_flags lineage cut
+            checks = [pool.submit(quality.assert_parity, run.dx_parity), pool.submit(lambda: run.final_flags)]
+            for f in checks:
+                f.result()
     sections = report_sections(run)
-    frames = {name: build() for name, build in sections.items()}
 
     def write(name: str) -> tuple[str, str]:
+        if tables is not None:
+            tables.frame(name, lambda: frames[name])
+            return name, tables.path(name)
         path = f"{base}/{name}"
         frames[name].write.mode("overwrite").format(fmt).save(path)
         return name, path
 
     try:
-        if concurrency <= 1:
-            return dict(write(n) for n in frames)
-        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        frames = {name: build() for name, build in sections.items()}
+        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
             done = dict(pool.map(write, frames))
-        return {n: done[n] for n in frames}
+        paths = {n: done[n] for n in frames}
+        if text:
+            titled = {n: spark.read.format(fmt).load(paths[n]) for n in TEXT_SECTIONS if n in paths}
+            paths["text"] = write_text(titled, f"{base}/text")
+        return paths
     finally:
         run.release()
 

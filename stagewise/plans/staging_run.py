@@ -6,20 +6,24 @@ several reports re-read (the member-level ``final_flags``) are cut from their
 lineage once via :func:`materialize` when the run is built with
 ``materialize="checkpoint"`` (the default for full runs); member-grain
 intermediates read by more than one section are persisted.  Query-by-query use
-keeps everything lazy (``"none"``).
+keeps everything lazy (``"none"``).  With ``tables`` the shared frames are named
+tables instead, each written and committed once a run, so that a run started
+again goes on behind the last one it finished.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import RunConfig
-from ..operators import costs, diagnoses, labs, members, staging
+from ..operators import costs, diagnoses, labs, members, quality, staging
 from ..session import materialize
 from ..sources.catalog import Inputs
+from ..sources.named import NamedTables
 
 
 class StagingRun:
@@ -32,21 +36,25 @@ class StagingRun:
     claim_prep, member_cost(...), cost_by_stage(...), cost_battery   cost side
     """
 
-    def __init__(self, inputs: Inputs, cfg: RunConfig | None = None, materialize_mode: str = "none"):
+    def __init__(self, inputs: Inputs, cfg: RunConfig | None = None, materialize_mode: str = "none",
+                 tables: NamedTables | None = None):
         self.inputs = inputs
         self.cfg = cfg or RunConfig()
         self.mode = materialize_mode
+        self.tables = tables
         self._cached: list[DataFrame] = []
 
     def _t(self, name: str, year: int | None = None) -> DataFrame:
         return self.inputs.table(name, year)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Member-grain intermediates re-read by several sections: cached (lost
-        blocks are recomputed from lineage) when the run materialises."""
+    def _keep(self, name: str, build: Callable[[], DataFrame], watch: Observation | None = None) -> DataFrame:
+        """Member-grain intermediates re-read by several sections: named tables, or
+        cached (lost blocks are recomputed from lineage) when the run materialises."""
+        if self.tables is not None:
+            return self.tables.frame(name, build, watch)
         if self.mode == "none":
-            return df
-        kept = materialize(df, "persist")
+            return build()
+        kept = materialize(build(), "persist")
         self._cached.append(kept)
         return kept
 
@@ -63,7 +71,20 @@ class StagingRun:
 
     @cached_property
     def lab_summary(self) -> DataFrame:
-        return self._keep(labs.lab_summary(self.labs_normalised, self.cfg))
+        if self.tables is None:
+            return self._keep("lab_summary", lambda: labs.lab_summary(self.labs_normalised, self.cfg))
+        # texts that do not parse are counted in the pass that summarises the labs
+        watch = Observation("lab_parse_failures")
+        return self._keep("lab_summary", lambda: labs.lab_summary(
+            labs.normalise_labs(quality.watched_labs(self._t("labs"), self.cfg, watch), self.cfg), self.cfg), watch)
+
+    @property
+    def lab_parse_failures(self) -> dict | None:
+        """The unparseable texts counted while the lab summary was written; None in a run without named tables."""
+        if self.tables is None:
+            return None
+        self.lab_summary
+        return self.tables.metrics("lab_summary")
 
     @cached_property
     def lab_flags(self) -> DataFrame:
@@ -102,14 +123,26 @@ class StagingRun:
         return self.dx_refined.select("member_id", F.col("latest_date").alias("from_date"),
                                       F.col("latest_num").alias("dx_num"))
 
+    @cached_property
+    def dx_audit(self) -> DataFrame:
+        """The refinement with each member's latest date as parsed: one read of the diagnoses gives
+        both the refined rows and the parity check."""
+        return self._keep("dx_audit", lambda: diagnoses.refine_all(self.dx_bag, audit=True))
+
     @cached_property
     def dx_refined(self) -> DataFrame:
-        return self._keep(diagnoses.refine_all(self.dx_bag))
+        if self.tables is None and self.mode == "none":
+            return diagnoses.refine_all(self.dx_bag)
+        return self.dx_audit.where(F.col("from_date").isNotNull()).drop("parsed_date")
 
     @cached_property
     def dx_final(self) -> DataFrame:
         return self.dx_refined.select("member_id", "dx_num", "from_date")
 
+    @cached_property
+    def dx_parity(self) -> DataFrame:
+        return quality.dx_parity_of(self.dx_audit)
+
     # -- stage -------------------------------------------------------------
     @cached_property
     def member_stage(self) -> DataFrame:
@@ -117,6 +150,8 @@ class StagingRun:
 
     @cached_property
     def final_flags(self) -> DataFrame:
+        if self.tables is not None:
+            return self.tables.frame("final_flags", lambda: staging.final_flags(self.member_stage, self.cfg))
         return materialize(staging.final_flags(self.member_stage, self.cfg), self.mode)
 
     # -- cost ----------------------------------------------------------------

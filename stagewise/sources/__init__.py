@@ -3,8 +3,9 @@
 from .bucketed import write_bucketed
 from .catalog import CatalogInputs, FrameInputs, Inputs, TableInputs, conform
 from .fixtures import DriverFixtures
+from .named import NamedTables
 from .schemas import LOGICAL
 from .values import values_table
 
 __all__ = ["Inputs", "TableInputs", "CatalogInputs", "FrameInputs", "DriverFixtures", "conform",
-           "LOGICAL", "values_table", "write_bucketed"]
+           "LOGICAL", "NamedTables", "values_table", "write_bucketed"]
