@@ -16,9 +16,13 @@ The model is fitted on all training documents.  Classes come from neighbour
 counts of all ids.  In each of ``ROUNDS`` rounds every task runs Adam over its
 windows from the shared parameters, and their weighted means, of fixed size,
 are the next round's; small inputs are gone over until ``STEPS`` batches are
-seen.  So fitted parameters depend a little on how the table is split.  A
-token's probability is the even mixture of the attention's and its corpus
-frequency.
+seen.  So fitted parameters depend a little on how the table is split.
+
+A word's attention probability is that of its subwords given that a word
+begins, times that of a beginning behind them, so those of all words add up to
+one.  A token's probability is the even mixture of it and the corpus: seen
+words have their smoothed frequency there, and the one unseen share, 0.1 of the
+smoothed total, is dealt among unseen words by their attention probability.
 """
 
 from __future__ import annotations
@@ -62,6 +66,8 @@ class Subwords:
         import tiktoken
         self.end = max(ranks.values()) + 1
         self.size = self.end + 1
+        self.begins = np.zeros(self.size, bool)  # the ids that begin a word, and the end
+        self.begins[[i for b, i in ranks.items() if b[:1] == b" "] + [self.end]] = True
         self.encode = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def ids(self, word: bytes) -> list[int]:
@@ -93,6 +99,7 @@ class Model:
                   "w2": r(2 * width, width) * np.float32(0.5), "wc": r(width, n), "bc": np.zeros(n, np.float32)}
         self.mask = np.triu(np.full((window, window), -1e9, np.float32), 1)
         self.within: np.ndarray | None = None  # log probability of each id in its class
+        self.begin_share: np.ndarray | None = None  # of each class, the probability that its id begins a word
 
     def forward(self, rows: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Class log probabilities (B, T, C) of the ids that follow the ids in the embedding ``rows`` (B, T)."""
@@ -113,8 +120,12 @@ class Model:
         logits -= np.log(np.exp(logits).sum(2, keepdims=True))
         return logits, (rows, x, q, k, v, a, z, u, o)
 
-    def class_logs(self, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        """Log probability (B, T) of the classes ``cls`` after the ids in ``rows``: ``forward`` with fewer passes over the arrays."""
+    def begin_with(self, begins: np.ndarray) -> None:
+        """Note which ids begin a word."""
+        self.begin_share = np.bincount(self.classes, np.exp(self.within.astype(np.float64)) * begins, int(self.classes.max()) + 1).astype(np.float32)
+
+    def class_logs(self, rows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities (B, T) of the classes ``cls`` after the ids in ``rows``, and that a word begins there: ``forward`` with fewer passes over the arrays."""
         p, t = self.p, rows.shape[1]
         x = p["embed"][rows]
         x += p["place"][:t]
@@ -134,7 +145,9 @@ class Model:
         np.minimum(logits, np.float32(80), out=logits)
         chosen = np.take_along_axis(logits, cls[:, :, None], 2)[:, :, 0]
         np.exp(logits, out=logits)
-        return chosen - np.log(logits.sum(2))
+        total = np.log(logits.sum(2))
+        begin = np.zeros_like(total) if self.begin_share is None else np.log(logits @ self.begin_share) - total
+        return chosen - total, begin
 
     def gradients(self, rows: np.ndarray, target: np.ndarray, inside: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross entropy of the target classes, of those ``inside`` if given, and its gradients."""
@@ -175,8 +188,8 @@ class Model:
             self.p[k] -= np.float32(lr) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + np.float32(1e-6))
         return loss
 
-    def log_probabilities(self, ids: np.ndarray, starts: np.ndarray, window: int = WINDOW, overlap: int = OVERLAP, batch: int = 512) -> np.ndarray:
-        """Natural log probability of each id; ``starts`` are the texts' first places in ``ids``.
+    def log_probabilities(self, ids: np.ndarray, starts: np.ndarray, window: int = WINDOW, overlap: int = OVERLAP, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+        """Natural log probability of each id, and of a word beginning at its place; ``starts`` are the texts' first places in ``ids``.
 
         A text's first window scores all its ids; each later one starts
         ``window - overlap`` further on and scores what is new.
@@ -191,17 +204,18 @@ class Model:
         rows = self.row[ids]
         none = len(self.p["embed"]) - 1  # the place before a text
         cls = self.classes[ids]
-        out = self.within[ids].astype(np.float64)
+        out, begins = self.within[ids].astype(np.float64), np.zeros(n)
         lane = np.arange(window)
         for b in range(0, len(first), batch):
             f, s, e = (x[b:b + batch, None] for x in (first, begin, end))
             at = f + lane
             inside = at < e
             before = np.where(at > s, rows[np.clip(at - 1, 0, n - 1)], none)
-            logs = self.class_logs(before, cls[np.minimum(at, n - 1)])
+            logs, starting = self.class_logs(before, cls[np.minimum(at, n - 1)])
             new = inside & ((lane >= overlap) | (f == s))
             out[at[new]] += logs[new]
-        return out
+            begins[at[new]] = starting[new]
+        return out, begins
 
 
 def projection(counts: np.ndarray, seed: int = SEED) -> np.ndarray:
@@ -464,20 +478,30 @@ def _score(batches, shared):
         n = lengths[flat]
         first = np.cumsum(n) - n
         ids = table[np.repeat((np.cumsum(lengths) - lengths)[flat] - first, n) + np.arange(n.sum())]
-        logs = np.add.reduceat(model.log_probabilities(ids, first[np.cumsum(sizes) - sizes]), first) / np.log(10)
+        logs = word_logs(model, ids, first, first[np.cumsum(sizes) - sizes], flat == 0) / np.log(10)
         c = np.array(counts, np.int64)[flat]
         frequent = c >= 0
         base = np.log10(c[frequent] + 0.1) - log_z
         in_doc = np.r_[0, np.cumsum(np.bincount(doc[~frequent], minlength=len(texts)))]
         rare = pa.StructArray.from_arrays([pa.array(np.array(hashes, np.int64)[flat[~frequent]]), pa.array(logs[~frequent].astype(np.float32))], ["key", "log"])
         yield pa.RecordBatch.from_arrays([doc_ids, pa.array(sizes), pa.array(np.bincount(doc[frequent], c[frequent] > 0, len(texts)).astype(np.int64)),
-                                          pa.array(np.bincount(doc[frequent], base, len(texts))), pa.array(np.bincount(doc[frequent], mixed(logs[frequent], base), len(texts))),
+                                          pa.array(np.bincount(doc[frequent], base, len(texts))), pa.array(np.bincount(doc[frequent], mixed(logs[frequent], base, c[frequent] > 0, log_z), len(texts))),
                                           pa.ListArray.from_arrays(pa.array(in_doc.astype(np.int32)), rare)], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare"])
 
 
-def mixed(attention: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """log10 of the model's probability: half the attention's, half the word's corpus frequency."""
-    return np.logaddexp2(attention * np.log2(10), base * np.log2(10)) / np.log2(10) + np.log10(0.5)
+def word_logs(model: Model, ids: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token, of all words and the end: ``first`` are the tokens' first places in ``ids``,
+    ``starts`` the texts', ``ends`` marks the tokens that end a text."""
+    logs, begins = model.log_probabilities(ids, starts)
+    out = np.add.reduceat(logs, first) - begins[first]
+    out[:-1] += np.where(ends[:-1], 0.0, begins[first[1:]])
+    return out
+
+
+def mixed(attention: np.ndarray, base: np.ndarray, known: np.ndarray, log_z: float) -> np.ndarray:
+    """log10 of the model's probability: half the attention's, half the corpus's, whose unseen share the unseen words have by the attention's."""
+    corpus = np.where(known, base, attention - 1 - log_z)
+    return np.logaddexp2(attention * np.log2(10), corpus * np.log2(10)) / np.log2(10) + np.log10(0.5)
 
 
 SCORED = "n_tokens long, n_known long, base double, score double, rare array<struct<key:long,log:float>>"
@@ -510,6 +534,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, steps: int = STEPS) ->
     for r in counts.where("kind = 1").toLocalIterator():  # as many as the vocabulary has at most
         ids[r["key"]] = r["n"]
     model, _ = train(learned.select("text"), shared_ranks, ids, steps)
+    model.begin_with(subwords(ranks).begins)
     shared = spark.sparkContext.broadcast((ranks, head, log_z, model))
 
     scored = rows.select("doc_id", "text").mapInArrow(lambda bs: _score(bs, shared), plus(rows.select("doc_id").schema, SCORED))
@@ -518,7 +543,8 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, steps: int = STEPS) ->
     rare = rare.join(by_word.select("key", "n"), "key", "left")
     c = F.coalesce("n", F.lit(0))
     base = F.log10(c + 0.1) - log_z
-    mix = F.log10(0.5 * F.pow(F.lit(10.0), F.col("log")) + 0.5 * F.pow(F.lit(10.0), base))
+    unseen = F.col("log") + float(np.log10(0.5 * (1 + 10 ** (-1 - log_z))))
+    mix = F.when(c > 0, F.log10(0.5 * F.pow(F.lit(10.0), F.col("log")) + 0.5 * F.pow(F.lit(10.0), base))).otherwise(unseen)
     rare = rare.groupBy("row").agg(F.sum(base).alias("more_base"), F.sum(mix).alias("more"), F.count_if(c > 0).alias("known"))
     out = scored.drop("rare").join(rare, "row", "left")
     return out.select("doc_id", (crc_mod("doc_id", FOLDS) == 0).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
