@@ -9,7 +9,8 @@ anywhere else, in the same text or another.
    minimizer occurs once needs no sorting.  Consecutive windows with one
    minimizer form a segment.  Counting buckets and segments is partially
    aggregated, so copies never meet row by row.
-2. Segments that occur twice or more are settled whole.
+2. Segments that occur twice or more are settled whole.  Their identities, and
+those of the texts, are 128 bits long: at 10^12 segments none clash.
 3. What is left, segments that share a bucket but differ, is sorted: a task
    takes one bucket after the other, in blocks of bounded size.  Suffixes of a
    block compare by bucket, offset and first eight bytes; long ties are
@@ -84,12 +85,12 @@ class Hashes:
 
 
 def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, only_buckets: bool = False) -> tuple[np.ndarray, ...]:
-    """Segments of texts laid end to end: (bucket, content hash, first window, last window, minimizer's place).
+    """Segments of texts laid end to end: (bucket, content's two hashes, first window, last window, minimizer's place).
 
     ``ends`` are the texts' ends.  Windows of one segment are consecutive, lie
     in one text and share their minimizer.
     """
-    none = (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 3
+    none = (np.zeros(0, np.uint64), np.zeros((2, 0), np.uint64)) + (np.zeros(0, np.int64),) * 3
     if len(data) < length:
         return none
     span = length - GRAM + 1  # GRAM-byte strings in a window
@@ -123,9 +124,9 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, only_buck
     p = at[lo]
     if only_buckets:
         return grams[p], *none[1:]
-    content = Hashes(data, 1).of(lo, hi + length)
     # where the minimizer lies in the segment belongs to its identity
-    content = mix(content ^ (grams[p] * np.uint64(3)) ^ ((p - lo).astype(np.uint64) << np.uint64(32)) ^ (hi - lo).astype(np.uint64))
+    place = (grams[p] * np.uint64(3)) ^ ((p - lo).astype(np.uint64) << np.uint64(32)) ^ (hi - lo).astype(np.uint64)
+    content = np.stack([mix(h.of(lo, hi + length) ^ place) for h in (Hashes(data, 1), first)])
     return grams[p], content, lo, hi, p
 
 
@@ -154,7 +155,7 @@ def signed(x: np.ndarray) -> pa.Array:
 
 def _rows(batches, length, only_buckets=False):
     for b in batches:
-        rid, texts = b.column(0).to_numpy(), [t or b"" for t in b.column(1).to_pylist()]
+        rid, sid, texts = b.column(0).to_numpy(), b.column(1).to_numpy(), [t or b"" for t in b.column(2).to_pylist()]
         for which, offset, some in pieces(texts, length):
             data = np.frombuffer(b"".join(some), np.uint8)
             ends = np.cumsum([len(t) for t in some])
@@ -164,11 +165,12 @@ def _rows(batches, length, only_buckets=False):
                 continue
             doc = np.searchsorted(ends, lo, "right")
             base = np.r_[0, ends[:-1]][doc] - offset
-            yield pa.RecordBatch.from_arrays([signed(bucket), signed(content), pa.array(rid[np.array(which)[doc]]), pa.array((lo - base).astype(np.int32)),
-                                              pa.array((hi - base).astype(np.int32)), pa.array((p - base).astype(np.int32))], names=["bucket", "segment", "rid", "lo", "hi", "p"])
+            row = np.array(which)[doc]
+            yield pa.RecordBatch.from_arrays([signed(bucket), signed(content[0]), signed(content[1]), pa.array(rid[row]), pa.array(sid[row]), pa.array((lo - base).astype(np.int32)),
+                                              pa.array((hi - base).astype(np.int32)), pa.array((p - base).astype(np.int32))], names=["bucket", "segment", "also", "rid", "sid", "lo", "hi", "p"])
 
 
-ROWS = "bucket long, segment long, rid long, lo int, hi int, p int"
+ROWS = "bucket long, segment long, also long, rid long, sid long, lo int, hi int, p int"
 
 
 def cover_ranks(data: np.ndarray, depth: int) -> np.ndarray:
@@ -236,11 +238,11 @@ def runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
-SPANS = "rid long, s int, e int"
+SPANS = "rid long, sid long, s int, e int"
 
 
-def _span_batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in spans], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], names=["rid", "s", "e"])
+def _span_batch(spans: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in spans], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["rid", "sid", "s", "e"])
 
 
 def _sorted_blocks(batches, length):
@@ -250,11 +252,11 @@ def _sorted_blocks(batches, length):
 
     def done(rows):
         bucket = np.array([r[0] for r in rows])
-        hits = repeated_windows(bucket, np.array([r[3] for r in rows]), [r[5] for r in rows], np.array([r[4] for r in rows]), length)
+        hits = repeated_windows(bucket, np.array([r[4] for r in rows]), [r[6] for r in rows], np.array([r[5] for r in rows]), length)
         spans = []
         for r, hit in zip(rows, hits):
             for s, e in zip(*runs(hit)):
-                spans.append((r[1], r[2] + int(s), r[2] + int(e) + length))
+                spans.append((r[1], r[2], r[3] + int(s), r[3] + int(e) + length))
         return _span_batch(spans)
 
     for b in batches:
@@ -263,17 +265,17 @@ def _sorted_blocks(batches, length):
                 yield done(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[5])
+            size += len(row[6])
     if held:
         yield done(held)
 
 
 def _window_hashes(batches, length):
     for b in batches:
-        for _, rid, lo, shift, n, text in zip(*(c.to_pylist() for c in b.columns)):
+        for _, rid, sid, lo, shift, n, text in zip(*(c.to_pylist() for c in b.columns)):
             data = np.frombuffer(text, np.uint8)
             h = [Hashes(data, k).all(length)[:n] for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([signed(h[0]), signed(h[1]), pa.array(np.full(n, rid)), pa.array((lo + np.arange(n)).astype(np.int32))], names=["h", "g", "rid", "lo"])
+            yield pa.RecordBatch.from_arrays([signed(h[0]), signed(h[1]), pa.array(np.full(n, rid)), pa.array(np.full(n, sid)), pa.array((lo + np.arange(n)).astype(np.int32))], names=["h", "g", "rid", "sid", "lo"])
 
 
 MEMBER = "struct<bucket:long,lo:int,shift:int,n:int,kinds:long,bytes:binary>"
@@ -282,9 +284,9 @@ MEMBER = "struct<bucket:long,lo:int,shift:int,n:int,kinds:long,bytes:binary>"
 def _settle(batches, length):
     """Per text: the spans of settled segments, and the bytes of those still to be sorted."""
     for b in batches:
-        ids, rids, texts, found = (b.column(i).to_pylist() for i in range(4))
+        ids, rids, sids, texts, found = (b.column(i).to_pylist() for i in range(5))
         rows = []
-        for doc_id, rid, text, segs in zip(ids, rids, texts, found):
+        for doc_id, rid, sid, text, segs in zip(ids, rids, sids, texts, found):
             text = text or b""
             spans, left, open_ = [], [], False
             for g in segs or ():
@@ -293,15 +295,15 @@ def _settle(batches, length):
                 if g["wanted"]:
                     open_ |= g["n"] == 1
                     left.append({"bucket": g["bucket"], "lo": g["lo"], "shift": g["p"] - g["lo"], "n": g["hi"] - g["lo"] + 1, "kinds": g["kinds"], "bytes": text[g["lo"]:g["hi"] + length]})
-            rows.append((doc_id, rid, spans, left, text if open_ else None, *(_removed(text, [(x["s"], x["e"]) for x in spans]) if not open_ else (None,) * 4)))
+            rows.append((doc_id, rid, sid, spans, left, text if open_ else None, *(_removed(text, [(x["s"], x["e"]) for x in spans]) if not open_ else (None,) * 4)))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_SETTLED)], names=_SETTLED_NAMES)
 
 
-_SETTLED_NAMES = ["doc_id", "rid", "spans", "members", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-_SETTLED = [pa.int64(), pa.int64(), pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])),
+_SETTLED_NAMES = ["doc_id", "rid", "sid", "spans", "members", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+_SETTLED = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])),
             pa.list_(pa.struct([("bucket", pa.int64()), ("lo", pa.int32()), ("shift", pa.int32()), ("n", pa.int32()), ("kinds", pa.int64()), ("bytes", pa.binary())])),
             pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-SETTLED = f"doc_id long, rid long, spans array<struct<s:int,e:int>>, members array<{MEMBER}>, text binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+SETTLED = f"doc_id long, rid long, sid long, spans array<struct<s:int,e:int>>, members array<{MEMBER}>, text binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -339,31 +341,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     gives no rows; other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), "text")
-    counted = texts.select("rid", "text").mapInArrow(lambda bs: _rows(bs, length, only_buckets=True), "bucket long")
+    texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), F.xxhash64(F.lit("also"), "text", "doc_id").alias("sid"), "text")
+    counted = texts.select("rid", "sid", "text").mapInArrow(lambda bs: _rows(bs, length, only_buckets=True), "bucket long")
     shared = cut(counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket"), "buckets")
-    found = texts.select("rid", "text").mapInArrow(lambda bs: _rows(bs, length), ROWS)
+    found = texts.select("rid", "sid", "text").mapInArrow(lambda bs: _rows(bs, length), ROWS)
     found = cut(found.join(shared, "bucket"), "shared-segments")
 
-    kinds = cut(found.groupBy("segment").agg(F.min("bucket").alias("bucket"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "lo")).alias("first")), "segment-kinds")
+    kinds = cut(found.groupBy("segment", "also").agg(F.min("bucket").alias("bucket"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "sid", "lo")).alias("first")), "segment-kinds")
     per_bucket = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = attach(kinds, per_bucket, "bucket", "kinds", max(kinds.count(), 1), ["kinds"]).select("segment", "copies", "kinds", "first")
-    marked = found.join(kinds, "segment")  # rows of one segment are few beside all segments; a hot one is split by the adaptive skew join
-    wanted = (F.col("kinds") > 1) & ((F.col("copies") == 1) | (F.col("first") == F.struct("rid", "lo")))
-    per_text = marked.groupBy("rid").agg(F.collect_set(F.struct("bucket", "lo", "hi", "p", F.col("copies").alias("n"), "kinds", wanted.alias("wanted"))).alias("found"))
+    kinds = attach(kinds, per_bucket, "bucket", "kinds", max(kinds.count(), 1), ["kinds"]).select("segment", "also", "copies", "kinds", "first")
+    marked = found.join(kinds, ["segment", "also"])  # rows of one segment are few beside all segments; a hot one is split by the adaptive skew join
+    wanted = (F.col("kinds") > 1) & ((F.col("copies") == 1) | (F.col("first") == F.struct("rid", "sid", "lo")))
+    per_text = marked.groupBy("rid", "sid").agg(F.collect_set(F.struct("bucket", "lo", "hi", "p", F.col("copies").alias("n"), "kinds", wanted.alias("wanted"))).alias("found"))
 
-    settled = texts.join(per_text, "rid", "left").select("doc_id", "rid", "text", "found")
+    settled = texts.join(per_text, ["rid", "sid"], "left").select("doc_id", "rid", "sid", "text", "found")
     settled = cut(settled.mapInArrow(lambda bs: _settle(bs, length), SETTLED), "settled")
-    members = settled.select("rid", F.explode("members").alias("m")).select("m.bucket", "rid", "m.lo", "m.shift", "m.n", "m.bytes", "m.kinds")
+    members = settled.select("rid", "sid", F.explode("members").alias("m")).select("m.bucket", "rid", "sid", "m.lo", "m.shift", "m.n", "m.bytes", "m.kinds")
     small = members.where(F.col("kinds") <= LARGE).drop("kinds").repartition("bucket").sortWithinPartitions("bucket")
     spans = small.mapInArrow(lambda bs: _sorted_blocks(bs, length), SPANS)
-    windows = members.where(F.col("kinds") > LARGE).drop("kinds").mapInArrow(lambda bs: _window_hashes(bs, length), "h long, g long, rid long, lo int")
-    windows = cut(windows.select(F.struct("h", "g").alias("w"), "rid", "lo"), "windows")
+    windows = members.where(F.col("kinds") > LARGE).drop("kinds").mapInArrow(lambda bs: _window_hashes(bs, length), "h long, g long, rid long, sid long, lo int")
+    windows = cut(windows.select(F.struct("h", "g").alias("w"), "rid", "sid", "lo"), "windows")
     again = windows.groupBy("w").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     again = attach(windows, again, "w", "c", max(windows.count(), 1), ["c"]).where("c > 1")
-    spans = spans.unionByName(again.select("rid", F.col("lo").alias("s"), (F.col("lo") + length).alias("e")))
-    more = spans.groupBy("rid").agg(F.collect_set(F.struct("s", "e")).alias("more"))
-    rest = settled.where("text is not null").select("rid", "doc_id", "text", "spans").join(more, "rid", "left").select("doc_id", "text", "spans", "more")
+    spans = spans.unionByName(again.select("rid", "sid", F.col("lo").alias("s"), (F.col("lo") + length).alias("e")))
+    more = spans.groupBy("rid", "sid").agg(F.collect_set(F.struct("s", "e")).alias("more"))
+    rest = settled.where("text is not null").select("rid", "sid", "doc_id", "text", "spans").join(more, ["rid", "sid"], "left").select("doc_id", "text", "spans", "more")
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return settled.where("text is null").select(*names).unionByName(rest.mapInArrow(_finish, result))

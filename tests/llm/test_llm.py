@@ -154,6 +154,22 @@ def test_suffix(spark, texts, large, monkeypatch):
     assert sum(r["n_removed"] > 0 for r in got) > 20
 
 
+def test_suffix_identities_have_128_bits():
+    """Two segments whose first hash clashes stay two: each hash alone tells contents apart."""
+    rng = np.random.default_rng(4)
+    a, b = (rng.integers(0, 256, 400).astype(np.uint8) for _ in range(2))
+    data = np.concatenate([a, b, a])
+    _, content, lo, hi, _ = suffix.segments(data, np.array([400, 800, 1200]))
+    assert content.shape == (2, len(lo))
+    kinds = {}
+    for k, x, y in zip(zip(*content.tolist()), lo, hi):
+        kinds.setdefault(data[x:y + 200].tobytes(), set()).add(k)
+    assert all(len(v) == 1 for v in kinds.values()) and (lo < 400).sum() == (lo >= 800).sum()
+    for h in content:
+        assert len(set(h.tolist())) == len(kinds)
+    assert not set(content[0].tolist()) & set(content[1].tolist())
+
+
 def test_suffix_long_texts_in_pieces(monkeypatch):
     rng = random.Random(9)
     text = bytes(rng.choice(b"ab") for _ in range(900))
