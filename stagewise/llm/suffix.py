@@ -29,15 +29,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.llm.common import attach, cut
 
 LENGTH, GRAM = 200, 64
-PIECE = 1_000_000  # bytes hashed at once
-BLOCK = 1_000_000  # bytes of a block of suffix buckets
-LARGE = 4000  # segments of a bucket: about a block
+PIECE = 100_000  # bytes hashed at once: their hashes stay in a core's cache
+BLOCK = 100_000  # bytes of a block of suffix buckets; a bucket is never cut
+LARGE = 4000  # segments of a bucket: about a megabyte
 ROOT = 8
 MODULUS = ROOT * ROOT
 #: Every difference modulo MODULUS is that of a number below ROOT and a multiple of ROOT.
@@ -197,8 +198,8 @@ def cover_ranks(data: np.ndarray, depth: int) -> np.ndarray:
 NEXT_COVER = np.array([min((c - r) % MODULUS for c in COVER) for r in range(MODULUS)])
 
 
-def repeated_windows(bucket: np.ndarray, shift: np.ndarray, texts: list[bytes], counts: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """Of each segment of a block, which of its first ``counts`` windows occur in another segment of the block.
+def repeated_windows(bucket: np.ndarray, shift: np.ndarray, texts: list[bytes], counts: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Of each segment of a block, which of its first ``counts`` windows occur in another segment of the block; laid end to end.
 
     ``shift``: the minimizer's place in the segment.  Segments of a bucket are
     laid out with their minimizers at residue 0.
@@ -229,35 +230,34 @@ def repeated_windows(bucket: np.ndarray, shift: np.ndarray, texts: list[bytes],
     hit = np.zeros(len(start), bool)
     hit[a[tied]] = True
     hit[b[tied]] = True
-    return np.split(hit, np.cumsum(counts)[:-1])
+    return hit
 
 
-def runs(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last places of the runs of true values."""
-    edge = np.diff(np.r_[0, hit.astype(np.int8), 0])
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+def runs(hit: np.ndarray, which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last places of the runs of true values; a run ends where ``which`` changes."""
+    first, last = hit.copy(), hit.copy()
+    apart = ~hit[1:] | ~hit[:-1] | (False if which is None else which[1:] != which[:-1])
+    first[1:] &= apart
+    last[:-1] &= apart
+    return np.flatnonzero(first), np.flatnonzero(last)
 
 
 SPANS = "rid long, sid long, s int, e int"
 
 
-def _span_batch(spans: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in spans], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["rid", "sid", "s", "e"])
-
-
 def _sorted_blocks(batches, length):
     """Blocks of whole buckets from rows sorted by bucket: each is suffix-sorted by itself."""
     held: list[tuple] = []
     size = 0
 
     def done(rows):
-        bucket = np.array([r[0] for r in rows])
-        hits = repeated_windows(bucket, np.array([r[4] for r in rows]), [r[6] for r in rows], np.array([r[5] for r in rows]), length)
-        spans = []
-        for r, hit in zip(rows, hits):
-            for s, e in zip(*runs(hit)):
-                spans.append((r[1], r[2], r[3] + int(s), r[3] + int(e) + length))
-        return _span_batch(spans)
+        bucket, rid, sid, lo, shift, counts = (np.array([r[i] for r in rows], np.int64) for i in range(6))
+        hit = repeated_windows(bucket, shift, [r[6] for r in rows], counts, length)
+        which = np.repeat(np.arange(len(rows)), counts)
+        first, last = runs(hit, which)
+        at = which[first]
+        base = lo[at] - (np.cumsum(counts) - counts)[at]
+        return pa.RecordBatch.from_arrays([pa.array(rid[at]), pa.array(sid[at]), pa.array((base + first).astype(np.int32)), pa.array((base + last + length).astype(np.int32))], names=["rid", "sid", "s", "e"])
 
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns)):
@@ -281,55 +281,82 @@ def _window_hashes(batches, length):
 MEMBER = "struct<bucket:long,lo:int,shift:int,n:int,kinds:long,bytes:binary>"
 
 
+def _fields(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The structs in a column of lists, field by field, and the row that each is in."""
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), counts), [f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten()]
+
+
+def _lists(row: np.ndarray, n: int, fields: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    """The reverse of ``_fields`` for ``n`` rows; ``row`` is ascending."""
+    offsets = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(fields, fields=list(kind.value_type)))
+
+
+_SPAN_LIST = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+_MEMBERS = pa.list_(pa.struct([("bucket", pa.int64()), ("lo", pa.int32()), ("shift", pa.int32()), ("n", pa.int32()), ("kinds", pa.int64()), ("bytes", pa.binary())]))
+_RESULT = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
 def _settle(batches, length):
     """Per text: the spans of settled segments, and the bytes of those still to be sorted."""
     for b in batches:
-        ids, rids, sids, texts, found = (b.column(i).to_pylist() for i in range(5))
-        rows = []
-        for doc_id, rid, sid, text, segs in zip(ids, rids, sids, texts, found):
-            text = text or b""
-            spans, left, open_ = [], [], False
-            for g in segs or ():
-                if g["n"] > 1:
-                    spans.append({"s": g["lo"], "e": g["hi"] + length})
-                if g["wanted"]:
-                    open_ |= g["n"] == 1
-                    left.append({"bucket": g["bucket"], "lo": g["lo"], "shift": g["p"] - g["lo"], "n": g["hi"] - g["lo"] + 1, "kinds": g["kinds"], "bytes": text[g["lo"]:g["hi"] + length]})
-            rows.append((doc_id, rid, sid, spans, left, text if open_ else None, *(_removed(text, [(x["s"], x["e"]) for x in spans]) if not open_ else (None,) * 4)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_SETTLED)], names=_SETTLED_NAMES)
-
-
-_SETTLED_NAMES = ["doc_id", "rid", "sid", "spans", "members", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-_SETTLED = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])),
-            pa.list_(pa.struct([("bucket", pa.int64()), ("lo", pa.int32()), ("shift", pa.int32()), ("n", pa.int32()), ("kinds", pa.int64()), ("bytes", pa.binary())])),
-            pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-SETTLED = f"doc_id long, rid long, sid long, spans array<struct<s:int,e:int>>, members array<{MEMBER}>, text binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        n, texts = b.num_rows, [t or b"" for t in b.column(3).to_pylist()]
+        row, (bucket, lo, hi, p, copies, kinds, wanted) = _fields(b.column(4))
+        wanted = wanted.astype(bool)
+        settled = copies > 1
+        spans = row[settled], lo[settled], hi[settled] + length
+        left = [x[wanted] for x in (bucket, lo, p - lo, hi - lo + 1, kinds)]
+        content = [texts[r][s:e] for r, s, e in zip(row[wanted].tolist(), left[1].tolist(), (hi[wanted] + length).tolist())]
+        open_ = np.bincount(row[wanted & ~settled], minlength=n) > 0
+        columns = [pa.array(x, f.type) for x, f in zip([*left, content], _MEMBERS.value_type)]
+        whole = [None if o else t for o, t in zip(open_, texts)]
+        yield pa.RecordBatch.from_arrays([
+            *b.columns[:3], _lists(spans[0], n, [pa.array(x, pa.int32()) for x in spans[1:]], _SPAN_LIST), _lists(row[wanted], n, columns, _MEMBERS),
+            pa.array([t if o else None for o, t in zip(open_, texts)], pa.binary()), *_removed(whole, *spans)],
+            names=["doc_id", "rid", "sid", "spans", "members", "text", *_RESULT])
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs covered by the spans."""
-    out: list[list[int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
+SETTLED = f"doc_id long, rid long, sid long, spans array<struct<s:int,e:int>>, members array<{MEMBER}>, text binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _removed(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, int, str]:
-    cuts, at, kept = merged(spans), 0, hashlib.sha256()
-    for s, e in cuts:
-        kept.update(text[at:s])
-        at = e
-    kept.update(text[at:])
-    return len(text), sum(e - s for s, e in cuts), len(cuts), kept.hexdigest()
+def merged(row: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, start, end) of the maximal runs covered by the rows' spans, in order."""
+    order = np.lexsort((s, row))
+    row, s, e = (x[order].astype(np.int64) for x in (row, s, e))
+    base = row << 32  # the spans of all rows on one line, those of a row beyond all before it
+    reach = np.maximum.accumulate(base + e)
+    new = np.ones(len(row), bool)
+    new[1:] = base[1:] + s[1:] > reach[:-1]
+    last = np.ones(len(row), bool)
+    last[:-1] = new[1:]
+    return row[new], s[new], reach[last] - base[last]
+
+
+def _removed(texts: list[bytes | None], row: np.ndarray, s: np.ndarray, e: np.ndarray) -> list[pa.Array]:
+    """The columns of ``_RESULT`` of each text without its row's spans; null where the text is None."""
+    row, s, e = merged(row, s, e)
+    at = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+    s, e, out = s.tolist(), e.tolist(), []
+    for i, t in enumerate(texts):
+        if t is None:
+            out.append((None,) * 4)
+            continue
+        kept, done, gone = hashlib.sha256(), 0, 0
+        for k in range(at[i], at[i + 1]):
+            kept.update(t[done:s[k]])
+            done = e[k]
+            gone += e[k] - s[k]
+        kept.update(t[done:])
+        out.append((len(t), gone, at[i + 1] - at[i], kept.hexdigest()))
+    return [pa.array([r[k] for r in out], pa.string() if k == 3 else pa.int64()) for k in range(4)]
 
 
 def _finish(batches):
     for b in batches:
-        rows = [(i, *_removed(t, [(x["s"], x["e"]) for x in [*(a or ()), *(m or ())]])) for i, t, a, m in zip(*(b.column(k).to_pylist() for k in range(4)))]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(),) * 4 + (pa.string(),))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        (r1, f1), (r2, f2) = _fields(b.column(2)), _fields(b.column(3))
+        spans = np.r_[r1, r2], np.r_[f1[0], f2[0]], np.r_[f1[1], f2[1]]
+        yield pa.RecordBatch.from_arrays([b.column(0), *_removed(b.column(1).to_pylist(), *spans)], names=["doc_id", *_RESULT])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -367,5 +394,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     more = spans.groupBy("rid", "sid").agg(F.collect_set(F.struct("s", "e")).alias("more"))
     rest = settled.where("text is not null").select("rid", "sid", "doc_id", "text", "spans").join(more, ["rid", "sid"], "left").select("doc_id", "text", "spans", "more")
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return settled.where("text is null").select(*names).unionByName(rest.mapInArrow(_finish, result))
+    return settled.where("text is null").select("doc_id", *_RESULT).unionByName(rest.mapInArrow(_finish, result))
