@@ -374,11 +374,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = texts.select("rid", "sid", "text").mapInArrow(lambda bs: _rows(bs, length), ROWS)
     found = cut(found.join(shared, "bucket"), "shared-segments")
 
-    kinds = cut(found.groupBy("segment", "also").agg(F.min("bucket").alias("bucket"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "sid", "lo")).alias("first")), "segment-kinds")
+    place = F.xxhash64("rid", "sid", "lo")  # names one copy of a segment; copies that clash are both sorted, to no effect
+    kinds = cut(found.groupBy("segment", "also").agg(F.min("bucket").alias("bucket"), F.count(F.lit(1)).alias("copies"), F.min(place).alias("first")), "segment-kinds")
     per_bucket = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"))
     kinds = attach(kinds, per_bucket, "bucket", "kinds", max(kinds.count(), 1), ["kinds"]).select("segment", "also", "copies", "kinds", "first")
     marked = found.join(kinds, ["segment", "also"])  # rows of one segment are few beside all segments; a hot one is split by the adaptive skew join
-    wanted = (F.col("kinds") > 1) & ((F.col("copies") == 1) | (F.col("first") == F.struct("rid", "sid", "lo")))
+    wanted = (F.col("kinds") > 1) & ((F.col("copies") == 1) | (F.col("first") == place))
     per_text = marked.groupBy("rid", "sid").agg(F.collect_set(F.struct("bucket", "lo", "hi", "p", F.col("copies").alias("n"), "kinds", wanted.alias("wanted"))).alias("found"))
 
     settled = texts.join(per_text, ["rid", "sid"], "left").select("doc_id", "rid", "sid", "text", "found")
