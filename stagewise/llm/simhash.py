@@ -13,6 +13,10 @@ at most two bits together: cut into four parts, two of them are equal.  Each
 fingerprint is keyed by its start, its first segment and each pair of parts;
 in a key's group chains of one, two, three ... segments are checked in turn, each
 only for what the shorter ones left, and the full distance last.  Groups emit a spanning forest of their links, never all pairs.
+A key of over ``CROWD`` members is no group: the bits it leaves open are cut into
+``distance + 1`` parts, of which a linked pair has one equal, and its members
+are keyed again by each part, ``AGAIN`` times at most: far members part 256-fold
+each time, and near ones are reached by few steps of the forest.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from stagewise.llm.common import attach, cut, plus, text_bytes
 from stagewise.llm.graph import components
 
 PARTS, EQUAL_PARTS = 4, 2
+CROWD, AGAIN = 30_000, 2  # members of a key that are compared without keying them again
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -98,6 +103,31 @@ def keys(fp: np.ndarray, distance: int) -> list[np.ndarray]:
     return out
 
 
+def open_bits(distance: int) -> dict[int, int]:
+    """By a key's top nine bits (its start and pair), the fingerprint bits that it doesn't hold, as a mask."""
+    one = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    none = keys(np.zeros(1, np.uint64), distance)
+    return {int(z[0] >> np.uint64(55)): int(np.bitwise_or.reduce(one[k == z[0]])) for k, z in zip(keys(one, distance), none)}
+
+
+def parts_of(mask: int, distance: int) -> list[int]:
+    """The bits of ``mask`` in ``distance + 1`` parts; a part that few bits leave empty is zero."""
+    places = [b for b in range(64) if mask >> b & 1]
+    return [sum(1 << int(b) for b in part) for part in np.array_split(places, distance + 1)]
+
+
+def keyed_again(key: np.ndarray, fp: np.ndarray, mask: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, key, open bits) of each row once for each part of its open bits."""
+    out = []
+    for m in np.unique(mask):
+        at = np.flatnonzero(mask == m)
+        for j, part in enumerate(parts_of(int(m), distance)):
+            h = key[at] * np.uint64(0x9E3779B97F4A7C15) + (fp[at] & np.uint64(part)) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(j)
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)  # keys that clash only share a group
+            out.append((at, h ^ (h >> np.uint64(29)), np.full(len(at), m & ~np.uint64(part), np.uint64)))
+    return out
+
+
 def within(x: np.ndarray, distance: int) -> np.ndarray:
     """Which differences ``x`` pass the chain budgets from some start, then the full distance."""
     segs = segments(distance)
@@ -160,6 +190,8 @@ def _group_links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray, distance: int
 def links(nodes: DataFrame, distance: int) -> DataFrame:
     """(a, b) representatives whose fingerprints differ in at most ``distance`` bits, as a
     spanning set: the connected components are those of all such links."""
+    held, kinds = open_bits(distance), len(keys(np.zeros(1, np.uint64), distance))
+
     def key_rows(batches):
         for b in batches:
             fp = b.column(0).to_numpy().view(np.uint64)
@@ -167,6 +199,31 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
             yield pa.record_batch([pa.array(signed(np.concatenate(all_keys))), pa.array(np.tile(fp.view(np.int64), len(all_keys))),
                                    pa.array(np.tile(b.column(1).to_numpy(), len(all_keys)))], names=["key", "fp", "rep"])
 
+    def split_rows(batches):
+        for b in batches:
+            key, fp = (b.column(i).to_numpy().view(np.uint64) for i in range(2))
+            mask = b.column(3).to_numpy(zero_copy_only=False).view(np.uint64) if b.num_columns > 3 else np.array([held[k] for k in (key >> np.uint64(55)).tolist()], np.uint64)
+            for at, again, left in keyed_again(key, fp, mask, distance):
+                yield pa.RecordBatch.from_arrays([pa.array(signed(again)), pa.array(fp[at].view(np.int64)), b.column(2).take(pa.array(at)), pa.array(signed(left))], names=["key", "fp", "rep", "mask"])
+
+    rows = nodes.select("fp", "rep").mapInArrow(key_rows, "key long, fp long, rep long")
+    total = max(1, kinds * nodes.count())
+    out = None
+    for level in range(AGAIN + 1):
+        crowded = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD), "crowded") if level < AGAIN else None
+        done = crowded is None or crowded.isEmpty()
+        marked = rows if done else attach(rows, crowded, "key", "n", total, ["n"])
+        more = _links_of(marked if done else marked.where("n is null"), distance)
+        out = more if out is None else out.unionByName(more)
+        if done:
+            break
+        rows = cut(marked.where("n is not null").drop("n").mapInArrow(split_rows, "key long, fp long, rep long, mask long"), "keyed-again")
+        total = max(1, rows.count())
+    return out
+
+
+def _links_of(rows: DataFrame, distance: int) -> DataFrame:
+    """The links within the groups of one key."""
     def link_rows(batches):
         held = [np.zeros(0, np.int64)] * 3
         for b in _with_end(batches):
@@ -180,9 +237,7 @@ def links(nodes: DataFrame, distance: int) -> DataFrame:
                 pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
                 yield pa.record_batch([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
                 held = [h[done:] for h in held]
-
-    rows = nodes.select("fp", "rep").mapInArrow(key_rows, "key long, fp long, rep long")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(link_rows, "a long, b long")
+    return rows.select("key", "fp", "rep").repartition("key").sortWithinPartitions("key").mapInArrow(link_rows, "a long, b long")
 
 
 def _with_end(batches):

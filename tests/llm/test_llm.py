@@ -84,6 +84,32 @@ def test_simhash_links_lose_nothing():
     assert not simhash.within(fives, 4).any()
 
 
+def test_simhash_crowded_keys_lose_nothing(spark, monkeypatch):
+    """Keys with many members are keyed again by their open bits, once or twice, and the links connect the same."""
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 1 << 64, 200, np.uint64, endpoint=False)
+    masks = simhash.open_bits(4)
+    assert len(masks) == len(simhash.keys(fp, 4)) and all(24 <= 64 - m.bit_count() <= 27 for m in masks.values())  # a segment of 12 or 13 bits, two parts of 6 or 7
+    for tag, mask in masks.items():
+        places = [b for b in range(64) if mask >> b & 1]
+        flips = np.array([sum(1 << int(b) for b in rng.choice(places, rng.integers(1, 5), replace=False)) for _ in fp], np.uint64)
+        key, open_ = np.full(len(fp), tag << 55, np.uint64), np.full(len(fp), mask, np.uint64)
+        a, b = simhash.keyed_again(key, fp, open_, 4), simhash.keyed_again(key, fp ^ flips, open_, 4)
+        assert len(a) == 5 and np.any([x[1] == y[1] for x, y in zip(a, b)], axis=0).all()
+        assert all((x[2] & ~np.uint64(mask) == 0).all() and (np.bitwise_count(x[2]) < mask.bit_count()).all() for x in a)
+    some = [int(rng.integers(0, 1 << 62)) << 2 for _ in range(3)]
+    near = [c ^ sum(1 << int(b) for b in rng.choice(64, int(k), replace=False)) for c in some for k in rng.integers(0, 5, 60)]
+    shared = [some[0] ^ int(x) << 40 for x in rng.integers(0, 1 << 24, 60)]  # one key, far from each other
+    fps = np.unique(np.array(near + shared, np.uint64))
+    want = brute_components([(i,) for i in range(len(fps))], lambda i, j: (int(fps[i]) ^ int(fps[j])).bit_count() <= 4)
+    nodes = spark.createDataFrame([(int(f), i) for i, f in enumerate(fps.view(np.int64))], "fp long, rep long")
+    for crowd in (simhash.CROWD, 10):
+        monkeypatch.setattr(simhash, "CROWD", crowd)
+        pairs = {frozenset(p) for p in simhash.links(nodes, 4).collect()}
+        assert all((int(fps[i]) ^ int(fps[j])).bit_count() <= 4 for i, j in pairs)
+        assert brute_components([(i,) for i in range(len(fps))], lambda i, j: frozenset((i, j)) in pairs) == want
+
+
 def test_group_forest_connects():
     rng = np.random.default_rng(2)
     fp = np.unique(np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4), replace=False)) for _ in range(200)], np.uint64))
