@@ -19,6 +19,28 @@ judged AS (
 #: Pages here carry no canonical links and no refresh redirects, so the oracle has the rules alone; tests cover links.
 _OP2 = _URL + "SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM judged"
 
+#: A window is two hexadecimal digits a byte, named by its MD5; texts are read in blocks of 1,000 windows, to cut short strings.
+_OP3 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+blocks AS (
+  SELECT r, b, least(1000, n - 199 - b) AS n_here, substr(h, 2 * b + 1, 2 * 1199) AS part FROM (SELECT r, h, n, unnest(range(0, n - 199, 1000)) AS b FROM docs)),
+windows AS (
+  SELECT r, b + i AS s, md5_number(substr(part, 2 * i + 1, 400)) AS w FROM (SELECT r, b, part, unnest(range(0, n_here)) AS i FROM blocks)),
+again AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+hits AS (
+  SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM windows WHERE w IN (SELECT w FROM again)),
+marked AS (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS run FROM hits),
+runs AS (SELECT r, run, min(s) AS s, max(s) + 200 AS e FROM marked GROUP BY r, run),
+gaps AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS kept_from FROM runs),
+cuts AS (
+  SELECT docs.r, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last_e, string_agg(substr(h, 2 * kept_from + 1, 2 * (s - kept_from)), '' ORDER BY s) AS kept
+  FROM gaps JOIN docs USING (r) GROUP BY docs.r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_e, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cuts USING (r)
+"""
+
 _OP9 = """
 WITH d AS (SELECT doc_id, regexp_extract_all(lower_az, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
            FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents)),
@@ -105,4 +127,4 @@ FROM docs AS d JOIN homes AS h ON d.text = h.text CROSS JOIN crc
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _OP2, "op9_decontaminate": _OP9, "op11_hard_negatives": _OP11, "op12_conversation_trie": _OP12, "op13_sharding": _OP13}
+    return {"op2_url_filter": _OP2, "op3_suffix_dedup": _OP3, "op9_decontaminate": _OP9, "op11_hard_negatives": _OP11, "op12_conversation_trie": _OP12, "op13_sharding": _OP13}
