@@ -1,9 +1,12 @@
 """Language-model scores: corpus word counts, and a causal self-attention model in numpy on subword ids.
 
-The word counts cover every training document: counts of 64-bit word hashes,
-partially aggregated per task.  Scoring finds the ``HEAD`` most frequent words
-in a bounded broadcast and joins the others by hash, so no task holds the
-vocabulary.
+Every text is read once, into the subword ids of its words, which are written
+and serve the counts, the fit and the scores alike.
+
+The word counts cover every training document: counts of 64-bit hashes of the
+words' ids, partially aggregated per task.  Scoring finds the ``HEAD`` most
+frequent words in a bounded broadcast and joins the others by hash, so no task
+holds the vocabulary.
 
 The attention model reads a text's lower-cased words as subword ids of a
 public vocabulary (a path), each word with its space, then an end id.  It
@@ -31,27 +34,32 @@ import base64
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stagewise.llm.common import chunks, crc_mod, cut, plus, text_bytes
+from stagewise.llm.common import chunks, crc_mod, cut, plus
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 FOLDS, HEAD = 10, 100_000
 WINDOW, OVERLAP, WIDTH, CLASSES, STEPS, BATCH, OWN = 16, 8, 16, 96, 1000, 256, 8192
-SHARD_BYTES, KEPT_WORDS = 2_000_000, 200_000
+SHARD_BYTES, IDS, KEPT_WORDS = 2_000_000, 1_000_000, 200_000
 ROUNDS, PARTS, NEIGHBOURS = 5, 16, 24
 SEED = 20_251
 
 
-def word_hash(word: bytes) -> int:
-    """Signed 64-bit hash of a word; the end of a text is the empty word."""
-    h = xxhash.xxh64_intdigest(word, 7)
-    return h - (1 << 64) if h >> 63 else h
-
-
-END = word_hash(b"")
+def word_keys(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Signed 64-bit hash of each token's subword ids, which are its word's alone; ``first`` are the tokens' first places in ``ids``."""
+    x = np.arange(len(ids), dtype=np.uint64) - np.repeat(first, np.diff(first, append=len(ids))).astype(np.uint64)
+    x <<= np.uint64(32)
+    x += ids.astype(np.uint64)
+    for shift, factor in ((30, 0x9E3779B97F4A7C15), (27, 0xBF58476D1CE4E5B9), (31, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x += np.uint64(0x9E3779B97F4A7C15)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(32)
+    return np.add.reduceat(x, first).view(np.int64)
 
 
 def read_vocabulary(path: str) -> dict[bytes, int]:
@@ -59,8 +67,13 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-class Subwords:
-    """Ids of words with their space in front, kept up to a bound; the end id follows the last one."""
+def id_type(size: int) -> np.dtype:
+    """The numbers that ids below ``size`` are written as."""
+    return np.dtype(np.uint16 if size <= 1 << 16 else np.int32)
+
+
+class Subwords(dict):
+    """Ids of words with their space in front, kept once asked for; the end id follows the last one."""
 
     def __init__(self, ranks: dict[bytes, int]):
         import tiktoken
@@ -68,10 +81,41 @@ class Subwords:
         self.size = self.end + 1
         self.begins = np.zeros(self.size, bool)  # the ids that begin a word, and the end
         self.begins[[i for b, i in ranks.items() if b[:1] == b" "] + [self.end]] = True
-        self.encode = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.type = id_type(self.size)
+        self.encode = tiktoken.Encoding("words", pat_str=" [^ ]+", mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
 
     def ids(self, word: bytes) -> list[int]:
-        return self.encode(" " + word.decode())
+        return self.encode(" " + word.decode()).tolist()
+
+    def learn(self, words: list[bytes]) -> None:
+        """Keep the ids of ``words``, all in one call: only a word's first id begins with a space."""
+        if words:
+            ids = self.encode(" " + b" ".join(words).decode())
+            cuts = self.type.itemsize * np.flatnonzero(np.r_[self.begins[ids], True])
+            ids, cuts = ids.astype(self.type).tobytes(), cuts.tolist()
+            self.update(zip(words, (ids[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts' words and ends, end to end; how many each text has)."""
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        text, word = pc.list_parent_indices(split), pc.list_flatten(split)
+        some = pc.not_equal(word, "")
+        text, word = text.filter(some).to_numpy(), word.filter(some).dictionary_encode()
+        words = word.dictionary.cast(pa.binary()).to_pylist()
+        self.learn([w for w in words if w not in self])
+        pieces = [self[w] for w in words]
+        pieces.append(np.array([self.end], self.type).tobytes())
+        lengths, table = np.array([len(x) for x in pieces]) // self.type.itemsize, np.frombuffer(b"".join(pieces), self.type)
+        ends = np.cumsum(np.bincount(text, minlength=len(texts)) + 1) - 1
+        token = np.empty(len(text) + len(texts), np.int64)
+        token[ends] = len(pieces) - 1
+        token[np.arange(len(text)) + text] = word.indices.to_numpy()
+        n = lengths[token]
+        last = np.cumsum(n)
+        ids = table[np.repeat((np.cumsum(lengths) - lengths)[token] - last + n, n) + np.arange(n.sum())]
+        return ids, np.diff(last[ends], prepend=0)
 
 
 _SUBWORDS: dict[int, Subwords] = {}
@@ -84,6 +128,11 @@ def subwords(ranks: dict[bytes, int]) -> Subwords:
     return _SUBWORDS[len(ranks)]
 
 
+def apart(x: np.ndarray) -> bool:
+    """Whether scores lie so far from zero that they must be shifted before ``exp``."""
+    return bool(x.max() > 60 or x.min() < -60)
+
+
 class Model:
     """One causal self-attention layer and a feed-forward layer, over classes of ids."""
 
@@ -124,71 +173,126 @@ class Model:
         """Note which ids begin a word."""
         self.begin_share = np.bincount(self.classes, np.exp(self.within.astype(np.float64)) * begins, int(self.classes.max()) + 1).astype(np.float32)
 
-    def class_logs(self, rows: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities (B, T) of the classes ``cls`` after the ids in ``rows``, and that a word begins there: ``forward`` with fewer passes over the arrays."""
-        p, t = self.p, rows.shape[1]
-        x = p["embed"][rows]
+    def class_logs(self, rows: np.ndarray, cls: np.ndarray, lanes: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Log probabilities (B, T - ``lanes``) of the classes ``cls`` after the ids in ``rows`` (B, T), and that a word begins there, from
+        place ``lanes`` on: ``forward`` with fewer passes over the arrays, and what no asked place needs left out."""
+        p, (n, t) = self.p, rows.shape
+        d = p["embed"].shape[1]
+        x = np.take(p["embed"], rows.ravel(), 0).reshape(n, t, d)
         x += p["place"][:t]
-        a = np.matmul(x @ (p["wq"] @ p["wk"].T * np.float32(x.shape[2] ** -0.5)), x.transpose(0, 2, 1))
-        a += self.mask[:t, :t]
+        own = np.ascontiguousarray(x[:, lanes:]).reshape(-1, d)
+        a = np.matmul((own @ (p["wq"] @ p["wk"].T * np.float32(d ** -0.5))).reshape(n, -1, d), x.transpose(0, 2, 1))
+        a += self.mask[lanes:t, :t]
         np.minimum(a, np.float32(80), out=a)  # exp stays finite
         np.exp(a, out=a)
-        z = np.matmul(a, x @ p["wv"])
-        z /= a.sum(2, keepdims=True)
-        z += x
+        flat = a.reshape(-1, t)
+        z = np.matmul(a, x).reshape(-1, d)
+        z /= (flat @ np.ones(t, flat.dtype))[:, None]
+        z = z @ p["wv"]
+        z += own
         u = z @ p["w1"]
         u += p["b1"]
         np.maximum(u, 0, out=u)
         z += u @ p["w2"]
-        logits = z @ p["wc"]
-        logits += p["bc"]
+        o = np.ones((len(z), d + 1), z.dtype)
+        o[:, :d] = z
+        logits = np.concatenate([p["wc"], p["bc"][None]]).T @ o.T  # class by place
         np.minimum(logits, np.float32(80), out=logits)
-        chosen = np.take_along_axis(logits, cls[:, :, None], 2)[:, :, 0]
+        chosen = logits[cls.ravel(), np.arange(len(z))]
         np.exp(logits, out=logits)
-        total = np.log(logits.sum(2))
-        begin = np.zeros_like(total) if self.begin_share is None else np.log(logits @ self.begin_share) - total
-        return chosen - total, begin
+        weights = np.ones((2, len(logits)), logits.dtype)
+        if self.begin_share is not None:
+            weights[1] = self.begin_share
+        total, begin = np.log(weights @ logits)
+        return (chosen - total).reshape(n, -1), (begin - total).reshape(n, -1)
 
     def gradients(self, rows: np.ndarray, target: np.ndarray, inside: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross entropy of the target classes, of those ``inside`` if given, and its gradients."""
-        p = self.p
-        logits, (_, x, q, k, v, a, z, u, o) = self.forward(rows)
-        live = np.ones(target.shape, logits.dtype) if inside is None else inside.astype(logits.dtype)
+        """Mean cross entropy of the target classes, of those ``inside`` if given, and its gradients.
+
+        Class scores are kept class by place, so that their passes run along the places.
+        """
+        p, (n, t) = self.p, rows.shape
+        d, kind = p["embed"].shape[1], p["embed"].dtype
+        live = np.ones(n * t, kind) if inside is None else inside.ravel().astype(kind)
         live /= live.sum()
-        d = x.shape[2]
-        bi, ti = np.indices(target.shape)
-        loss = -float((logits[bi, ti, target] * live).sum())
-        g = np.exp(logits)
-        g[bi, ti, target] -= 1
-        g *= live[:, :, None]
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        out = {"wc": flat(o).T @ flat(g), "bc": flat(g).sum(0)}
-        go = g @ p["wc"].T
-        gu = (go @ p["w2"].T) * (u > 0)
-        out |= {"w2": flat(u).T @ flat(go), "w1": flat(z).T @ flat(gu), "b1": flat(gu).sum(0)}
-        gz = go + gu @ p["w1"].T
-        ga = np.matmul(gz, v.transpose(0, 2, 1))
-        gv = np.matmul(a.transpose(0, 2, 1), gz)
-        gs = a * (ga - (ga * a).sum(2, keepdims=True)) * np.float32(d ** -0.5)
-        gq, gk = np.matmul(gs, k), np.matmul(gs.transpose(0, 2, 1), q)
-        out |= {"wq": flat(x).T @ flat(gq), "wk": flat(x).T @ flat(gk), "wv": flat(x).T @ flat(gv)}
-        gx = gz + gq @ p["wq"].T + gk @ p["wk"].T + gv @ p["wv"].T
+        flat, every = rows.ravel(), np.ones(max(n * t, p["wc"].shape[1]), kind)
+        x = np.take(p["embed"], flat, 0)
+        x.reshape(n, t * d)[:] += p["place"][:t].ravel()
+        scale = kind.type(d ** -0.5)
+        wq, x3 = p["wq"] * scale, x.reshape(n, t, d)
+        both = wq @ p["wk"].T
+        q = (x @ both).reshape(n, t, d)  # queries and keys in one product
+        a = np.matmul(q, x3.transpose(0, 2, 1))
+        far = apart(a)
+        a.reshape(n, t * t)[:] += self.mask[:t, :t].ravel()
+        if far:
+            a -= a.max(2, keepdims=True)
+        np.exp(a, out=a)
+        a /= (a.reshape(-1, t) @ every[:t]).reshape(n, t, 1)
+        y = np.matmul(a, x3).reshape(-1, d)
+        z = y @ p["wv"]
+        z += x
+        u = z @ p["w1"]
+        u.reshape(n, -1)[:] += np.tile(p["b1"], t)
+        np.maximum(u, 0, out=u)
+        o = np.empty((n * t, d + 1), kind)
+        o[:, d] = 1
+        np.add(u @ p["w2"], z, out=o[:, :d])
+        g = np.concatenate([p["wc"], p["bc"][None]]).T @ o.T
+        if apart(g):
+            g -= g.max(0)
+        at, target = np.arange(n * t), target.ravel()
+        chosen = g[target, at]
+        np.exp(g, out=g)
+        total = every[:len(g)] @ g
+        loss = float(((np.log(total) - chosen) * live).sum())
+        g *= live / total
+        g[target, at] -= live
+        wc = g @ o
+        go = g.T @ p["wc"].T
+        gu = go @ p["w2"].T
+        gu *= np.sign(u)  # not below zero
+        out = {"wc": wc[:, :d].T, "bc": wc[:, d], "w2": u.T @ go, "w1": z.T @ gu, "b1": every[:n * t] @ gu}
+        gx = gu @ p["w1"].T
+        gx += go
+        out["wv"] = y.T @ gx
+        gy = (gx @ p["wv"].T).reshape(n, t, d)
+        gs = np.matmul(gy, x3.transpose(0, 2, 1))
+        gs -= ((gs * a).reshape(-1, t) @ every[:t]).reshape(n, t, 1)
+        gs *= a
+        gx += np.matmul(a.transpose(0, 2, 1), gy).reshape(-1, d)
+        gx += np.matmul(gs.transpose(0, 2, 1), q).reshape(-1, d)
+        gq = np.matmul(gs, x3).reshape(-1, d)
+        gx += gq @ both.T
+        of_both = x.T @ gq
+        out["wq"], out["wk"] = of_both @ p["wk"] * scale, of_both.T @ wq
         out["place"] = np.zeros_like(p["place"])
-        out["place"][:rows.shape[1]] = gx.sum(0)
+        out["place"][:t] = (every[:n] @ gx.reshape(n, -1)).reshape(t, d)
         out["embed"] = np.zeros_like(p["embed"])
-        np.add.at(out["embed"], rows.ravel(), flat(gx))
+        pair, step = (kind, d) if d % 2 else (np.result_type(kind, np.complex64), d // 2)  # two numbers are added at once
+        np.add.at(out["embed"].reshape(-1).view(pair), (flat[:, None] * step + np.arange(step)).ravel(), gx.reshape(-1).view(pair))
         return loss, out
 
     def adam(self, m: dict, s: dict, step: int, rows: np.ndarray, target: np.ndarray, inside: np.ndarray, lr: float) -> float:
-        """One step with the moments ``m`` and ``s``, all changed in place; the loss before it."""
+        """One step with the moments ``m`` and ``s`` (10 and 100 times the means), all changed in place; the loss before it."""
         loss, g = self.gradients(rows, target, inside)
+        late = (1 - 0.99 ** step) ** 0.5
+        rate, least = np.float32(lr * 0.1 / (1 - 0.9 ** step) * late / 0.1), np.float32(1e-6 * late / 0.1)
         for k in self.p:
-            m[k] += 0.1 * (g[k] - m[k])
-            s[k] += 0.01 * (g[k] * g[k] - s[k])
-            self.p[k] -= np.float32(lr) * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + np.float32(1e-6))
+            x, a, b = g[k], m[k], s[k]
+            a *= np.float32(0.9)
+            a += x
+            x *= x
+            b *= np.float32(0.99)
+            b += x
+            np.sqrt(b, out=x)
+            x += least
+            np.divide(a, x, out=x)
+            x *= rate
+            self.p[k] -= x
         return loss
 
-    def log_probabilities(self, ids: np.ndarray, starts: np.ndarray, window: int = WINDOW, overlap: int = OVERLAP, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    def log_probabilities(self, ids: np.ndarray, starts: np.ndarray, window: int = WINDOW, overlap: int = OVERLAP, batch: int = 256) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probability of each id, and of a word beginning at its place; ``starts`` are the texts' first places in ``ids``.
 
         A text's first window scores all its ids; each later one starts
@@ -201,20 +305,23 @@ class Model:
         counts = np.where(sizes > window, 1 + -(-(sizes - window) // step), 1) * (sizes > 0)
         first = np.repeat(starts, counts) + step * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
         begin, end = np.repeat(starts, counts), np.repeat(ends, counts)
-        rows = self.row[ids]
         none = len(self.p["embed"]) - 1  # the place before a text
+        before = np.r_[none, self.row[ids[:-1]]][:n]
+        before[starts[sizes > 0]] = none
         cls = self.classes[ids]
         out, begins = self.within[ids].astype(np.float64), np.zeros(n)
-        lane = np.arange(window)
-        for b in range(0, len(first), batch):
-            f, s, e = (x[b:b + batch, None] for x in (first, begin, end))
-            at = f + lane
-            inside = at < e
-            before = np.where(at > s, rows[np.clip(at - 1, 0, n - 1)], none)
-            logs, starting = self.class_logs(before, cls[np.minimum(at, n - 1)])
-            new = inside & ((lane >= overlap) | (f == s))
-            out[at[new]] += logs[new]
-            begins[at[new]] = starting[new]
+        opening = first == begin
+        for some, skip in ((np.flatnonzero(opening), 0), (np.flatnonzero(~opening), overlap)):  # later windows score what is new
+            lane = np.arange(window)
+            for b in range(0, len(some), batch):
+                at = first[some[b:b + batch], None] + lane
+                new = (at < end[some[b:b + batch], None])[:, skip:]
+                np.minimum(at, n - 1, out=at)
+                own = at[:, skip:]
+                logs, starting = self.class_logs(before[at], cls[own], skip)
+                own = own[new]
+                out[own] += logs[new]
+                begins[own] = starting[new]
         return out, begins
 
 
@@ -226,10 +333,21 @@ def projection(counts: np.ndarray, seed: int = SEED) -> np.ndarray:
 
 
 def neighbours(ids: np.ndarray, project: np.ndarray) -> np.ndarray:
-    """Sums of the projections of the ids before and after each id of a stream."""
-    size = len(project)
-    both = [np.bincount(at, project[other, j], size) for at, other in ((ids[1:], ids[:-1]), (ids[:-1], ids[1:])) for j in range(project.shape[1])]
-    return np.stack(both, 1)
+    """Sums of the projections of the ids before and after each id of a stream; pairs of ids that both have one are counted first."""
+    size, width = project.shape
+    top = np.flatnonzero(project.any(1))
+    rank = np.full(size, -1)
+    rank[top] = np.arange(len(top))
+    rank = rank[ids]
+    frequent, out = rank >= 0, np.zeros((size, 2 * width))
+    both = frequent[1:] & frequent[:-1]
+    pairs = np.bincount(rank[:-1][both] * len(top) + rank[1:][both], np.ones(both.sum()), len(top) ** 2).reshape(len(top), -1)
+    for at, other, lanes, count in ((slice(1, None), slice(None, -1), slice(width), pairs.T), (slice(None, -1), slice(1, None), slice(width, None), pairs)):
+        rare = frequent[other] & ~both
+        beside = project[ids[other][rare]]
+        out[:, lanes] = np.stack([np.bincount(ids[at][rare], beside[:, j], size) for j in range(width)], 1)
+        out[top, lanes] += count @ project[top].astype(np.float64)
+    return out
 
 
 def classes_of(x: np.ndarray, count: np.ndarray, n: int = CLASSES) -> np.ndarray:
@@ -275,37 +393,45 @@ def new_model(x: np.ndarray, counts: np.ndarray) -> Model:
 
 
 def _encode(batches, ranks):
-    """Subword ids of each text with its end id, as 32-bit numbers."""
+    """The batches with ``ids`` in the place of ``text``: the subword ids of each and its end id, as numbers of ``id_type``."""
     words = subwords(ranks.value)
-    cache: dict[bytes, np.ndarray] = {}
-    end = np.array([words.end], np.int32)
-    for b in batches:
-        out = []
-        for t in text_bytes(b.column(0)):
-            if len(cache) > KEPT_WORDS:
-                cache.clear()
-            ws = t.lower().split()
-            for w in ws:
-                if w not in cache:
-                    cache[w] = np.array(words.ids(w), np.int32)
-            out.append(np.concatenate([*(cache[w] for w in ws), end]).tobytes())
-        yield pa.record_batch([pa.array(out, pa.binary())], names=["ids"])
-
-
-def _streams(batches):
+    for held in chunks(batches, "text", SHARD_BYTES):
+        b = pa.Table.from_batches(held).combine_chunks()
+        ids, sizes = words.of_texts(pa.concat_arrays(b["text"].chunks))
+        ends = np.r_[0, np.cumsum(ids.itemsize * sizes)].astype(np.int32)
+        out = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        yield from b.set_column(b.schema.get_field_index("text"), "ids", out).to_batches()
+    words.clear()  # the process serves other tasks
+
+
+def ids_of(held: list[pa.RecordBatch], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, sizes of the texts) of ``_encode``'s rows; ids are below ``size``."""
+    ids, sizes, kind = [], [], id_type(size)
+    for b in held:
+        x = b.column(b.schema.get_field_index("ids"))
+        ends = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1]
+        sizes.append(np.diff(ends) // kind.itemsize)
+        ids.append(np.frombuffer(x.buffers()[2], kind, sizes[-1].sum(), ends[0]) if ends[-1] > ends[0] else np.empty(0, kind))
+    return np.concatenate(ids), np.concatenate(sizes).astype(np.int64)
+
+
+def _streams(batches, size: int):
     """(ids, sizes of the texts) in bounded chunks of ``_encode``'s rows."""
-    for held in chunks(batches, "ids", 2 * SHARD_BYTES):
-        texts = [np.frombuffer(t, np.int32) for b in held for t in b.column(0).to_pylist()]
-        if texts:
-            yield np.concatenate(texts).astype(np.int64), np.array([len(t) for t in texts])
+    for held in chunks(batches, "ids", IDS * id_type(size).itemsize):
+        ids, sizes = ids_of(held, size)
+        if len(ids):
+            yield ids.astype(np.int32), sizes
 
 
 def _neighbour_sums(batches, project):
     """(id, sums) of one task's texts."""
     total = None
-    for ids, _ in _streams(batches):
+    for ids, _ in _streams(batches, len(project.value)):
         x = neighbours(ids, project.value)
-        total = x if total is None else total + x
+        if total is None:
+            total = x
+        else:
+            total += x
     if total is not None:
         some = np.flatnonzero(total.any(1))
         for at in range(0, len(some), 4096):
@@ -340,7 +466,7 @@ def _fit(batches, shared, turn: int, stride: int, epochs: int):
     rng = np.random.default_rng((SEED, turn, TaskContext.get().partitionId()))
     none, lane, at, seen = len(model.p["embed"]) - 1, np.arange(WINDOW), 0, 0
     rate = 0.01 * (1 - 0.9 * turn / max(1, ROUNDS - 1))
-    for ids, sizes in _streams(batches):
+    for ids, sizes in _streams(batches, len(model.classes)):
         first, begin, end = windows_of(ids, sizes)
         mine = np.flatnonzero((at + np.arange(len(first))) % stride == turn % stride)
         at += len(first)
@@ -377,17 +503,27 @@ def _mean(table: pa.Table) -> pa.Table:
                      "x": pa.array([(total / sum(seen)).astype(np.float32).tobytes()], pa.binary())})
 
 
+def encoded(rows: DataFrame, ranks) -> DataFrame:
+    """``rows`` with subword ``ids`` in the place of ``text``, written once; ``ranks`` is the broadcast vocabulary."""
+    schema = T.StructType([T.StructField("ids", T.BinaryType()) if f.name == "text" else f for f in rows.schema])
+    return cut(rows.mapInArrow(lambda bs: _encode(bs, ranks), schema), "ids")
+
+
 def train(texts: DataFrame, ranks, counts: np.ndarray, steps: int = STEPS) -> tuple[Model, int]:
     """The model fitted on all ``texts`` (text), and the windows seen; ``ranks`` is the broadcast vocabulary, ``counts`` the corpus counts of all ids."""
-    sc = texts.sparkSession.sparkContext
-    rows = cut(texts.mapInArrow(lambda bs: _encode(bs, ranks), "ids binary"), "training-ids")
+    return fit(encoded(texts, ranks), counts, steps)
+
+
+def fit(rows: DataFrame, counts: np.ndarray, steps: int = STEPS) -> tuple[Model, int]:
+    """``train`` on texts already ``encoded`` (ids)."""
+    sc = rows.sparkSession.sparkContext
     project = sc.broadcast(projection(counts))
     sums = rows.mapInArrow(lambda bs: _neighbour_sums(bs, project), "part int, id long, x binary").groupBy("part").applyInArrow(_add_neighbours, "id long, x binary").toArrow()
     x = np.zeros((len(counts), 2 * NEIGHBOURS), np.float32)  # as many rows as the vocabulary has
     if sums.num_rows:
         x[sums["id"].to_numpy()] = [np.frombuffer(v, np.float32) for v in sums["x"].to_pylist()]
     model = new_model(x, counts)
-    n = rows.agg(F.coalesce(F.sum(F.ceil(F.octet_length("ids") / (4 * WINDOW))), F.lit(0))).first()[0]
+    n = rows.agg(F.coalesce(F.sum(F.ceil(F.octet_length("ids") / (id_type(len(counts)).itemsize * WINDOW))), F.lit(0))).first()[0]
     if not n:
         return model, 0
     passes = -(-steps * BATCH // n)  # over all windows, one at least
@@ -413,79 +549,48 @@ def train(texts: DataFrame, ranks, counts: np.ndarray, steps: int = STEPS) -> tu
 def _count(batches, ranks, flush: int = 500_000):
     """(kind, key, n): word counts by hash (kind 0) and subword counts by id (kind 1), of one task's texts, as they fill up."""
     words = subwords(ranks.value)
-    ids = np.zeros(words.size, np.int64)
-
-    def batch(rows: dict[bytes, int], ends: int):
-        n = np.array(list(rows.values()) + [ends], np.int64)
-        flat, sizes = [], []
-        for w in rows:
-            x = words.ids(w)
-            flat += x
-            sizes.append(len(x))
-        if flat:
-            ids[:] += np.bincount(flat, np.repeat(n[:-1], sizes), len(ids)).astype(np.int64)
-        keys = [word_hash(w) for w in rows] + [END]
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), pa.array(keys, pa.int64()), pa.array(n)], names=["kind", "key", "n"])
-
-    rows: dict[bytes, int] = {}
-    ends = 0
-    for b in batches:
-        for t in text_bytes(b.column(0)):
-            for w in t.lower().split():
-                rows[w] = rows.get(w, 0) + 1
-            ends += 1
-            if len(rows) >= flush:
-                ids[words.end] += ends
-                yield batch(rows, ends)
-                rows, ends = {}, 0
-    if ends:
-        ids[words.end] += ends
-        yield batch(rows, ends)
-    some = np.flatnonzero(ids)
-    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(some), np.int32)), pa.array(some), pa.array(ids[some])], names=["kind", "key", "n"])
+    of_ids = np.zeros(words.size, np.int64)
+    key, n = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def batch(kind: int, key: np.ndarray, n: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n)], names=["kind", "key", "n"])
+
+    for ids, _ in _streams(batches, words.size):
+        of_ids += np.bincount(ids, minlength=words.size)
+        more, of_more = np.unique(word_keys(ids, np.flatnonzero(words.begins[ids])), return_counts=True)
+        key, n = np.r_[key, more], np.r_[n, of_more]
+        by = np.argsort(key)
+        key, n = key[by], n[by]
+        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        key, n = key[heads], np.add.reduceat(n, heads)
+        if len(key) >= flush:
+            yield batch(0, key, n)
+            key, n = key[:0], n[:0]
+    some = np.flatnonzero(of_ids)
+    yield batch(0, key, n)
+    yield batch(1, some, of_ids[some])
 
 
 def _score(batches, shared):
     """Per text: tokens, the base and model sums over frequent words, and the others by hash with their attention score."""
-    ranks, head, log_z, model = shared.value
-    words = subwords(ranks)
-    cache: dict[bytes, int] = {}
-    hashes: list[int] = [END]
-    counts: list[int] = [head.get(END, 0)]
-    pieces: list[list[int]] = [[words.end]]  # the first word is the end of a text
-
-    def learn(w: bytes) -> int:
-        h = word_hash(w)
-        cache[w] = len(hashes)
-        hashes.append(h)
-        counts.append(head.get(h, -1))
-        pieces.append(words.ids(w))
-        return cache[w]
-
-    for held in chunks(batches, "text", SHARD_BYTES):
-        if len(cache) > KEPT_WORDS:
-            cache.clear()
-            del hashes[1:], counts[1:], pieces[1:]
-        texts = [t for b in held for t in text_bytes(b.column(1))]
+    begins, head, n_head, log_z, model = shared.value
+    for held in chunks(batches, "ids", IDS // 4 * id_type(len(begins)).itemsize):
         doc_ids = pa.concat_arrays([b.column(0) for b in held])
-        known = [[cache[w] if w in cache else learn(w) for w in t.lower().split()] + [0] for t in texts]
-        sizes = np.array([len(k) for k in known])
-        flat = np.array([i for k in known for i in k], np.int64)
-        doc = np.repeat(np.arange(len(texts)), sizes)
-        # subword ids of all tokens, end to end, and the attention's log10 probability of each token
-        lengths = np.array([len(p) for p in pieces])
-        table = np.array([x for p in pieces for x in p], np.int64)
-        n = lengths[flat]
-        first = np.cumsum(n) - n
-        ids = table[np.repeat((np.cumsum(lengths) - lengths)[flat] - first, n) + np.arange(n.sum())]
-        logs = word_logs(model, ids, first, first[np.cumsum(sizes) - sizes], flat == 0) / np.log(10)
-        c = np.array(counts, np.int64)[flat]
-        frequent = c >= 0
-        base = np.log10(c[frequent] + 0.1) - log_z
-        in_doc = np.r_[0, np.cumsum(np.bincount(doc[~frequent], minlength=len(texts)))]
-        rare = pa.StructArray.from_arrays([pa.array(np.array(hashes, np.int64)[flat[~frequent]]), pa.array(logs[~frequent].astype(np.float32))], ["key", "log"])
-        yield pa.RecordBatch.from_arrays([doc_ids, pa.array(sizes), pa.array(np.bincount(doc[frequent], c[frequent] > 0, len(texts)).astype(np.int64)),
-                                          pa.array(np.bincount(doc[frequent], base, len(texts))), pa.array(np.bincount(doc[frequent], mixed(logs[frequent], base, c[frequent] > 0, log_z), len(texts))),
+        ids, sizes = ids_of(held, len(begins))
+        ends = np.cumsum(sizes)
+        first = np.flatnonzero(begins[ids])  # of each token, all words and the end
+        logs = word_logs(model, ids, first, ends - sizes, np.isin(first, ends - 1, assume_unique=True)) / np.log(10)
+        tokens = np.diff(np.searchsorted(first, ends), prepend=0)
+        doc = np.repeat(np.arange(len(sizes)), tokens)
+        key = word_keys(ids, first)
+        at = np.minimum(np.searchsorted(head, key), len(head) - 1)
+        c, frequent = n_head[at], head[at] == key
+        rare = pa.StructArray.from_arrays([pa.array(key[~frequent]), pa.array(logs[~frequent].astype(np.float32))], ["key", "log"])
+        in_doc = np.r_[0, np.cumsum(np.bincount(doc[~frequent], minlength=len(sizes)))]
+        doc, c, logs = doc[frequent], c[frequent], logs[frequent]
+        base = np.log10(c + 0.1) - log_z
+        yield pa.RecordBatch.from_arrays([doc_ids, pa.array(tokens), pa.array(np.bincount(doc, c > 0, len(sizes)).astype(np.int64)),
+                                          pa.array(np.bincount(doc, base, len(sizes))), pa.array(np.bincount(doc, mixed(logs, base, c > 0, log_z), len(sizes))),
                                           pa.ListArray.from_arrays(pa.array(in_doc.astype(np.int32)), rare)], names=["doc_id", "n_tokens", "n_known", "base", "score", "rare"])
 
 
@@ -521,23 +626,26 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, steps: int = STEPS) ->
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), (crc_mod("doc_id", FOLDS) == 0).alias("held_out"))
     ranks = read_vocabulary(vocabulary)
     shared_ranks = spark.sparkContext.broadcast(ranks)
+    rows = encoded(rows, shared_ranks)
     learned = rows.where(~F.col("held_out"))
-    counts = learned.select("text").mapInArrow(lambda bs: _count(bs, shared_ranks), "kind int, key long, n long")
+    counts = learned.select("ids").mapInArrow(lambda bs: _count(bs, shared_ranks), "kind int, key long, n long")
     counts = cut(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     by_word = counts.where("kind = 0")
     total, distinct = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     log_z = float(np.log10(total + 0.1 * (distinct + 1)))
     head = {r["key"]: r["n"] for r in by_word.orderBy(F.desc("n"), "key").limit(HEAD).toLocalIterator()}
-    if END not in head:
-        head[END] = learned.count() if distinct > HEAD else 0
+    end = int(word_keys(np.array([subwords(ranks).end]), np.array([0]))[0])
+    if end not in head:
+        head[end] = learned.count() if distinct > HEAD else 0
     ids = np.zeros(subwords(ranks).size)
     for r in counts.where("kind = 1").toLocalIterator():  # as many as the vocabulary has at most
         ids[r["key"]] = r["n"]
-    model, _ = train(learned.select("text"), shared_ranks, ids, steps)
+    model, _ = fit(learned.select("ids"), ids, steps)
     model.begin_with(subwords(ranks).begins)
-    shared = spark.sparkContext.broadcast((ranks, head, log_z, model))
+    keys = sorted(head)
+    shared = spark.sparkContext.broadcast((subwords(ranks).begins, np.array(keys, np.int64), np.array([head[k] for k in keys], np.int64), log_z, model))
 
-    scored = rows.select("doc_id", "text").mapInArrow(lambda bs: _score(bs, shared), plus(rows.select("doc_id").schema, SCORED))
+    scored = rows.select("doc_id", "ids").mapInArrow(lambda bs: _score(bs, shared), plus(rows.select("doc_id").schema, SCORED))
     scored = cut(scored.withColumn("row", F.monotonically_increasing_id()), "scored")  # the ids are kept as written
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.key", F.col("r.log").cast("double").alias("log"))
     rare = rare.join(by_word.select("key", "n"), "key", "left")

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -474,6 +475,54 @@ def test_lm_windows_score_each_id_once():
             assert got[i] == pytest.approx(want, abs=1e-4)
 
 
+def test_lm_scores_only_new_places():
+    m = small_model(lm.WINDOW)
+    places, inner = [], m.class_logs
+    m.class_logs = lambda *a: (out := inner(*a), places.append(out[0].size))[0]
+    ids, starts = np.random.default_rng(4).integers(0, 6, 1616 + 5), np.array([0, 1616])
+    m.log_probabilities(ids, starts)
+    assert sum(places) == 1616 + lm.WINDOW  # the last text fills one window
+
+
+def test_lm_reads_texts_once(spark, monkeypatch):
+    made, inner = [], lm.cut
+    monkeypatch.setattr(lm, "cut", lambda df, name: (made.append((name, "text#" in df._jdf.queryExecution().analyzed().toString())), inner(df, name))[1])
+    lm.score(frame(spark, [(i, "a few words %d" % i) for i in range(30)]), steps=1).collect()
+    assert sum(reads for _, reads in made) == 1 and len(made) == 3
+
+
+def test_lm_ids_and_keys_of_words():
+    words = lm.Subwords(lm.read_vocabulary(lm.VOCABULARY))
+    texts = ["Ab\tab\x0b aB ", None, "", " \n", "na\u00efve \u00c9 x\u00a0y \x1c\x1d z", "a b", "ab"]
+    rows = pa.array(["cut off", *texts])[1:]
+    for _ in range(2):  # the second time the words are known
+        ids, sizes = words.of_texts(rows)
+        want = [[x for w in (t or "").encode().lower().split() for x in words.ids(w)] + [words.end] for t in texts]
+        assert ids.tolist() == [x for t in want for x in t] and sizes.tolist() == [len(t) for t in want]
+    tokens = [w for t in texts for w in [*(t or "").encode().lower().split(), None]]
+    first = np.flatnonzero(words.begins[ids])
+    keys = lm.word_keys(ids.astype(np.int32), first).tolist()
+    assert len(keys) == len(tokens) and len(set(zip(keys, tokens))) == len(set(keys)) == len(set(tokens))
+    swapped = lm.word_keys(np.array([1, 2, 2, 1, 2, 1, 1, 2]), np.array([0, 2, 4, 6, 7]))
+    assert len(set(swapped.tolist())) == 4  # their order counts
+
+
+def test_lm_gradients_of_one_window_and_far_scores():
+    rng = np.random.default_rng(2)
+    for factor in (1, 300):  # exp of scores over 700 is not finite
+        m = lm.Model(np.arange(200) % 96, np.arange(200), 200)
+        for k in m.p:
+            m.p[k] = m.p[k].astype(np.float64)
+        for k in ("wc", "wq"):
+            m.p[k] *= factor
+        rows, target = rng.integers(0, 200, (1, 16)), rng.integers(0, 96, (1, 16))
+        loss, g = m.gradients(rows, target)
+        logs = m.forward(rows)[0]
+        assert loss == pytest.approx(-logs[0, np.arange(16), target[0]].mean())
+        assert np.allclose(g["bc"], np.exp(logs[0]).mean(0) - np.bincount(target[0], minlength=96) / 16)
+        assert all(np.isfinite(x).all() and x.shape == m.p[k].shape for k, x in g.items())
+
+
 def test_lm_classes_and_context():
     rng = np.random.default_rng(3)
     stream = rng.integers(0, 300, 20_000)
